@@ -1,0 +1,7 @@
+"""Streaming.
+
+The marts are batch jobs over a date-partitioned log with a look-back
+window; the reference has no streaming part (no watermarks, triggers or
+stateful operators), so nothing is defined here.  Daily runs read only the
+partitions of their window (``cityweave.sources.read_events``).
+"""
