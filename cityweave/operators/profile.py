@@ -18,19 +18,26 @@ from cityweave.operators.nearest import nearest_city
 ORDER = ("message_ts", "message_id", "city_id")
 
 
-def message_points(events: DataFrame) -> DataFrame:
-    """Complete messages: id, sender, parsed time and coordinates present."""
+# Where a message's time is read from, first non-NULL wins.  The strict
+# reading of the reference is ``("message_ts",)``; logs that carry the time of
+# some messages only in ``datetime`` need both.
+MESSAGE_TIME_FIELDS = ("message_ts", "datetime")
+
+
+def message_points(events: DataFrame, time_fields=MESSAGE_TIME_FIELDS) -> DataFrame:
+    """Complete messages: id, sender, time and coordinates present."""
+    raw_time = F.coalesce(*[F.col(c) for c in time_fields]) if len(time_fields) > 1 else F.col(time_fields[0])
     return events.where(
         (F.col("event_type") == F.lit("message"))
         & F.col("message_id").isNotNull()
         & F.col("message_from").isNotNull()
-        & F.col("message_ts").isNotNull()
+        & raw_time.isNotNull()
         & F.col("lat").isNotNull()
         & F.col("lon").isNotNull()
     ).select(
         "message_id",
         F.col("message_from").alias("user_id"),
-        parse_timestamp("message_ts").alias("message_ts"),
+        parse_timestamp(raw_time).alias("message_ts"),
         F.col("lat").alias("message_lat"),
         F.col("lon").alias("message_lon"),
         "event_type",
