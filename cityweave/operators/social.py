@@ -167,16 +167,23 @@ def nearby_pairs(
     max_km: float = DEFAULT_MAX_KM,
     cell_km: float | None = None,
     distinct_pairs: bool = False,
+    left_carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Pairs ``user_left < user_right`` sharing a channel, not in contact,
     whose latest positions are closer than ``max_km``.
 
     One row per shared channel (reference multiplicity) unless
     ``distinct_pairs``.  ``cell_km`` may widen the grid (never below
-    ``max_km``); the result does not depend on it.
+    ``max_km``); the result does not depend on it.  ``left_carry`` names
+    extra ``positions`` columns to keep for the left user.
+
+    Hot (channel, cell) groups are split at runtime by AQE's skew-join
+    handling, which divides the large side of a skewed partition and pairs
+    each piece with the other side -- no group is joined in one task.
     """
     width = cell_width(max_km, cell_km)
-    members = channels.join(positions.select("user_id", "lat", "lon"), "user_id").withColumn(
+    carry = [c for c in left_carry]
+    members = channels.join(positions.select("user_id", "lat", "lon", *carry), "user_id").withColumn(
         "_cell", grid_cell("lat", "lon", width)
     )
     left = members.select(
@@ -185,6 +192,7 @@ def nearby_pairs(
         F.col("user_id").alias("user_left"),
         F.col("lat").alias("user_left_lat"),
         F.col("lon").alias("user_left_lon"),
+        *carry,
     )
     right = members.select(
         "subscription_channel",
@@ -210,11 +218,23 @@ def nearby_pairs(
             "user_right_lat",
             "user_right_lon",
             "distance_km",
+            *carry,
         )
     )
     return near.distinct() if distinct_pairs else near
 
 
+def zoned_positions(positions: DataFrame, cities: DataFrame) -> DataFrame:
+    """Latest positions with ``zone_ids``: the nearest city ids (ties kept).
+
+    Per user, not per pair: ``positions`` is already partitioned by
+    ``user_id`` (it is an aggregate on it), so grouping the per-row search
+    back to one row per user adds no shuffle.
+    """
+    located = nearest_city(positions.select("user_id", "lat", "lon"), cities, key=None)
+    return located.groupBy("user_id", "lat", "lon").agg(F.collect_list("city_id").alias("zone_ids"))
+
+
 def pair_zones(near: DataFrame, cities: DataFrame) -> DataFrame:
     """Add ``zone_id``: the nearest city to the *left* user (ties kept).
 
@@ -227,6 +247,31 @@ def pair_zones(near: DataFrame, cities: DataFrame) -> DataFrame:
     return zoned.withColumn("zone_id", F.col("city_id")).drop("city_id", "city_name", "_zone_km")
 
 
+def zoned_nearby_pairs(
+    events: DataFrame,
+    cities: DataFrame,
+    max_km: float = DEFAULT_MAX_KM,
+    cell_km: float | None = None,
+    distinct_pairs: bool = False,
+) -> DataFrame:
+    """Nearby pairs with the left user's zone: one row per tied zone city.
+
+    The zone is looked up once per user and carried through the pair join,
+    instead of once per pair row.
+    """
+    positions = zoned_positions(latest_action(events), cities)
+    near = nearby_pairs(
+        user_channels(events),
+        positions,
+        contact_pairs(events),
+        max_km=max_km,
+        cell_km=cell_km,
+        distinct_pairs=distinct_pairs,
+        left_carry=("zone_ids",),
+    )
+    return near.withColumn("zone_id", F.explode("zone_ids")).drop("zone_ids")
+
+
 def _run_stamp(as_of) -> tuple[Column, Column]:
     if as_of is None:
         return F.current_date(), F.current_timestamp()
@@ -256,16 +301,9 @@ def pair_recommendations(
     ``processed_dttm`` and ``local_time`` stamp the run: the current date and
     time (UTC, shown in ``tz``), or ``as_of`` for reproducible runs.
     """
-    near = nearby_pairs(
-        user_channels(events),
-        latest_action(events),
-        contact_pairs(events),
-        max_km=max_km,
-        cell_km=cell_km,
-        distinct_pairs=distinct_pairs,
-    )
+    near = zoned_nearby_pairs(events, cities, max_km, cell_km, distinct_pairs)
     day, ts = _run_stamp(as_of)
-    return pair_zones(near, cities).select(
+    return near.select(
         "user_left",
         "user_right",
         day.alias("processed_dttm"),

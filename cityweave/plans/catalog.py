@@ -247,8 +247,8 @@ def nearby_pairs_grid(spark, sf_dir):
 
 
 def nearby_pairs_zone(spark, sf_dir):
-    _, cities = _inputs(spark, sf_dir)
-    z = social.pair_zones(_nearby(spark, sf_dir), cities)
+    events, cities = _inputs(spark, sf_dir)
+    z = social.zoned_nearby_pairs(events, cities)
     return z.select("user_left", "user_right", "zone_id")
 
 

@@ -58,6 +58,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the session has cores.
+
+    The driver's tables are single-row-group files, which Spark reads as one
+    task; the per-row geo work downstream would then run on one core.  A
+    production log has far more splits than cores, so this never fires there.
+    Rows are hashed on their first column (the event id), so a retried task
+    gets the same rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, *df.columns[:1])
+    return df
+
+
 def city_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionary as it appears in the CSV: strings with decimal commas."""
     nation = _table(spark, sf_dir, "nation")
@@ -76,7 +91,7 @@ def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geo_events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One geo event per driver event, in the flat form the operators use."""
-    events = _table(spark, sf_dir, "events")
+    events = _spread(_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"))
     ge0 = events.select(
         "event_id",
         "user_id",
