@@ -82,17 +82,19 @@ def per_city_counts(closest: DataFrame) -> DataFrame:
 def home_city(closest: DataFrame) -> DataFrame:
     """Users seen in exactly one city name, with that name.
 
-    Two partial aggregations instead of two windows; a NULL name counts as a
-    city of its own (as in the reference), hence ``count(1)`` not
-    ``count_distinct``.
+    One partial aggregation per user (one shuffle): a user has exactly one
+    name when all names are NULL, or none is NULL and min = max.  A NULL name
+    counts as a city of its own, as in the reference.
     """
-    per_city = closest.select("user_id", "city_name").distinct()
-    return (
-        per_city.groupBy("user_id")
-        .agg(F.count(F.lit(1)).alias("_cities"), F.max("city_name").alias("home_city"))
-        .where(F.col("_cities") == 1)
-        .select("user_id", "home_city")
+    name = F.col("city_name")
+    per_user = closest.groupBy("user_id").agg(
+        F.count(name).alias("_named"),
+        F.count_if(name.isNull()).alias("_unnamed"),
+        F.min(name).alias("_lo"),
+        F.max(name).alias("_hi"),
     )
+    one_city = (F.col("_named") == 0) | ((F.col("_unnamed") == 0) & (F.col("_lo") == F.col("_hi")))
+    return per_user.where(one_city).select("user_id", F.col("_hi").alias("home_city"))
 
 
 def user_cities(current: DataFrame, home: DataFrame) -> DataFrame:
