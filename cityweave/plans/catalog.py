@@ -3,8 +3,8 @@
 Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
 whole fixture (every event of ``events``, every city of ``nation``).
 Results are shown the same way the DuckDB oracle shows them: timestamps as
-wall-clock (``timestamp_ntz``), distances rounded to 4 decimals, the
-itinerary as comma-joined text.
+wall-clock (``timestamp_ntz``), dates as ISO text, distances rounded to 4
+decimals, the itinerary as comma-joined text.
 """
 
 from __future__ import annotations
@@ -33,6 +33,11 @@ def _ntz(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz")
 
 
+def _iso_day(c: str) -> Column:
+    """Dates as ``YYYY-MM-DD`` text: engines disagree on how a date leaves the engine."""
+    return F.date_format(F.col(c), "yyyy-MM-dd")
+
+
 def _km(c: str = "distance_km") -> Column:
     return F.round(F.col(c), 4).alias(c)
 
@@ -76,7 +81,7 @@ def event_time_coalesce(spark, sf_dir):
 def date_window_filter(spark, sf_dir):
     events, _ = _inputs(spark, sf_dir)
     return date_window(events, WINDOW_PROCESS_DATE, WINDOW_DEPTH, "date").select(
-        "event_id", "event_type", "date"
+        "event_id", "event_type", _iso_day("date").alias("date")
     )
 
 
@@ -255,8 +260,8 @@ def nearby_pairs_zone(spark, sf_dir):
 def pair_recommendations(spark, sf_dir):
     events, cities = _inputs(spark, sf_dir)
     r = social.pair_recommendations(events, cities, as_of=AS_OF)
-    return r.select("user_left", "user_right", "processed_dttm", "zone_id",
-                    _ntz("local_time").alias("local_time"))
+    return r.select("user_left", "user_right", _iso_day("processed_dttm").alias("processed_dttm"),
+                    "zone_id", _ntz("local_time").alias("local_time"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -88,6 +88,19 @@ def test_jobs_end_to_end_match_catalog(spark, tmp_path):
     run_recommendation_job(spark, end.isoformat(), depth, base, str(csv), str(tmp_path / "rec"),
                            as_of="2024-05-01 12:00:00")
     rec = spark.read.parquet(str(tmp_path / "rec")).select(
-        "user_left", "user_right", "processed_dttm", "zone_id", F.col("local_time").cast("timestamp_ntz"))
+        "user_left", "user_right", F.col("processed_dttm").cast("string"), "zone_id",
+        F.col("local_time").cast("timestamp_ntz"))
     want = catalog.pair_recommendations(spark, SF_SMALL)
     assert rec.exceptAll(want).count() == 0 and want.exceptAll(rec).count() == 0
+
+
+def test_sql_views(spark):
+    from cityweave.plans.catalog import _inputs
+    from cityweave.plans.views import register_views
+
+    events, cities = _inputs(spark, SF_SMALL)
+    names = register_views(spark, events, cities, prefix="t_", as_of="2024-05-01 12:00:00")
+    assert "t_zones" in names
+    n = spark.sql("SELECT count(*) AS n FROM t_zones").first().n
+    assert n == catalog.zone_metrics(spark, SF_SMALL).count()
+    assert spark.sql("SELECT count(*) FROM t_recommendations WHERE user_left >= user_right").first()[0] == 0

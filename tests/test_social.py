@@ -109,3 +109,18 @@ def test_recommendations_properties(spark):
     assert bad.count() == 0
     r = rec.first()
     assert str(r.processed_dttm) == "2024-05-01"
+
+
+def test_grid_join_with_one_hot_cell(spark):
+    """A third of the users in one channel at one spot: same pairs as brute force."""
+    rnd = random.Random(5)
+    pos = [(i, -33.865 + rnd.uniform(-0.002, 0.002), 151.2094 + rnd.uniform(-0.002, 0.002)) for i in range(120)]
+    pos += [(1000 + i, rnd.uniform(-40, -10), rnd.uniform(115, 150)) for i in range(240)]
+    chans = [(u, 1) for u, _, _ in pos[:120]] + [(u, u % 3) for u, _, _ in pos[120:]]
+    positions = spark.createDataFrame(pos, "user_id bigint, lat double, lon double")
+    channels = spark.createDataFrame(chans, "user_id bigint, subscription_channel bigint")
+    contacts = spark.createDataFrame([(0, 1)], "user_left bigint, user_right bigint")
+    got = nearby_pairs(channels, positions, contacts).select("user_left", "user_right")
+    want = _brute_nearby(channels, positions, contacts, 1.0)
+    assert got.count() == 120 * 119 // 2 - 1
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
