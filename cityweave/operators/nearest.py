@@ -53,16 +53,44 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def city_array(cities: DataFrame) -> Column:
-    """The dictionary as one ``array<struct<city_id, city_name, city_lat, city_lon>>``."""
-    packed = cities.select(
-        F.collect_list(F.struct("city_id", "city_name", "city_lat", "city_lon")).alias("cities")
+def city_array(cities: DataFrame, max_cities: int = MAX_ARRAY_CITIES) -> Column:
+    """The dictionary as one ``array<struct<city_id, city_name, city_lat, city_lon>>``.
+
+    The bound is enforced inside the subquery: a dictionary larger than
+    ``max_cities`` fails the query instead of being shipped to every task.
+    The dictionary is packed in one partition (it is bounded), which saves
+    the subquery a shuffle.
+    """
+    packed = F.collect_list(F.struct("city_id", "city_name", "city_lat", "city_lon"))
+    guarded = F.when(F.size(packed) <= F.lit(max_cities), packed).otherwise(
+        F.raise_error(F.lit(f"city dictionary larger than {max_cities} rows; use strategy='grid'"))
     )
-    return packed.scalar()
+    return cities.coalesce(1).select(guarded.alias("cities")).scalar()
+
+
+_DICTIONARY_ROWS: dict[tuple[int, int], int] = {}
+
+
+def dictionary_rows(cities: DataFrame) -> int:
+    """Row count of the dictionary, memoised per session and plan.
+
+    Only picks the strategy (both are exact), so a memo that outlives a
+    change of the file can cost speed, never correctness; the array size
+    bound is checked again at run time by ``city_array``.
+    """
+    key = (id(cities.sparkSession), cities.semanticHash())
+    if key not in _DICTIONARY_ROWS:
+        _DICTIONARY_ROWS[key] = cities.count()
+    return _DICTIONARY_ROWS[key]
 
 
 def nearest_by_array(
-    points: DataFrame, cities: DataFrame, lat="lat", lon="lon", distance_col: str = "distance_km"
+    points: DataFrame,
+    cities: DataFrame,
+    lat="lat",
+    lon="lon",
+    distance_col: str = "distance_km",
+    max_cities: int = MAX_ARRAY_CITIES,
 ) -> DataFrame:
     """Per-row argmin over the city array; one output row per tied city."""
     lat_c, lon_c = _c(lat), _c(lon)
@@ -79,7 +107,7 @@ def nearest_by_array(
     best = F.array_min(F.transform(F.col("_cand"), lambda x: x["d"]))
     hits = F.filter(F.col("_cand"), lambda x: x["d"] == F.col("_best"))
     return (
-        points.withColumn("_cities", city_array(cities))
+        points.withColumn("_cities", city_array(cities, max_cities))
         .withColumn("_cand", scored)
         .withColumn("_best", best)
         .withColumn("_hit", F.explode(hits))
@@ -178,9 +206,9 @@ def nearest_city(
     on the dictionary, never on the facts).
     """
     if strategy == "auto":
-        strategy = "array" if cities.count() <= max_array_cities else "grid"
+        strategy = "array" if dictionary_rows(cities) <= max_array_cities else "grid"
     if strategy == "array":
-        scored = nearest_by_array(points, cities, lat, lon, distance_col)
+        scored = nearest_by_array(points, cities, lat, lon, distance_col, max_array_cities)
     elif strategy == "grid":
         scored = nearest_by_grid(points, cities, lat, lon, distance_col)
     else:

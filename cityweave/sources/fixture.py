@@ -58,7 +58,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
+def _spread(df: DataFrame, path: str) -> DataFrame:
     """Spread a scan that yields fewer splits than the session has cores.
 
     The driver's tables are single-row-group files, which Spark reads as one
@@ -68,11 +68,18 @@ def _spread(df: DataFrame) -> DataFrame:
     gets the same rows.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    key = (path, cores)
+    if key not in _SPLITS:
+        _SPLITS[key] = df.rdd.getNumPartitions()
+    if _SPLITS[key] < cores:
         return df.repartition(cores, *df.columns[:1])
     return df
 
 
+# Split count per (path, cores): the driver's tables are read-only.
+_SPLITS: dict[tuple, int] = {}
+
+
 def city_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionary as it appears in the CSV: strings with decimal commas."""
     nation = _table(spark, sf_dir, "nation")
@@ -91,7 +98,8 @@ def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geo_events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One geo event per driver event, in the flat form the operators use."""
-    events = _spread(_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"))
+    raw = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    events = _spread(raw, f"{sf_dir.rstrip('/')}/events.parquet")
     ge0 = events.select(
         "event_id",
         "user_id",
