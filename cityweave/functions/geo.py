@@ -66,6 +66,27 @@ def neighbour_cells(cell: Column) -> Column:
     )
 
 
+def forward_cells(cell: Column) -> Column:
+    """``cell`` itself (``own = true``) and its 13 lexicographically larger neighbours.
+
+    Probing only these 14 cells finds every unordered pair of neighbouring
+    cells exactly once: a pair in two different cells is seen from the cell
+    whose offset to the other is "forward".
+    """
+    offsets = [o for o in itertools.product((-1, 0, 1), repeat=3) if o > (0, 0, 0)]
+    return F.array(
+        *[
+            F.struct(
+                (cell["cx"] + dx).alias("cx"),
+                (cell["cy"] + dy).alias("cy"),
+                (cell["cz"] + dz).alias("cz"),
+                F.lit((dx, dy, dz) == (0, 0, 0)).alias("own"),
+            )
+            for dx, dy, dz in [(0, 0, 0), *offsets]
+        ]
+    )
+
+
 def cell_width(max_km: float, cell_km: float | None = None) -> float:
     """Cell side for a search radius; ``cell_km`` may only widen it."""
     width = max_km if cell_km is None else max(cell_km, max_km)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cityweave.functions.calendar import DEFAULT_TIME_ZONE, local_time
-from cityweave.functions.geo import cell_width, grid_cell, haversine_km, neighbour_cells
+from cityweave.functions.geo import cell_width, forward_cells, grid_cell, haversine_km
 from cityweave.functions.parsing import parse_timestamp, to_user_id
 from cityweave.operators.nearest import nearest_city
 
@@ -182,28 +182,56 @@ def nearby_pairs(
     each piece with the other side -- no group is joined in one task.
     """
     width = cell_width(max_km, cell_km)
-    carry = [c for c in left_carry]
+    carry = list(left_carry)
     members = channels.join(positions.select("user_id", "lat", "lon", *carry), "user_id").withColumn(
         "_cell", grid_cell("lat", "lon", width)
     )
-    left = members.select(
+    # Each member probes its own cell and the 13 "forward" neighbours (14
+    # copies instead of 27); every unordered pair is met exactly once.
+    probe = members.select(
         "subscription_channel",
-        F.explode(neighbour_cells(F.col("_cell"))).alias("_cell"),
-        F.col("user_id").alias("user_left"),
-        F.col("lat").alias("user_left_lat"),
-        F.col("lon").alias("user_left_lon"),
-        *carry,
+        F.explode(forward_cells(F.col("_cell"))).alias("_p"),
+        F.col("user_id").alias("_u1"),
+        F.col("lat").alias("_lat1"),
+        F.col("lon").alias("_lon1"),
+        *[F.col(c).alias(f"_1_{c}") for c in carry],
+    ).select(
+        "subscription_channel",
+        F.struct(F.col("_p.cx").alias("cx"), F.col("_p.cy").alias("cy"), F.col("_p.cz").alias("cz")).alias(
+            "_cell"
+        ),
+        F.col("_p.own").alias("_own"),
+        "_u1",
+        "_lat1",
+        "_lon1",
+        *[f"_1_{c}" for c in carry],
     )
-    right = members.select(
+    build = members.select(
         "subscription_channel",
         "_cell",
-        F.col("user_id").alias("user_right"),
-        F.col("lat").alias("user_right_lat"),
-        F.col("lon").alias("user_right_lon"),
+        F.col("user_id").alias("_u2"),
+        F.col("lat").alias("_lat2"),
+        F.col("lon").alias("_lon2"),
+        *[F.col(c).alias(f"_2_{c}") for c in carry],
     )
+    u1, u2 = F.col("_u1"), F.col("_u2")
+    swap = u1 > u2
+
+    def pick(first: str, second: str) -> Column:
+        return F.when(swap, F.col(second)).otherwise(F.col(first))
+
     near = (
-        left.join(right, ["subscription_channel", "_cell"])
-        .where(F.col("user_left") < F.col("user_right"))
+        probe.join(build, ["subscription_channel", "_cell"])
+        .where(F.when(F.col("_own"), u1 < u2).otherwise(u1 != u2))
+        .select(
+            F.least(u1, u2).alias("user_left"),
+            F.greatest(u1, u2).alias("user_right"),
+            pick("_lat1", "_lat2").alias("user_left_lat"),
+            pick("_lon1", "_lon2").alias("user_left_lon"),
+            pick("_lat2", "_lat1").alias("user_right_lat"),
+            pick("_lon2", "_lon1").alias("user_right_lon"),
+            *[pick(f"_1_{c}", f"_2_{c}").alias(c) for c in carry],
+        )
         .withColumn(
             "distance_km",
             haversine_km("user_left_lat", "user_left_lon", "user_right_lat", "user_right_lon"),

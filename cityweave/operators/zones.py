@@ -51,9 +51,18 @@ def _counts(prefix: str):
     ]
 
 
-def _with_calendar(closest: DataFrame) -> DataFrame:
+# ``calendar="month"`` is the reference's key (no year: the same month of two
+# years merges); ``"year_month"`` adds the calendar year of the event.
+CALENDARS = {"month": (), "year_month": ("year",)}
+
+
+def _with_calendar(closest: DataFrame, calendar: str = "month") -> DataFrame:
+    if calendar not in CALENDARS:
+        raise ValueError(f"calendar must be one of {sorted(CALENDARS)}, got {calendar!r}")
     ts = event_time("message_ts", "datetime")
+    year = [F.year(ts).alias("year")] if CALENDARS[calendar] else []
     return closest.select(
+        *year,
         month_of(ts).alias("month"),
         iso_week_of(ts).alias("week"),
         F.col("city_id").alias("zone_id"),
@@ -61,14 +70,16 @@ def _with_calendar(closest: DataFrame) -> DataFrame:
     )
 
 
-def zone_month_metrics(closest: DataFrame) -> DataFrame:
+def zone_month_metrics(closest: DataFrame, calendar: str = "month") -> DataFrame:
     """``month, zone_id, month_message, month_reaction, month_subscription, month_user``."""
-    return _with_calendar(closest).groupBy("month", "zone_id").agg(*_counts("month"))
+    keys = [*CALENDARS.get(calendar, ()), "month", "zone_id"]
+    return _with_calendar(closest, calendar).groupBy(*keys).agg(*_counts("month"))
 
 
-def zone_week_metrics(closest: DataFrame) -> DataFrame:
+def zone_week_metrics(closest: DataFrame, calendar: str = "month") -> DataFrame:
     """Counts per ``(month, week, zone_id)``; a week spanning two months appears twice."""
-    return _with_calendar(closest).groupBy("month", "week", "zone_id").agg(*_counts("week"))
+    keys = [*CALENDARS.get(calendar, ()), "month", "week", "zone_id"]
+    return _with_calendar(closest, calendar).groupBy(*keys).agg(*_counts("week"))
 
 
 ZONE_COLUMNS = (
@@ -80,7 +91,7 @@ ZONE_COLUMNS = (
 )
 
 
-def zone_metrics(closest: DataFrame) -> DataFrame:
+def zone_metrics(closest: DataFrame, calendar: str = "month") -> DataFrame:
     """Week rows with their month totals repeated (the zone mart).
 
     One aggregation at the finest grain, then month totals as a window sum
@@ -90,8 +101,9 @@ def zone_metrics(closest: DataFrame) -> DataFrame:
     least one week group, and a NULL month (no usable time) matches no week,
     so its week columns are NULL.
     """
-    weeks = zone_week_metrics(closest)
-    per_month = Window.partitionBy("month", "zone_id")
+    weeks = zone_week_metrics(closest, calendar)
+    years = list(CALENDARS[calendar])
+    per_month = Window.partitionBy(*years, "month", "zone_id")
     no_month = F.col("month").isNull()
     week_cols = [
         F.when(~no_month, F.col(f"week_{s}")).alias(f"week_{s}") for _, s in ZONE_COUNTS
@@ -101,6 +113,7 @@ def zone_metrics(closest: DataFrame) -> DataFrame:
         for _, s in ZONE_COUNTS
     ]
     return weeks.select(
+        *years,
         "month",
         F.when(~no_month, F.col("week")).alias("week"),
         "zone_id",

@@ -185,6 +185,11 @@ def zone_metrics(spark, sf_dir):
     return zones.zone_metrics(_closest_events(spark, sf_dir))
 
 
+def zone_metrics_year_month(spark, sf_dir):
+    """Zone mart keyed by calendar year too (Dec 2023 and Dec 2024 stay apart)."""
+    return zones.zone_metrics(_closest_events(spark, sf_dir), calendar="year_month")
+
+
 def zone_metrics_per_row(spark, sf_dir):
     """Zone mart with every located event counted (``key=None``)."""
     return zones.zone_metrics(_closest_events(spark, sf_dir, key=None))
@@ -286,6 +291,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zone_week_metrics": zone_week_metrics,
     "zone_metrics": zone_metrics,
     "zone_metrics_per_row": zone_metrics_per_row,
+    "zone_metrics_year_month": zone_metrics_year_month,
     "user_channels": user_channels,
     "channel_pair_counts": channel_pair_counts,
     "contact_pairs": contact_pairs,
