@@ -8,7 +8,7 @@ compared as a parsed timestamp, not as text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityweave.functions.calendar import DEFAULT_TIME_ZONE, local_time
@@ -56,45 +56,57 @@ def closest_message_cities(messages: DataFrame, cities: DataFrame, keyed: bool =
     return located.select("message_id", "user_id", "message_ts", "distance_km", "city_id", "city_name")
 
 
-def current_city(closest: DataFrame, tz: str = DEFAULT_TIME_ZONE) -> DataFrame:
-    """City of each user's latest message and that message's local time.
-
-    ``row_number() = 1`` is planned as a partial ``WindowGroupLimit``: each
-    task keeps one row per user before the shuffle, so a user holding a third
-    of all messages ships one row per task, not the group.
-    """
-    w = Window.partitionBy("user_id").orderBy(
-        F.col("message_ts").desc(), F.col("message_id").desc(), F.col("city_id").asc()
-    )
-    latest = closest.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-    return latest.select(
-        "user_id",
-        F.col("city_name").alias("act_city"),
-        local_time("message_ts", tz).alias("local_time"),
+def _latest_key() -> Column:
+    """Ordering key whose minimum is the latest row: time DESC (NULL last),
+    message_id DESC, city_id ASC."""
+    ts = F.col("message_ts")
+    return F.struct(
+        ts.isNull(),
+        -F.unix_micros(ts),
+        -F.col("message_id"),
+        F.col("city_id"),
     )
 
 
-def per_city_counts(closest: DataFrame) -> DataFrame:
-    """Messages per (user, city name)."""
-    return closest.groupBy("user_id", "city_name").agg(F.count(F.lit(1)).alias("messages_count"))
-
-
-def home_city(closest: DataFrame) -> DataFrame:
-    """Users seen in exactly one city name, with that name.
+def user_places(closest: DataFrame, tz: str = DEFAULT_TIME_ZONE) -> DataFrame:
+    """Current city, its local time and the home city, in one aggregation per user.
 
-    One partial aggregation per user (one shuffle): a user has exactly one
-    name when all names are NULL, or none is NULL and min = max.  A NULL name
-    counts as a city of its own, as in the reference.
+    Partial aggregation map-side, one shuffle on ``user_id``: a user holding a
+    third of all messages is reduced in every task before it moves.  A user
+    has a home city when all names are NULL, or none is NULL and min = max
+    (a NULL name counts as a city of its own, as in the reference).
     """
     name = F.col("city_name")
     per_user = closest.groupBy("user_id").agg(
+        F.min_by(F.struct("city_name", "message_ts"), _latest_key()).alias("_cur"),
         F.count(name).alias("_named"),
         F.count_if(name.isNull()).alias("_unnamed"),
         F.min(name).alias("_lo"),
         F.max(name).alias("_hi"),
     )
     one_city = (F.col("_named") == 0) | ((F.col("_unnamed") == 0) & (F.col("_lo") == F.col("_hi")))
-    return per_user.where(one_city).select("user_id", F.col("_hi").alias("home_city"))
+    return per_user.select(
+        "user_id",
+        F.col("_cur.city_name").alias("act_city"),
+        F.when(one_city, F.col("_hi")).alias("home_city"),
+        local_time(F.col("_cur.message_ts"), tz).alias("local_time"),
+        one_city.alias("_has_home"),
+    )
+
+
+def current_city(closest: DataFrame, tz: str = DEFAULT_TIME_ZONE) -> DataFrame:
+    """City of each user's latest message and that message's local time."""
+    return user_places(closest, tz).select("user_id", "act_city", "local_time")
+
+
+def per_city_counts(closest: DataFrame) -> DataFrame:
+    """Messages per (user, city name)."""
+    return closest.groupBy("user_id", "city_name").agg(F.count(F.lit(1)).alias("messages_count"))
+
+
+def home_city(closest: DataFrame) -> DataFrame:
+    """Users seen in exactly one city name, with that name."""
+    return user_places(closest).where("_has_home").select("user_id", "home_city")
 
 
 def user_cities(current: DataFrame, home: DataFrame) -> DataFrame:
@@ -140,32 +152,78 @@ def travel_events(closest: DataFrame, bucket_unit: str = "day") -> DataFrame:
 def travel_stats(closest: DataFrame, bucket_unit: str = "day") -> DataFrame:
     """``travel_count`` and the ordered itinerary ``travel_array`` per user.
 
-    The itinerary is assembled from per-bucket sorted pieces, so the sort is
-    spread over (user, bucket) groups; only the final concatenation is per
-    user.  NULL city names count as trips but are left out of the array.
+    Two levels, two shuffles.  Inside each (user, bucket) a window marks the
+    rows whose city differs from the previous row of the bucket, and the
+    bucket is summarised as (first city, last city, inner legs).  Per user
+    the few bucket summaries are stitched in time order: a bucket's first
+    row is a trip when the previous bucket's last city is NULL or differs
+    (the ``lag`` rule across the boundary).  No task sorts a user's whole
+    history; the per-user array holds one entry per bucket.  NULL city names
+    count as trips but are left out of the array.
     """
-    legs = travel_events(closest, bucket_unit)
-    pieces = legs.groupBy("user_id", "_b").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.array_sort(F.collect_list(F.struct(*ORDER, "city_name"))).alias("_seq"),
+    order = [F.col(c).asc_nulls_first() for c in ORDER]
+    w_in = Window.partitionBy("user_id", "_b").orderBy(*order)
+    rows = (
+        closest.select("user_id", "message_id", "message_ts", "city_id", "city_name")
+        .withColumn("_b", _bucket(bucket_unit))
+        .withColumn("_prev", F.lag("city_name").over(w_in))
+        .withColumn("_first", F.row_number().over(w_in) == 1)
     )
-    pieces = pieces.select(
-        "user_id",
-        "_b",
-        "_n",
-        F.transform("_seq", lambda x: x["city_name"]).alias("_names"),
+    inner_leg = ~F.col("_first") & (F.col("_prev").isNull() | (F.col("city_name") != F.col("_prev")))
+    key = F.struct(*ORDER)
+    pieces = rows.groupBy("user_id", "_b").agg(
+        F.min_by("city_name", key).alias("first"),
+        F.max_by("city_name", key).alias("last"),
+        F.count_if(inner_leg).alias("n"),
+        F.array_sort(
+            F.collect_list(F.when(inner_leg, F.struct(*ORDER, "city_name")))
+        ).alias("legs"),
     )
-    stats = pieces.groupBy("user_id").agg(
-        F.sum("_n").cast("bigint").alias("travel_count"),
-        F.array_sort(F.collect_list(F.struct(F.col("_b"), F.col("_names")))).alias("_parts"),
+    per_user = pieces.groupBy("user_id").agg(
+        F.array_sort(
+            F.collect_list(
+                F.struct(
+                    F.col("_b").isNotNull().alias("_dated"),
+                    F.col("_b"),
+                    "first",
+                    "last",
+                    "n",
+                    F.transform("legs", lambda x: x["city_name"]).alias("names"),
+                )
+            )
+        ).alias("_parts")
     )
-    return stats.select(
+
+    def opens_trip(x, i):
+        prev_last = F.get(F.col("_parts"), i - 1)["last"]
+        return (i == 0) | prev_last.isNull() | F.coalesce(x["first"] != prev_last, F.lit(False))
+
+    marked = per_user.select(
         "user_id",
-        "travel_count",
-        F.filter(F.flatten(F.transform("_parts", lambda p: p["_names"])), lambda x: x.isNotNull()).alias(
-            "travel_array"
+        F.transform("_parts", lambda x, i: F.struct(opens_trip(x, i).alias("open"), x.alias("p"))).alias(
+            "_m"
         ),
     )
+    no_names = F.array().cast("array<string>")
+    return marked.select(
+        "user_id",
+        F.aggregate(
+            "_m",
+            F.lit(0).cast("bigint"),
+            lambda acc, m: acc + m["p"]["n"] + F.when(m["open"], 1).otherwise(0),
+        ).alias("travel_count"),
+        F.filter(
+            F.flatten(
+                F.transform(
+                    "_m",
+                    lambda m: F.concat(
+                        F.when(m["open"], F.array(m["p"]["first"])).otherwise(no_names), m["p"]["names"]
+                    ),
+                )
+            ),
+            lambda x: x.isNotNull(),
+        ).alias("travel_array"),
+    )
 
 
 PROFILE_COLUMNS = ("user_id", "act_city", "home_city", "travel_count", "travel_array", "local_time")
@@ -173,7 +231,5 @@ PROFILE_COLUMNS = ("user_id", "act_city", "home_city", "travel_count", "travel_a
 
 def user_geo_profile(closest: DataFrame, tz: str = DEFAULT_TIME_ZONE, bucket_unit: str = "day") -> DataFrame:
     """The profile mart: one row per user with a located message."""
-    cities_of_user = user_cities(current_city(closest, tz), home_city(closest))
-    return cities_of_user.join(travel_stats(closest, bucket_unit), "user_id", "left").select(
-        *PROFILE_COLUMNS
-    )
+    places = user_places(closest, tz)
+    return places.join(travel_stats(closest, bucket_unit), "user_id", "left").select(*PROFILE_COLUMNS)

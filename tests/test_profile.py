@@ -95,3 +95,25 @@ def test_profile_has_one_row_per_user(spark):
     assert set(got) == {1, 2}
     assert got[1].home_city is None and got[2].home_city == "A"
     assert got[1].travel_array == ["A", "B"] and got[1].act_city == "B"
+
+
+def test_stitched_stats_match_single_window(spark):
+    rnd = random.Random(9)
+    data, mid = [], 0
+    for user in range(8):
+        t = T0
+        for _ in range(rnd.randint(1, 50)):
+            t += dt.timedelta(minutes=rnd.choice([0, 30, 600, 1440, 3000]))
+            name = rnd.choice(["A", "B", None]) if user % 2 else rnd.choice(["A", "B", "C"])
+            data.append((user, mid, t if rnd.random() > 0.05 else None, None if name is None else name.lower(), name))
+            mid += 1
+    df = _closest(spark, data)
+    legs = _brute_travel(df)
+    want = legs.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("travel_count"),
+        F.array_sort(F.collect_list(F.struct("message_ts", "message_id", "city_id", "city_name"))).alias("s"),
+    ).select("user_id", "travel_count",
+             F.filter(F.transform("s", lambda x: x["city_name"]), lambda x: x.isNotNull()).alias("travel_array"))
+    for unit in ("hour", "day", "week"):
+        got = travel_stats(df, unit)
+        assert rows(got) == rows(want), unit
