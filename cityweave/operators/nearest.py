@@ -92,30 +92,32 @@ def nearest_by_array(
     distance_col: str = "distance_km",
     max_cities: int = MAX_ARRAY_CITIES,
 ) -> DataFrame:
-    """Per-row argmin over the city array; one output row per tied city."""
+    """Per-row argmin over the city array; one output row per tied city.
+
+    Per row only a ``double`` array of distances is built; the winning
+    positions (every index at the minimum) are exploded and the city looked
+    up by index, so city names are touched for the winners only.
+    """
     lat_c, lon_c = _c(lat), _c(lon)
     # The subquery is projected first: Spark evaluates it once per query and
     # lambdas may not contain subqueries.
-    scored = F.transform(
-        F.col("_cities"),
-        lambda c: F.struct(
-            haversine_km(lat_c, lon_c, c["city_lat"], c["city_lon"]).alias("d"),
-            c["city_id"].alias("city_id"),
-            c["city_name"].alias("city_name"),
-        ),
+    distances = F.transform(
+        F.col("_cities"), lambda c: haversine_km(lat_c, lon_c, c["city_lat"], c["city_lon"])
+    )
+    winners = F.filter(
+        F.sequence(F.lit(0), F.size("_ds") - 1), lambda i: F.get(F.col("_ds"), i) == F.col("_best")
     )
-    best = F.array_min(F.transform(F.col("_cand"), lambda x: x["d"]))
-    hits = F.filter(F.col("_cand"), lambda x: x["d"] == F.col("_best"))
+    hit = F.get(F.col("_cities"), F.col("_i"))
     return (
         points.withColumn("_cities", city_array(cities, max_cities))
-        .withColumn("_cand", scored)
-        .withColumn("_best", best)
-        .withColumn("_hit", F.explode(hits))
+        .withColumn("_ds", distances)
+        .withColumn("_best", F.array_min("_ds"))
+        .withColumn("_i", F.explode(winners))
         .select(
             *[F.col(c) for c in points.columns],
-            F.col("_hit.city_id").alias("city_id"),
-            F.col("_hit.city_name").alias("city_name"),
-            F.col("_hit.d").alias(distance_col),
+            hit["city_id"].alias("city_id"),
+            hit["city_name"].alias("city_name"),
+            F.col("_best").alias(distance_col),
         )
     )
 
