@@ -110,7 +110,11 @@ def home_city(closest: DataFrame) -> DataFrame:
 
 
 def user_cities(current: DataFrame, home: DataFrame) -> DataFrame:
-    """Current city and local time, with the home city where there is one."""
+    """Current city and local time, with the home city where there is one.
+
+    For separately computed inputs; ``user_places`` yields the same columns
+    from one aggregation.
+    """
     return current.join(home, "user_id", "left").select("user_id", "act_city", "home_city", "local_time")
 
 

@@ -144,8 +144,7 @@ def home_city(spark, sf_dir):
 
 
 def user_cities(spark, sf_dir):
-    closest = _closest_messages(spark, sf_dir)
-    u = profile.user_cities(profile.current_city(closest), profile.home_city(closest))
+    u = profile.user_places(_closest_messages(spark, sf_dir))
     return u.select("user_id", "act_city", "home_city", _ntz("local_time").alias("local_time"))
 
 

@@ -45,3 +45,37 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="cityweave-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+# Target bytes per shuffle partition after AQE coalescing, and per input split.
+PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def cluster_conf(shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a run whose largest shuffle moves about ``shuffle_bytes``.
+
+    At least ~2 partitions per core, and enough that each holds about
+    ``PARTITION_BYTES`` (so a task's share fits an executor without spilling
+    much); AQE then coalesces small ones and splits skewed ones.  For the
+    event log, the largest shuffle is roughly the projected message and
+    subscription columns of the window: a few percent of the raw bytes.
+    """
+    partitions = max(2 * cores, -(-int(shuffle_bytes) // PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(PARTITION_BYTES),
+    }
+
+
+def apply_cluster_conf(spark: SparkSession, shuffle_bytes: int) -> dict[str, str]:
+    """Apply ``cluster_conf`` for keys the launch configuration left unset."""
+    launched = spark.sparkContext.getConf()
+    applied = {}
+    conf = cluster_conf(shuffle_bytes, spark.sparkContext.defaultParallelism)
+    for key, value in conf.items():
+        if not launched.contains(key):
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied

@@ -104,3 +104,12 @@ def test_sql_views(spark):
     n = spark.sql("SELECT count(*) AS n FROM t_zones").first().n
     assert n == catalog.zone_metrics(spark, SF_SMALL).count()
     assert spark.sql("SELECT count(*) FROM t_recommendations WHERE user_left >= user_right").first()[0] == 0
+
+
+def test_cluster_conf_scales_with_shuffle_size():
+    from cityweave.session import cluster_conf
+
+    small = cluster_conf(10 * 1024**2, cores=8)
+    big = cluster_conf(10 * 1024**4, cores=8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) == 40960
