@@ -117,3 +117,28 @@ def test_stitched_stats_match_single_window(spark):
     for unit in ("hour", "day", "week"):
         got = travel_stats(df, unit)
         assert rows(got) == rows(want), unit
+
+
+def test_message_time_fields_and_parsed_order(spark):
+    from cityweave.operators.profile import message_points
+
+    ev = spark.createDataFrame(
+        [("message", 1, 7, "2024-01-01 9:00:00", None, 0.0, 0.0),
+         ("message", 2, 7, "2024-01-01 10:00:00", None, 0.0, 0.0),
+         ("message", 3, 7, None, "2024-01-01 11:00:00", 0.0, 0.0)],
+        "event_type string, message_id bigint, message_from bigint, message_ts string, datetime string,"
+        " lat double, lon double",
+    )
+    both = message_points(ev)
+    assert both.count() == 3
+    strict = message_points(ev, time_fields=("message_ts",))
+    assert strict.count() == 2
+    # 10:00 is later than 9:00 although '9' > '1' as text
+    latest = both.orderBy(F.col("message_ts").desc()).first()
+    assert latest.message_id == 3
+    assert strict.orderBy(F.col("message_ts").desc()).first().message_id == 2
+
+
+def test_home_city_is_by_name_not_id(spark):
+    data = [(1, 1, T0, "10", "Sydney"), (1, 2, T0 + dt.timedelta(hours=1), "11", "Sydney")]
+    assert rows(home_city(_closest(spark, data))) == [(1, "Sydney")]

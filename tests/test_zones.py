@@ -39,3 +39,14 @@ def test_zone_metrics_equals_month_left_join_week(spark):
         F.sum("week_message").alias("s"), F.first("month_message").alias("m")
     )
     assert sums.where("s != m").count() == 0
+
+
+def test_month_has_no_year_unless_asked(spark):
+    data = [("2022-12-05 10:00:00", None, "1", "message"), ("2023-12-05 10:00:00", None, "1", "message")]
+    df = spark.createDataFrame(data, SCHEMA)
+    merged = rows(zone_month_metrics(df), "month", "month_message")
+    assert merged == [(12, 2)]
+    split = rows(zone_month_metrics(df, calendar="year_month"), "year", "month", "month_message")
+    assert split == [(2022, 12, 1), (2023, 12, 1)]
+    assert rows(zone_metrics(df, calendar="year_month"), "year", "week", "week_message", "month_message") == [
+        (2022, 49, 1, 1), (2023, 49, 1, 1)]
