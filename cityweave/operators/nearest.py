@@ -68,7 +68,7 @@ def city_array(cities: DataFrame, max_cities: int = MAX_ARRAY_CITIES) -> Column:
     return cities.coalesce(1).select(guarded.alias("cities")).scalar()
 
 
-_DICTIONARY_ROWS: dict[tuple[int, int], int] = {}
+_DICTIONARY_ROWS: dict[tuple[str, int], int] = {}
 
 
 def dictionary_rows(cities: DataFrame) -> int:
@@ -78,7 +78,7 @@ def dictionary_rows(cities: DataFrame) -> int:
     change of the file can cost speed, never correctness; the array size
     bound is checked again at run time by ``city_array``.
     """
-    key = (id(cities.sparkSession), cities.semanticHash())
+    key = (cities.sparkSession.sparkContext.applicationId, cities.semanticHash())
     if key not in _DICTIONARY_ROWS:
         _DICTIONARY_ROWS[key] = cities.count()
     return _DICTIONARY_ROWS[key]

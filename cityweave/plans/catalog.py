@@ -42,10 +42,16 @@ def _km(c: str = "distance_km") -> Column:
     return F.round(F.col(c), 4).alias(c)
 
 
+_FLAT: dict[tuple, DataFrame] = {}
+
+
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Fixture events in the production layout, flattened, and the cities."""
     prepare_session(spark)
-    events = flatten_events(fixture.geo_events(spark, sf_dir))
-    return events, fixture.cities(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _FLAT:
+        _FLAT[key] = flatten_events(fixture.geo_events(spark, sf_dir))
+    return _FLAT[key], fixture.cities(spark, sf_dir)
 
 
 def _closest_messages(spark, sf_dir) -> DataFrame:
