@@ -27,6 +27,11 @@ from cityweave.operators.nearest import nearest_city
 # Fixed value: recommendation radius of the reference, km (strict '<').
 DEFAULT_MAX_KM = 1.0
 
+# Members of one (channel, cell) above which the group is salted, and the
+# most hot groups salted per query (the bound on the broadcast hot-key table).
+HOT_CELL_ROWS = 2000
+MAX_HOT_KEYS = 100_000
+
 # Which field holds the actor of each kind of action.
 ACTION_ACTOR = (
     ("reaction", "reaction_from"),
@@ -168,6 +173,7 @@ def nearby_pairs(
     cell_km: float | None = None,
     distinct_pairs: bool = False,
     left_carry: tuple[str, ...] = (),
+    hot_rows: int = HOT_CELL_ROWS,
 ) -> DataFrame:
     """Pairs ``user_left < user_right`` sharing a channel, not in contact,
     whose latest positions are closer than ``max_km``.
@@ -177,9 +183,11 @@ def nearby_pairs(
     ``max_km``); the result does not depend on it.  ``left_carry`` names
     extra ``positions`` columns to keep for the left user.
 
-    Hot (channel, cell) groups are split at runtime by AQE's skew-join
-    handling, which divides the large side of a skewed partition and pairs
-    each piece with the other side -- no group is joined in one task.
+    A (channel, cell) group of n members yields ~n^2/2 candidate pairs from
+    only n input rows, so its skew is invisible to AQE (which looks at input
+    bytes).  Groups above ``hot_rows`` members are therefore salted on both
+    sides (``_split_hot_cells``): every task of such a group joins at most
+    ~``hot_rows`` x ``hot_rows`` candidates.
     """
     width = cell_width(max_km, cell_km)
     carry = list(left_carry)
@@ -214,6 +222,7 @@ def nearby_pairs(
         F.col("lon").alias("_lon2"),
         *[F.col(c).alias(f"_2_{c}") for c in carry],
     )
+    probe, build, join_key = _split_hot_cells(channels, members, probe, build, hot_rows)
     u1, u2 = F.col("_u1"), F.col("_u2")
     swap = u1 > u2
 
@@ -221,7 +230,7 @@ def nearby_pairs(
         return F.when(swap, F.col(second)).otherwise(F.col(first))
 
     near = (
-        probe.join(build, ["subscription_channel", "_cell"])
+        probe.join(build, join_key)
         .where(F.when(F.col("_own"), u1 < u2).otherwise(u1 != u2))
         .select(
             F.least(u1, u2).alias("user_left"),
@@ -252,6 +261,56 @@ def nearby_pairs(
     return near.distinct() if distinct_pairs else near
 
 
+def _split_hot_cells(
+    channels: DataFrame, members: DataFrame, probe: DataFrame, build: DataFrame, hot_rows: int
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Salt (channel, cell) groups with more than ``hot_rows`` members.
+
+    A hot group gets ``s = ceil(n / hot_rows)`` salts per side: a probe row
+    hashes its user into salt ``a`` and is copied for every build salt
+    ``b``; a build row hashes into ``b`` and is copied for every ``a``.  Each
+    (probe, build) pair meets in exactly one ``(a, b)`` task.
+
+    A group cannot have more members than its channel has subscribers, so
+    when no channel exceeds ``hot_rows`` (one small aggregation over the
+    subscriptions) the plain join is kept.  Otherwise the hot-key table is
+    computed inside the same query from the members of the hot channels and
+    broadcast with a proven bound: it holds the ``MAX_HOT_KEYS`` largest
+    groups, in a total order, so both sides see the same table even if it is
+    recomputed.  Groups beyond that bound join unsalted -- slower, never wrong.
+    """
+    key = ["subscription_channel", "_cell"]
+    hot_channels = (
+        channels.groupBy("subscription_channel")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > F.lit(hot_rows))
+        .select("subscription_channel")
+    )
+    if hot_channels.isEmpty():
+        return probe, build, key
+    hot = (
+        members.join(hot_channels, "subscription_channel", "left_semi")
+        .groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > F.lit(hot_rows))
+        .orderBy(F.col("_n").desc(), *key)
+        .limit(MAX_HOT_KEYS)
+        .select(*key, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_s"))
+    )
+    salts = F.broadcast(hot)
+    s = F.coalesce(F.col("_s"), F.lit(1))
+
+    def salted(side: DataFrame, user: str, own: str, other: str) -> DataFrame:
+        return (
+            side.join(salts, key, "left")
+            .withColumn(own, F.pmod(F.xxhash64(user), s).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), s - 1)))
+            .drop("_s")
+        )
+
+    return salted(probe, "_u1", "_a", "_b"), salted(build, "_u2", "_b", "_a"), [*key, "_a", "_b"]
+
+
 def zoned_positions(positions: DataFrame, cities: DataFrame) -> DataFrame:
     """Latest positions with ``zone_ids``: the nearest city ids (ties kept).
 

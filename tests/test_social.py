@@ -120,7 +120,19 @@ def test_grid_join_with_one_hot_cell(spark):
     positions = spark.createDataFrame(pos, "user_id bigint, lat double, lon double")
     channels = spark.createDataFrame(chans, "user_id bigint, subscription_channel bigint")
     contacts = spark.createDataFrame([(0, 1)], "user_left bigint, user_right bigint")
-    got = nearby_pairs(channels, positions, contacts).select("user_left", "user_right")
     want = _brute_nearby(channels, positions, contacts, 1.0)
-    assert got.count() == 120 * 119 // 2 - 1
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    for hot_rows in (2000, 25, 7):  # no salting, then 5 and 18 salts per side for the hot cell
+        got = nearby_pairs(channels, positions, contacts, hot_rows=hot_rows).select("user_left", "user_right")
+        assert got.count() == 120 * 119 // 2 - 1
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_salted_join_keeps_per_channel_multiplicity(spark):
+    positions = spark.createDataFrame([(u, 0.0, 0.0001 * u) for u in range(30)], "user_id bigint, lat double, lon double")
+    channels = spark.createDataFrame([(u, c) for u in range(30) for c in (1, 2)],
+                                     "user_id bigint, subscription_channel bigint")
+    contacts = spark.createDataFrame([(0, 1)], "user_left bigint, user_right bigint")
+    plain = nearby_pairs(channels, positions, contacts, hot_rows=1000).select("user_left", "user_right")
+    salted = nearby_pairs(channels, positions, contacts, hot_rows=4).select("user_left", "user_right")
+    assert plain.count() == 2 * (30 * 29 // 2 - 1)
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
