@@ -8,6 +8,9 @@ turns "within ``max_km``" into an equi-join on neighbouring cells, and the
 exact distance is checked afterwards.  The output keeps the reference's row
 multiplicity (one row per shared channel, one per tied zone city).
 
+Hot (channel, cell) groups -- skewed in output, not input -- are salted on
+both sides; see ``_split_hot_cells``.
+
 Channel-wide pair *counts* are computed arithmetically (``n*(n-1)/2`` minus
 the contact pairs inside the channel) without ever emitting the pairs.
 """
