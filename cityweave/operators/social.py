@@ -108,19 +108,31 @@ def channel_pair_counts(channels: DataFrame) -> DataFrame:
 def pairs_without_contact_counts(channels: DataFrame, contacts: DataFrame) -> DataFrame:
     """Per channel: pairs, pairs already in contact, and pairs without contact.
 
-    Contact pairs inside a channel come from joining each contact pair with
-    the channels of both ends -- work bounded by contacts x channels per
-    user, never by channel size squared.
+    A contact pair counts in every channel both users subscribe to.  Each
+    pair expands only the channels of its end with *fewer* subscriptions and
+    keeps those the other end also has (a semi-join), so the work per pair is
+    ``min(channels(a), channels(b))`` -- a user with huge contact and channel
+    lists never multiplies the two.
     """
-    left = channels.select(F.col("user_id").alias("user_left"), "subscription_channel")
-    right = channels.select(F.col("user_id").alias("user_right"), "subscription_channel")
-    in_contact = (
+    per_user = channels.groupBy("user_id").agg(F.count(F.lit(1)).alias("_h"))
+    sized = (
         contacts.where(F.col("user_left") < F.col("user_right"))
-        .join(left, "user_left")
-        .join(right, ["user_right", "subscription_channel"])
-        .groupBy("subscription_channel")
-        .agg(F.count(F.lit(1)).alias("n_contact_pairs"))
+        .join(per_user.select(F.col("user_id").alias("user_left"), F.col("_h").alias("_hl")), "user_left")
+        .join(per_user.select(F.col("user_id").alias("user_right"), F.col("_h").alias("_hr")), "user_right")
     )
+    left_smaller = F.col("_hl") <= F.col("_hr")
+    oriented = sized.select(
+        F.when(left_smaller, F.col("user_left")).otherwise(F.col("user_right")).alias("_probe"),
+        F.when(left_smaller, F.col("user_right")).otherwise(F.col("user_left")).alias("_other"),
+    )
+    shared = oriented.join(
+        channels.select(F.col("user_id").alias("_probe"), "subscription_channel"), "_probe"
+    ).join(
+        channels.select(F.col("user_id").alias("_other"), "subscription_channel"),
+        ["_other", "subscription_channel"],
+        "left_semi",
+    )
+    in_contact = shared.groupBy("subscription_channel").agg(F.count(F.lit(1)).alias("n_contact_pairs"))
     return (
         channel_pair_counts(channels)
         .join(in_contact, "subscription_channel", "left")

@@ -136,3 +136,20 @@ def test_salted_join_keeps_per_channel_multiplicity(spark):
     salted = nearby_pairs(channels, positions, contacts, hot_rows=4).select("user_left", "user_right")
     assert plain.count() == 2 * (30 * 29 // 2 - 1)
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_contact_counts_match_pair_enumeration(spark):
+    rnd = random.Random(21)
+    chans = [(u, c) for u in range(40) for c in range(12) if rnd.random() < (0.9 if u < 3 else 0.25)]
+    contacts = sorted({(min(a, b), max(a, b)) for a, b in ((rnd.randrange(40), rnd.randrange(40)) for _ in range(150))})
+    channels = spark.createDataFrame(chans, "user_id bigint, subscription_channel bigint")
+    cdf = spark.createDataFrame(contacts, "user_left bigint, user_right bigint")
+    got = {r.subscription_channel: tuple(r)[1:] for r in pairs_without_contact_counts(channels, cdf).collect()}
+    members = {}
+    for u, c in chans:
+        members.setdefault(c, set()).add(u)
+    cset = set(contacts)
+    for c, us in members.items():
+        pairs = [(a, b) for a in us for b in us if a < b]
+        in_contact = sum(1 for p in pairs if p in cset)
+        assert got[c] == (len(pairs), in_contact, len(pairs) - in_contact)
