@@ -45,6 +45,8 @@ MAX_ARRAY_CITIES = 2048
 # cell spans the whole globe, where every city is a candidate.
 GRID_START_KM = 50.0
 GRID_GROWTH = 4.0
+# Largest city-cell table (27 rows per city) the grid strategy broadcasts.
+MAX_BROADCAST_CELL_ROWS = 4_000_000
 
 CITY_OUT = ("city_id", "city_name")
 
@@ -145,6 +147,9 @@ def nearest_by_grid(
     """
     spark = points.sparkSession
     checkpoint_dir(spark)
+    # 27 cell copies per city: broadcast when that is provably small, so the
+    # points never shuffle into (possibly very dense) cells.
+    ship = F.broadcast if 27 * dictionary_rows(cities) <= MAX_BROADCAST_CELL_ROWS else (lambda df: df)
     lat_c, lon_c = _c(lat), _c(lon)
     pending = (
         points.select(lat_c.alias("_lat"), lon_c.alias("_lon"))
@@ -165,7 +170,7 @@ def nearest_by_grid(
         )
         cand = (
             pending.withColumn("_cell", grid_cell("_lat", "_lon", cell))
-            .join(city_cells, "_cell", "left")
+            .join(ship(city_cells), "_cell", "left")
             .withColumn("_d", haversine_km("_lat", "_lon", "city_lat", "city_lon"))
         )
         w = Window.partitionBy("_lat", "_lon").orderBy(F.col("_d").asc_nulls_last())
