@@ -16,8 +16,9 @@ Two strategies for the distance search, picked by the dictionary size:
 * array (small dictionaries): the dictionary becomes one array value through
   an uncorrelated scalar subquery -- computed once, shipped to tasks like a
   broadcast -- and every point takes the argmin over it.
-* grid (large dictionaries): exact search over 3-D grid cells of doubling
-  width (see ``nearest_by_grid``); only equi-joins, nothing broadcast.
+* grid (large dictionaries): exact search over 3-D grid cells of growing
+  width (see ``nearest_by_grid``); equi-joins on cells, the city-cell table
+  broadcast only within a proven size bound.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ from cityweave.session import checkpoint_dir
 # wire and per-row work stay bounded by this number.
 MAX_ARRAY_CITIES = 2048
 
-# Grid strategy: first cell width and growth factor.  Widths double until a
+# Grid strategy: first cell width and growth factor.  Widths grow until a
 # cell spans the whole globe, where every city is a candidate.
 GRID_START_KM = 50.0
 GRID_GROWTH = 4.0
@@ -133,7 +134,7 @@ def nearest_by_grid(
     start_km: float = GRID_START_KM,
     growth: float = GRID_GROWTH,
 ) -> DataFrame:
-    """Exact nearest cities without broadcasting the dictionary.
+    """Exact nearest cities for dictionaries too large to ship to every row.
 
     Works on distinct coordinates, level by level.  At width ``w`` each point
     meets the cities of its 27 neighbouring cells (an equi-join; cities are

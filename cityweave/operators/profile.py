@@ -149,7 +149,7 @@ def travel_events(closest: DataFrame, bucket_unit: str = "day") -> DataFrame:
     return (
         rows.join(carried, ["user_id", "_b"], "left")
         .where(prev.isNull() | (F.col("city_name") != prev))
-        .select("user_id", "message_id", "message_ts", "city_id", "city_name", "_b")
+        .select("user_id", "message_id", "message_ts", "city_id", "city_name")
     )
 
 

@@ -153,3 +153,14 @@ def test_contact_counts_match_pair_enumeration(spark):
         pairs = [(a, b) for a in us for b in us if a < b]
         in_contact = sum(1 for p in pairs if p in cset)
         assert got[c] == (len(pairs), in_contact, len(pairs) - in_contact)
+
+
+def test_zone_per_user_equals_zone_per_pair_row(spark):
+    from cityweave.operators.social import pair_zones, zoned_nearby_pairs
+
+    events, cities = _inputs(spark, SF_SMALL)
+    near = nearby_pairs(user_channels(events), latest_action(events), contact_pairs(events))
+    per_row = pair_zones(near, cities).select("user_left", "user_right", "zone_id")
+    per_user = zoned_nearby_pairs(events, cities).select("user_left", "user_right", "zone_id")
+    assert per_row.count() == 20
+    assert per_row.exceptAll(per_user).count() == 0 and per_user.exceptAll(per_row).count() == 0
