@@ -122,3 +122,19 @@ def test_cluster_conf_scales_with_shuffle_size():
     big = cluster_conf(10 * 1024**4, cores=8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert int(big["spark.sql.shuffle.partitions"]) == 40960
+
+
+def test_nested_fields_are_pruned_in_the_scan(spark, tmp_path):
+    from cityweave.operators.social import user_channels
+    from cityweave.sources.events import flatten_events
+
+    root = tmp_path / "events"
+    fixture.geo_events(spark, SF_SMALL).drop("event_id").write.partitionBy("date").parquet(str(root))
+    events = flatten_events(read_events(spark, f"{root}/date", "2024-01-31", 31))
+    df = user_channels(events)
+    df.count()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    schema = [line for line in plan.split("\n") if "FileScan" in line][0].split("ReadSchema: ")[1]
+    assert "user" in schema and "subscription_channel" in schema
+    for unused in ("message_ts", "reaction_from", "message_to", "lat"):
+        assert unused not in schema
