@@ -41,6 +41,8 @@ def test_read_events_window_with_gap(spark, tmp_path):
     assert "2022-06-19" in scan and "2022-06-21" in scan
     with pytest.raises(Exception):
         read_events(spark, base, "2022-06-21", 3, missing="error").collect()
+    strict = read_events(spark, base, "2022-06-22", 2, missing="error")  # both days present
+    assert sorted((str(r.date), r.v) for r in strict.collect()) == [("2022-06-21", 1), ("2022-06-22", 2)]
     with pytest.raises(ValueError):
         read_events(spark, base, "2022-06-21", 0)
 
