@@ -162,12 +162,12 @@ def nearest_by_grid(
     while True:
         last = width >= 2 * EARTH_RADIUS_KM
         cell = width * CELL_WIDENING
-        city_cells = cities.select(
+        city_cells = cities.withColumn("_home", grid_cell("city_lat", "city_lon", cell)).select(
             "city_id",
             "city_name",
             "city_lat",
             "city_lon",
-            F.explode(neighbour_cells(grid_cell("city_lat", "city_lon", cell))).alias("_cell"),
+            F.explode(neighbour_cells("_home")).alias("_cell"),
         )
         cand = (
             pending.withColumn("_cell", grid_cell("_lat", "_lon", cell))

@@ -213,7 +213,7 @@ def nearby_pairs(
     # copies instead of 27); every unordered pair is met exactly once.
     probe = members.select(
         "subscription_channel",
-        F.explode(forward_cells(F.col("_cell"))).alias("_p"),
+        F.explode(forward_cells("_cell")).alias("_p"),
         F.col("user_id").alias("_u1"),
         F.col("lat").alias("_lat1"),
         F.col("lon").alias("_lon1"),
