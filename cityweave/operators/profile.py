@@ -118,11 +118,58 @@ def user_cities(current: DataFrame, home: DataFrame) -> DataFrame:
     return current.join(home, "user_id", "left").select("user_id", "act_city", "home_city", "local_time")
 
 
-def _bucket(unit: str):
-    return F.date_trunc(unit, F.col("message_ts"))
+# A user with more located messages than this gets equal-width time buckets
+# sized to hold about this many rows each (instead of calendar buckets), so
+# no single (user, bucket) window sorts a huge share of the data.  At most
+# MAX_HOT_USERS users are treated this way (bound of the broadcast table).
+HOT_USER_ROWS = 1_000_000
+MAX_HOT_USERS = 100_000
+
+
+def _bucketed(closest: DataFrame, unit: str, hot_rows: int) -> DataFrame:
+    """``closest`` with ``_b``: the start of the row's time bucket.
+
+    Calendar buckets (``date_trunc(unit)``) for ordinary users; for users
+    above ``hot_rows`` rows, ``width = span * hot_rows / rows`` microseconds
+    (at least 1), so their history splits into ~``rows / hot_rows`` buckets.
+    Buckets of one user never overlap, so ordering them by start keeps time
+    order.  Rows sharing one timestamp stay in one bucket.  The per-user
+    statistics read ``closest`` a second time: pass a materialised
+    (checkpointed) table, as the profile job does.
+    """
+    ts = F.col("message_ts")
+    micros = F.unix_micros(ts)
+    # count(struct(all columns)) counts every row (a struct is never NULL) and,
+    # by reading the same columns as the window branch, keeps both branches'
+    # plans identical so Spark computes their common input once.
+    hot = (
+        closest.groupBy("user_id")
+        .agg(
+            F.count(F.struct(*closest.columns)).alias("_n"),
+            F.min(micros).alias("_lo"),
+            F.max(micros).alias("_hi"),
+        )
+        .where(F.col("_n") > F.lit(hot_rows))
+        .orderBy(F.col("_n").desc(), "user_id")
+        .limit(MAX_HOT_USERS)
+        .select(
+            "user_id",
+            F.greatest(
+                F.lit(1).cast("long"),
+                F.floor((F.col("_hi") - F.col("_lo")) * F.lit(hot_rows) / F.col("_n")).cast("long"),
+            ).alias("_w"),
+        )
+    )
+    width = F.col("_w")
+    bucket = F.when(width.isNull(), F.date_trunc(unit, ts)).otherwise(
+        F.timestamp_micros(F.floor(micros / width).cast("long") * width)
+    )
+    return closest.join(F.broadcast(hot), "user_id", "left").withColumn("_b", bucket).drop("_w")
 
 
-def travel_events(closest: DataFrame, bucket_unit: str = "day") -> DataFrame:
+def travel_events(
+    closest: DataFrame, bucket_unit: str = "day", hot_rows: int = HOT_USER_ROWS
+) -> DataFrame:
     """Rows where a user's city differs from the previous row's (first row included).
 
     Computed in two levels so no single task sorts a user's whole history:
@@ -131,8 +178,8 @@ def travel_events(closest: DataFrame, bucket_unit: str = "day") -> DataFrame:
     (a handful of rows per user and day).
     """
     order = [F.col(c).asc_nulls_first() for c in ORDER]
-    rows = closest.select("user_id", "message_id", "message_ts", "city_id", "city_name").withColumn(
-        "_b", _bucket(bucket_unit)
+    rows = _bucketed(
+        closest.select("user_id", "message_id", "message_ts", "city_id", "city_name"), bucket_unit, hot_rows
     )
     w_in = Window.partitionBy("user_id", "_b").orderBy(*order)
     rows = rows.withColumn("_prev", F.lag("city_name").over(w_in)).withColumn(
@@ -153,7 +200,9 @@ def travel_events(closest: DataFrame, bucket_unit: str = "day") -> DataFrame:
     )
 
 
-def travel_stats(closest: DataFrame, bucket_unit: str = "day") -> DataFrame:
+def travel_stats(
+    closest: DataFrame, bucket_unit: str = "day", hot_rows: int = HOT_USER_ROWS
+) -> DataFrame:
     """``travel_count`` and the ordered itinerary ``travel_array`` per user.
 
     Two levels, two shuffles.  Inside each (user, bucket) a window marks the
@@ -168,8 +217,11 @@ def travel_stats(closest: DataFrame, bucket_unit: str = "day") -> DataFrame:
     order = [F.col(c).asc_nulls_first() for c in ORDER]
     w_in = Window.partitionBy("user_id", "_b").orderBy(*order)
     rows = (
-        closest.select("user_id", "message_id", "message_ts", "city_id", "city_name")
-        .withColumn("_b", _bucket(bucket_unit))
+        _bucketed(
+            closest.select("user_id", "message_id", "message_ts", "city_id", "city_name"),
+            bucket_unit,
+            hot_rows,
+        )
         .withColumn("_prev", F.lag("city_name").over(w_in))
         .withColumn("_first", F.row_number().over(w_in) == 1)
     )
@@ -233,7 +285,13 @@ def travel_stats(closest: DataFrame, bucket_unit: str = "day") -> DataFrame:
 PROFILE_COLUMNS = ("user_id", "act_city", "home_city", "travel_count", "travel_array", "local_time")
 
 
-def user_geo_profile(closest: DataFrame, tz: str = DEFAULT_TIME_ZONE, bucket_unit: str = "day") -> DataFrame:
+def user_geo_profile(
+    closest: DataFrame,
+    tz: str = DEFAULT_TIME_ZONE,
+    bucket_unit: str = "day",
+    hot_rows: int = HOT_USER_ROWS,
+) -> DataFrame:
     """The profile mart: one row per user with a located message."""
     places = user_places(closest, tz)
-    return places.join(travel_stats(closest, bucket_unit), "user_id", "left").select(*PROFILE_COLUMNS)
+    stats = travel_stats(closest, bucket_unit, hot_rows)
+    return places.join(stats, "user_id", "left").select(*PROFILE_COLUMNS)

@@ -18,7 +18,7 @@ from cityweave.functions.calendar import iso_week_of, local_time, month_of
 from cityweave.functions.parsing import event_time
 from cityweave.operators import nearest as nearest_ops
 from cityweave.operators import profile, social, zones
-from cityweave.session import prepare_session
+from cityweave.session import checkpoint_dir, prepare_session
 from cityweave.sources import fixture
 from cityweave.sources.events import date_window, flatten_events
 
@@ -54,9 +54,19 @@ def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return _FLAT[key], fixture.cities(spark, sf_dir)
 
 
-def _closest_messages(spark, sf_dir) -> DataFrame:
+def _closest_messages(spark, sf_dir, materialize: bool = False) -> DataFrame:
+    """Nearest city per message.
+
+    ``materialize`` checkpoints it (shared checkpoint folder) for consumers
+    that read it in several branches -- the itinerary's hot-user statistics
+    and its windows -- as ``run_profile_job`` does.
+    """
     events, cities = _inputs(spark, sf_dir)
-    return profile.closest_message_cities(profile.message_points(events), cities)
+    closest = profile.closest_message_cities(profile.message_points(events), cities)
+    if materialize:
+        checkpoint_dir(spark)
+        closest = closest.checkpoint(eager=True)
+    return closest
 
 
 def _closest_events(spark, sf_dir, key=zones.KEYED) -> DataFrame:
@@ -155,7 +165,7 @@ def user_cities(spark, sf_dir):
 
 
 def travel_events(spark, sf_dir):
-    t = profile.travel_events(_closest_messages(spark, sf_dir))
+    t = profile.travel_events(_closest_messages(spark, sf_dir, materialize=True))
     return t.select("user_id", "message_id", _ntz("message_ts").alias("message_ts"),
                     "city_id", "city_name")
 
@@ -165,12 +175,12 @@ def _itinerary_text(c: str = "travel_array") -> Column:
 
 
 def travel_stats(spark, sf_dir):
-    t = profile.travel_stats(_closest_messages(spark, sf_dir))
+    t = profile.travel_stats(_closest_messages(spark, sf_dir, materialize=True))
     return t.select("user_id", "travel_count", _itinerary_text())
 
 
 def user_geo_profile(spark, sf_dir):
-    p = profile.user_geo_profile(_closest_messages(spark, sf_dir))
+    p = profile.user_geo_profile(_closest_messages(spark, sf_dir, materialize=True))
     return p.select("user_id", "act_city", "home_city", "travel_count", _itinerary_text(),
                     _ntz("local_time").alias("local_time"))
 

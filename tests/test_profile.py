@@ -58,8 +58,8 @@ def test_two_level_itinerary_matches_single_window(spark):
             data.append((user, mid, t, None if name is None else name.lower(), name))
             mid += 1
     df = _closest(spark, data)
-    for unit in ("hour", "day", "month"):
-        got = travel_events(df, bucket_unit=unit).select("user_id", "message_id", "city_id")
+    for unit, hot in (("hour", 10**6), ("day", 10**6), ("month", 10**6), ("month", 5)):
+        got = travel_events(df, bucket_unit=unit, hot_rows=hot).select("user_id", "message_id", "city_id")
         want = _brute_travel(df).select("user_id", "message_id", "city_id")
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     stats = {r.user_id: r for r in travel_stats(df, "hour").collect()}
@@ -114,9 +114,9 @@ def test_stitched_stats_match_single_window(spark):
         F.array_sort(F.collect_list(F.struct("message_ts", "message_id", "city_id", "city_name"))).alias("s"),
     ).select("user_id", "travel_count",
              F.filter(F.transform("s", lambda x: x["city_name"]), lambda x: x.isNotNull()).alias("travel_array"))
-    for unit in ("hour", "day", "week"):
-        got = travel_stats(df, unit)
-        assert rows(got) == rows(want), unit
+    for unit, hot in (("hour", 10**6), ("day", 10**6), ("week", 10**6), ("day", 7), ("week", 3)):
+        got = travel_stats(df, unit, hot_rows=hot)
+        assert rows(got) == rows(want), (unit, hot)
 
 
 def test_message_time_fields_and_parsed_order(spark):
