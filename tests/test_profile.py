@@ -142,3 +142,25 @@ def test_message_time_fields_and_parsed_order(spark):
 def test_home_city_is_by_name_not_id(spark):
     data = [(1, 1, T0, "10", "Sydney"), (1, 2, T0 + dt.timedelta(hours=1), "11", "Sydney")]
     assert rows(home_city(_closest(spark, data))) == [(1, "Sydney")]
+
+
+def test_places_aggregation_equals_window_form(spark):
+    rnd = random.Random(4)
+    data, mid = [], 0
+    for user in range(30):
+        for _ in range(rnd.randint(1, 12)):
+            t = T0 + dt.timedelta(hours=rnd.randint(0, 40))
+            for city in rnd.sample(["A", "B", "C", None], rnd.choice([1, 1, 2])):
+                data.append((user, mid, t, None if city is None else city.lower(), city))
+            mid += 1
+    df = _closest(spark, data)
+    per_city = df.groupBy("user_id", "city_name").count()
+    w_all = Window.partitionBy("user_id")
+    home_w = per_city.withColumn("n", F.count(F.lit(1)).over(w_all)).where("n = 1").select(
+        "user_id", F.col("city_name").alias("home_city"))
+    assert rows(home_city(df)) == rows(home_w)
+    w_last = Window.partitionBy("user_id").orderBy(
+        F.col("message_ts").desc(), F.col("message_id").desc(), F.col("city_id").asc())
+    cur_w = df.withColumn("rn", F.row_number().over(w_last)).where("rn = 1").select(
+        "user_id", F.col("city_name").alias("act_city"))
+    assert rows(current_city(df).select("user_id", "act_city")) == rows(cur_w)
