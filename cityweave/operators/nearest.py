@@ -97,9 +97,9 @@ def nearest_by_array(
 ) -> DataFrame:
     """Per-row argmin over the city array; one output row per tied city.
 
-    Per row only a ``double`` array of distances is built; the winning
-    positions (every index at the minimum) are exploded and the city looked
-    up by index, so city names are touched for the winners only.
+    Per row only a ``double`` array of distances is built; the cities at the
+    minimum (every index where it is reached) are looked up by index and
+    exploded, so city names are touched for the winners only.
     """
     lat_c, lon_c = _c(lat), _c(lon)
     # The subquery is projected first: Spark evaluates it once per query and
@@ -107,19 +107,21 @@ def nearest_by_array(
     distances = F.transform(
         F.col("_cities"), lambda c: haversine_km(lat_c, lon_c, c["city_lat"], c["city_lon"])
     )
-    winners = F.filter(
+    at_min = F.filter(
         F.sequence(F.lit(0), F.size("_ds") - 1), lambda i: F.get(F.col("_ds"), i) == F.col("_best")
     )
-    hit = F.get(F.col("_cities"), F.col("_i"))
+    # the winners (usually one) are picked before the explode, so the city
+    # and distance arrays are not carried through it
+    winners = F.transform(at_min, lambda i: F.get(F.col("_cities"), i))
     return (
         points.withColumn("_cities", city_array(cities, max_cities))
         .withColumn("_ds", distances)
         .withColumn("_best", F.array_min("_ds"))
-        .withColumn("_i", F.explode(winners))
+        .withColumn("_hit", F.explode(winners))
         .select(
             *[F.col(c) for c in points.columns],
-            hit["city_id"].alias("city_id"),
-            hit["city_name"].alias("city_name"),
+            F.col("_hit.city_id").alias("city_id"),
+            F.col("_hit.city_name").alias("city_name"),
             F.col("_best").alias(distance_col),
         )
     )
