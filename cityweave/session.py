@@ -34,7 +34,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster.
 
     Reads ``spark.checkpoint.dir`` (or the context's current directory).  Only
-    when neither is set -- a local test session -- a scratch folder is created.
+    a local session without either gets a scratch folder; on a cluster a
+    machine-local folder would be wrong, so the setting is required there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -42,6 +43,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="cityweave-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
