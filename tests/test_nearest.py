@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from cityweave.operators.nearest import nearest_city
@@ -55,3 +57,17 @@ def test_empty_dictionary_gives_no_rows(spark):
     pts = spark.createDataFrame([(1, 0.0, 0.0)], "pid int, lat double, lon double")
     empty = _cities(spark).where("false")
     assert nearest_city(pts, empty).count() == 0
+
+
+def test_auto_strategy_switches_and_array_bound_is_enforced(spark):
+    rnd = random.Random(2)
+    cities = [(str(i), f"c{i}", rnd.uniform(-60, 60), rnd.uniform(-180, 180)) for i in range(12)]
+    cdf = spark.createDataFrame(cities, "city_id string, city_name string, city_lat double, city_lon double")
+    pdf = spark.createDataFrame([(i, rnd.uniform(-60, 60), rnd.uniform(-180, 180)) for i in range(30)],
+                                "pid int, lat double, lon double")
+    small = nearest_city(pdf, cdf, max_array_cities=100)
+    large = nearest_city(pdf, cdf, max_array_cities=5)  # auto -> grid
+    assert rows(small, "pid", "city_id") == rows(large, "pid", "city_id")
+    assert "Subquery" not in large._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(Exception, match="larger than 5"):
+        nearest_city(pdf, cdf, strategy="array", max_array_cities=5).collect()
