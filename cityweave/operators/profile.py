@@ -126,11 +126,11 @@ HOT_USER_ROWS = 1_000_000
 MAX_HOT_USERS = 100_000
 
 
-def _bucketed(closest: DataFrame, unit: str, hot_rows: int) -> DataFrame:
+def _bucketed(closest: DataFrame, unit: str, hot_rows: int | None) -> DataFrame:
     """``closest`` with ``_b``: the start of the row's time bucket.
 
-    Calendar buckets (``date_trunc(unit)``) for ordinary users; for users
-    above ``hot_rows`` rows, ``width = span * hot_rows / rows`` microseconds
+    Calendar buckets (``date_trunc(unit)``) for ordinary users (for everyone
+    when ``hot_rows`` is None); for users above ``hot_rows`` rows, ``width = span * hot_rows / rows`` microseconds
     (at least 1), so their history splits into ~``rows / hot_rows`` buckets.
     Buckets of one user never overlap, so ordering them by start keeps time
     order.  Rows sharing one timestamp stay in one bucket.  The per-user
@@ -138,17 +138,12 @@ def _bucketed(closest: DataFrame, unit: str, hot_rows: int) -> DataFrame:
     (checkpointed) table, as the profile job does.
     """
     ts = F.col("message_ts")
+    if hot_rows is None:
+        return closest.withColumn("_b", F.date_trunc(unit, ts))
     micros = F.unix_micros(ts)
-    # count(struct(all columns)) counts every row (a struct is never NULL) and,
-    # by reading the same columns as the window branch, keeps both branches'
-    # plans identical so Spark computes their common input once.
     hot = (
         closest.groupBy("user_id")
-        .agg(
-            F.count(F.struct(*closest.columns)).alias("_n"),
-            F.min(micros).alias("_lo"),
-            F.max(micros).alias("_hi"),
-        )
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(micros).alias("_lo"), F.max(micros).alias("_hi"))
         .where(F.col("_n") > F.lit(hot_rows))
         .orderBy(F.col("_n").desc(), "user_id")
         .limit(MAX_HOT_USERS)
@@ -168,7 +163,7 @@ def _bucketed(closest: DataFrame, unit: str, hot_rows: int) -> DataFrame:
 
 
 def travel_events(
-    closest: DataFrame, bucket_unit: str = "day", hot_rows: int = HOT_USER_ROWS
+    closest: DataFrame, bucket_unit: str = "day", hot_rows: int | None = HOT_USER_ROWS
 ) -> DataFrame:
     """Rows where a user's city differs from the previous row's (first row included).
 
@@ -201,7 +196,7 @@ def travel_events(
 
 
 def travel_stats(
-    closest: DataFrame, bucket_unit: str = "day", hot_rows: int = HOT_USER_ROWS
+    closest: DataFrame, bucket_unit: str = "day", hot_rows: int | None = HOT_USER_ROWS
 ) -> DataFrame:
     """``travel_count`` and the ordered itinerary ``travel_array`` per user.
 
@@ -289,9 +284,13 @@ def user_geo_profile(
     closest: DataFrame,
     tz: str = DEFAULT_TIME_ZONE,
     bucket_unit: str = "day",
-    hot_rows: int = HOT_USER_ROWS,
+    hot_rows: int | None = HOT_USER_ROWS,
 ) -> DataFrame:
-    """The profile mart: one row per user with a located message."""
+    """The profile mart: one row per user with a located message.
+
+    ``hot_rows=None`` uses calendar buckets for everyone (no hot-user
+    statistics: for inputs known to have no hot user).
+    """
     places = user_places(closest, tz)
     stats = travel_stats(closest, bucket_unit, hot_rows)
     return places.join(stats, "user_id", "left").select(*PROFILE_COLUMNS)

@@ -54,19 +54,21 @@ def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return _FLAT[key], fixture.cities(spark, sf_dir)
 
 
-def _closest_messages(spark, sf_dir, materialize: bool = False) -> DataFrame:
-    """Nearest city per message.
+def _closest_messages(spark, sf_dir) -> DataFrame:
+    """Nearest city per message."""
+    events, cities = _inputs(spark, sf_dir)
+    return profile.closest_message_cities(profile.message_points(events), cities)
+
 
-    ``materialize`` checkpoints it (shared checkpoint folder) for consumers
-    that read it in several branches -- the itinerary's hot-user statistics
-    and its windows -- as ``run_profile_job`` does.
+def _itinerary_input(spark, sf_dir) -> tuple[DataFrame, int]:
+    """Nearest city per message, checkpointed, and the hot-user threshold.
+
+    The itinerary reads the table twice (hot-user statistics, then the
+    windows), so it is materialised once in the shared checkpoint folder,
+    as ``run_profile_job`` does.
     """
-    events, cities = _inputs(spark, sf_dir)
-    closest = profile.closest_message_cities(profile.message_points(events), cities)
-    if materialize:
-        checkpoint_dir(spark)
-        closest = closest.checkpoint(eager=True)
-    return closest
+    checkpoint_dir(spark)
+    return _closest_messages(spark, sf_dir).checkpoint(eager=True), profile.HOT_USER_ROWS
 
 
 def _closest_events(spark, sf_dir, key=zones.KEYED) -> DataFrame:
@@ -165,7 +167,8 @@ def user_cities(spark, sf_dir):
 
 
 def travel_events(spark, sf_dir):
-    t = profile.travel_events(_closest_messages(spark, sf_dir, materialize=True))
+    closest, hot_rows = _itinerary_input(spark, sf_dir)
+    t = profile.travel_events(closest, hot_rows=hot_rows)
     return t.select("user_id", "message_id", _ntz("message_ts").alias("message_ts"),
                     "city_id", "city_name")
 
@@ -175,12 +178,14 @@ def _itinerary_text(c: str = "travel_array") -> Column:
 
 
 def travel_stats(spark, sf_dir):
-    t = profile.travel_stats(_closest_messages(spark, sf_dir, materialize=True))
+    closest, hot_rows = _itinerary_input(spark, sf_dir)
+    t = profile.travel_stats(closest, hot_rows=hot_rows)
     return t.select("user_id", "travel_count", _itinerary_text())
 
 
 def user_geo_profile(spark, sf_dir):
-    p = profile.user_geo_profile(_closest_messages(spark, sf_dir, materialize=True))
+    closest, hot_rows = _itinerary_input(spark, sf_dir)
+    p = profile.user_geo_profile(closest, hot_rows=hot_rows)
     return p.select("user_id", "act_city", "home_city", "travel_count", _itinerary_text(),
                     _ntz("local_time").alias("local_time"))
 
