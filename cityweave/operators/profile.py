@@ -130,8 +130,10 @@ def _bucketed(closest: DataFrame, unit: str, hot_rows: int | None) -> DataFrame:
     """``closest`` with ``_b``: the start of the row's time bucket.
 
     Calendar buckets (``date_trunc(unit)``) for ordinary users (for everyone
-    when ``hot_rows`` is None); for users above ``hot_rows`` rows, ``width = span * hot_rows / rows`` microseconds
-    (at least 1), so their history splits into ~``rows / hot_rows`` buckets.
+    when ``hot_rows`` is None); for users above ``hot_rows`` rows,
+    ``width = span * hot_rows / rows`` microseconds (at least 1, computed in
+    double so long spans cannot overflow), so their history splits into
+    ~``rows / hot_rows`` buckets.
     Buckets of one user never overlap, so ordering them by start keeps time
     order.  Rows sharing one timestamp stay in one bucket.  The per-user
     statistics read ``closest`` a second time: pass a materialised
@@ -151,7 +153,9 @@ def _bucketed(closest: DataFrame, unit: str, hot_rows: int | None) -> DataFrame:
             "user_id",
             F.greatest(
                 F.lit(1).cast("long"),
-                F.floor((F.col("_hi") - F.col("_lo")) * F.lit(hot_rows) / F.col("_n")).cast("long"),
+                F.floor(
+                    (F.col("_hi") - F.col("_lo")).cast("double") * F.lit(float(hot_rows)) / F.col("_n")
+                ).cast("long"),
             ).alias("_w"),
         )
     )

@@ -164,3 +164,11 @@ def test_places_aggregation_equals_window_form(spark):
     cur_w = df.withColumn("rn", F.row_number().over(w_last)).where("rn = 1").select(
         "user_id", F.col("city_name").alias("act_city"))
     assert rows(current_city(df).select("user_id", "act_city")) == rows(cur_w)
+
+
+def test_hot_user_buckets_over_a_long_span(spark):
+    # two years of one user's messages: the width arithmetic must not overflow
+    data = [(1, i, T0 + dt.timedelta(days=7 * i), str(i % 3), "ABC"[i % 3]) for i in range(104)]
+    df = _closest(spark, data)
+    got = travel_stats(df, "day", hot_rows=10).collect()[0]
+    assert got.travel_count == 104 and got.travel_array[:4] == ["A", "B", "C", "A"]
