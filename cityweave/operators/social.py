@@ -102,7 +102,13 @@ def latest_action(events: DataFrame) -> DataFrame:
 def channel_pair_counts(channels: DataFrame) -> DataFrame:
     """Per channel: subscribers and the number of unordered subscriber pairs."""
     counted = channels.groupBy("subscription_channel").agg(F.count(F.lit(1)).alias("n_users"))
-    return counted.withColumn("n_pairs", F.expr("n_users * (n_users - 1) div 2"))
+    # halve the even factor first: n*(n-1) alone would overflow long long
+    # before the pair count itself does
+    pairs = F.expr(
+        "CASE WHEN n_users % 2 = 0 THEN (n_users div 2) * (n_users - 1)"
+        " ELSE n_users * ((n_users - 1) div 2) END"
+    )
+    return counted.withColumn("n_pairs", pairs)
 
 
 def pairs_without_contact_counts(channels: DataFrame, contacts: DataFrame) -> DataFrame:
