@@ -120,8 +120,9 @@ def user_cities(current: DataFrame, home: DataFrame) -> DataFrame:
 
 # A user with more located messages than this gets equal-width time buckets
 # sized to hold about this many rows each (instead of calendar buckets), so
-# no single (user, bucket) window sorts a huge share of the data.  At most
-# MAX_HOT_USERS users are treated this way (bound of the broadcast table).
+# no single (user, bucket) window sorts a huge share of the data.  The
+# per-user widths are broadcast when at most MAX_HOT_USERS users are hot
+# (counted first), else joined by shuffle.
 HOT_USER_ROWS = 1_000_000
 MAX_HOT_USERS = 100_000
 
@@ -136,8 +137,9 @@ def _bucketed(closest: DataFrame, unit: str, hot_rows: int | None) -> DataFrame:
     ~``rows / hot_rows`` buckets.
     Buckets of one user never overlap, so ordering them by start keeps time
     order.  Rows sharing one timestamp stay in one bucket.  The per-user
-    statistics read ``closest`` a second time: pass a materialised
-    (checkpointed) table, as the profile job does.
+    statistics are counted first (an action reading ``closest``): pass a
+    materialised (checkpointed) table, as the profile job does.  Without
+    hot users the calendar buckets are used and no join is added.
     """
     ts = F.col("message_ts")
     if hot_rows is None:
@@ -147,8 +149,6 @@ def _bucketed(closest: DataFrame, unit: str, hot_rows: int | None) -> DataFrame:
         closest.groupBy("user_id")
         .agg(F.count(F.lit(1)).alias("_n"), F.min(micros).alias("_lo"), F.max(micros).alias("_hi"))
         .where(F.col("_n") > F.lit(hot_rows))
-        .orderBy(F.col("_n").desc(), "user_id")
-        .limit(MAX_HOT_USERS)
         .select(
             "user_id",
             F.greatest(
@@ -159,11 +159,16 @@ def _bucketed(closest: DataFrame, unit: str, hot_rows: int | None) -> DataFrame:
             ).alias("_w"),
         )
     )
+    n_hot = hot.count()
+    if n_hot == 0:
+        return closest.withColumn("_b", F.date_trunc(unit, ts))
+    # at most rows / hot_rows users can be hot; broadcast only within the bound
+    widths = F.broadcast(hot) if n_hot <= MAX_HOT_USERS else hot
     width = F.col("_w")
     bucket = F.when(width.isNull(), F.date_trunc(unit, ts)).otherwise(
         F.timestamp_micros(F.floor(micros / width).cast("long") * width)
     )
-    return closest.join(F.broadcast(hot), "user_id", "left").withColumn("_b", bucket).drop("_w")
+    return closest.join(widths, "user_id", "left").withColumn("_b", bucket).drop("_w")
 
 
 def travel_events(

@@ -31,7 +31,7 @@ from cityweave.operators.nearest import nearest_city
 DEFAULT_MAX_KM = 1.0
 
 # Members of one (channel, cell) above which the group is salted, and the
-# most hot groups salted per query (the bound on the broadcast hot-key table).
+# largest hot-key table that is broadcast (counted first).
 HOT_CELL_ROWS = 2000
 MAX_HOT_KEYS = 100_000
 
@@ -294,11 +294,9 @@ def _split_hot_cells(
 
     A group cannot have more members than its channel has subscribers, so
     when no channel exceeds ``hot_rows`` (one small aggregation over the
-    subscriptions) the plain join is kept.  Otherwise the hot-key table is
-    computed inside the same query from the members of the hot channels and
-    broadcast with a proven bound: it holds the ``MAX_HOT_KEYS`` largest
-    groups, in a total order, so both sides see the same table even if it is
-    recomputed.  Groups beyond that bound join unsalted -- slower, never wrong.
+    subscriptions) the plain join is kept.  Otherwise the hot groups of the
+    hot channels are counted: none keeps the plain join, up to
+    ``MAX_HOT_KEYS`` are broadcast, more are joined by shuffle.
     """
     key = ["subscription_channel", "_cell"]
     hot_channels = (
@@ -314,11 +312,12 @@ def _split_hot_cells(
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > F.lit(hot_rows))
-        .orderBy(F.col("_n").desc(), *key)
-        .limit(MAX_HOT_KEYS)
         .select(*key, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_s"))
     )
-    salts = F.broadcast(hot)
+    n_hot = hot.count()
+    if n_hot == 0:
+        return probe, build, key
+    salts = F.broadcast(hot) if n_hot <= MAX_HOT_KEYS else hot
     s = F.coalesce(F.col("_s"), F.lit(1))
 
     def salted(side: DataFrame, user: str, own: str, other: str) -> DataFrame:
