@@ -410,10 +410,5 @@ def pair_recommendations(
     """
     near = zoned_nearby_pairs(events, cities, max_km, cell_km, distinct_pairs)
     day, ts = _run_stamp(as_of)
-    return near.select(
-        "user_left",
-        "user_right",
-        day.alias("processed_dttm"),
-        "zone_id",
-        local_time(ts, tz).alias("local_time"),
-    )
+    stamped = near.withColumn("processed_dttm", day).withColumn("local_time", local_time(ts, tz))
+    return stamped.select(*RECOMMENDATION_COLUMNS)

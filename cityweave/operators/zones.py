@@ -82,15 +82,6 @@ def zone_week_metrics(closest: DataFrame, calendar: str = "month") -> DataFrame:
     return _with_calendar(closest, calendar).groupBy(*keys).agg(*_counts("week"))
 
 
-ZONE_COLUMNS = (
-    "month",
-    "week",
-    "zone_id",
-    *[f"week_{s}" for _, s in ZONE_COUNTS],
-    *[f"month_{s}" for _, s in ZONE_COUNTS],
-)
-
-
 def zone_metrics(closest: DataFrame, calendar: str = "month") -> DataFrame:
     """Week rows with their month totals repeated (the zone mart).
 

@@ -13,8 +13,6 @@ CITY_CSV_COLUMNS = ("id", "city", "lat", "lng")
 
 CITY_CSV_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in CITY_CSV_COLUMNS])
 
-CITY_COLUMNS = ("city_id", "city_name", "city_lat", "city_lon")
-
 
 def parse_city_dictionary(raw: DataFrame) -> DataFrame:
     """Text dictionary (``id, city, lat, lng``) -> typed cities.
