@@ -13,6 +13,10 @@ to the driver except the size-checked city dictionary, which travels the same
 way a broadcast does.
 """
 
+from cityweave.operators.nearest import nearest_city
+from cityweave.operators.profile import user_geo_profile
+from cityweave.operators.social import pair_recommendations
+from cityweave.operators.zones import zone_metrics
 from cityweave.session import prepare_session
 
-__all__ = ["prepare_session"]
+__all__ = ["nearest_city", "pair_recommendations", "prepare_session", "user_geo_profile", "zone_metrics"]
