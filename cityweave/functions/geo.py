@@ -51,6 +51,52 @@ def grid_cell(lat, lon, cell_km: float) -> Column:
     )
 
 
+def grid_position(lat, lon, cell_km: float) -> Column:
+    """``struct(cx, cy, cz, fx, fy, fz)``: the point's cell (as ``grid_cell``)
+    and its offset inside the cell along each axis, in km (0 <= f <= cell_km)."""
+    phi = F.radians(_c(lat))
+    lam = F.radians(_c(lon))
+    r = F.lit(EARTH_RADIUS_KM)
+    w = F.lit(float(cell_km))
+    coords = (r * F.cos(phi) * F.cos(lam), r * F.cos(phi) * F.sin(lam), r * F.sin(phi))
+    cells = [F.floor(v / w) for v in coords]
+    offsets = [F.least(w, F.greatest(F.lit(0.0), v - c * w)) for v, c in zip(coords, cells)]
+    return F.struct(
+        *[c.alias(n) for c, n in zip(cells, ("cx", "cy", "cz"))],
+        *[f.alias(n) for f, n in zip(offsets, ("fx", "fy", "fz"))],
+    )
+
+
+def forward_cells_within(pos: str, cell_km: float, reach_km: float) -> Column:
+    """Own cell plus the forward neighbours of the ``grid_position`` column
+    ``pos`` whose cube lies within ``reach_km`` of the point.
+
+    The distance from the point to a neighbour cube is, per axis, ``w - f``
+    (next cell up), ``f`` (next cell down) or 0: a partner within ``reach_km``
+    (chord <= arc) can only sit in a cube that passes this test, so the probe
+    stays exact while far cubes -- most of them when cells are wider than the
+    radius -- are never copied.  One SQL expression, compiled with the stage.
+    """
+    ref = f"`{pos}`"
+    w = float(cell_km)
+    limit = float(reach_km) ** 2
+    parts = [f"named_struct('cx', {ref}.cx, 'cy', {ref}.cy, 'cz', {ref}.cz, 'own', true)"]
+    for dx, dy, dz in itertools.product((-1, 0, 1), repeat=3):
+        if (dx, dy, dz) <= (0, 0, 0):
+            continue
+        gaps = []
+        for d, f in zip((dx, dy, dz), ("fx", "fy", "fz")):
+            if d == 1:
+                gaps.append(f"({w!r} - {ref}.{f}) * ({w!r} - {ref}.{f})")
+            elif d == -1:
+                gaps.append(f"{ref}.{f} * {ref}.{f}")
+        cell = (
+            f"named_struct('cx', {ref}.cx + {dx}, 'cy', {ref}.cy + {dy}, 'cz', {ref}.cz + {dz}, 'own', false)"
+        )
+        parts.append(f"CASE WHEN {' + '.join(gaps)} <= {limit!r} THEN {cell} END")
+    return F.expr("array_compact(array(" + ", ".join(parts) + "))")
+
+
 def _offset_cells(cell: str, forward: bool) -> Column:
     """Cells around the struct column named ``cell``, as one SQL expression.
 
