@@ -211,9 +211,10 @@ def nearby_pairs(
     whose latest positions are closer than ``max_km``.
 
     One row per shared channel (reference multiplicity) unless
-    ``distinct_pairs``.  ``cell_km`` may widen the grid (never below
-    ``max_km``); the result does not depend on it.  ``left_carry`` names
-    extra ``positions`` columns to keep for the left user.
+    ``distinct_pairs``.  ``cell_km`` is the grid cell side (default
+    ``CELL_FACTOR * max_km``, never below ``max_km``); the result does not
+    depend on it.  ``left_carry`` names extra ``positions`` columns to keep
+    for the left user.
 
     A (channel, cell) group of n members yields ~n^2/2 candidate pairs from
     only n input rows, so its skew is invisible to AQE (which looks at input
