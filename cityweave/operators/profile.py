@@ -127,6 +127,11 @@ HOT_USER_ROWS = 1_000_000
 MAX_HOT_USERS = 100_000
 
 
+def hot_rows_for(total_rows: int, hot_rows: int = HOT_USER_ROWS) -> int | None:
+    """``hot_rows``, or None when ``total_rows`` already rules out a hot user."""
+    return hot_rows if total_rows > hot_rows else None
+
+
 def _bucketed(closest: DataFrame, unit: str, hot_rows: int | None) -> DataFrame:
     """``closest`` with ``_b``: the start of the row's time bucket.
 

@@ -18,6 +18,7 @@ from cityweave.functions.calendar import iso_week_of, local_time, month_of
 from cityweave.functions.parsing import event_time
 from cityweave.operators import nearest as nearest_ops
 from cityweave.operators import profile, social, zones
+from cityweave.plans.audit import StageAudit
 from cityweave.session import checkpoint_dir, prepare_session
 from cityweave.sources import fixture
 from cityweave.sources.events import date_window, flatten_events
@@ -60,15 +61,19 @@ def _closest_messages(spark, sf_dir) -> DataFrame:
     return profile.closest_message_cities(profile.message_points(events), cities)
 
 
-def _itinerary_input(spark, sf_dir) -> tuple[DataFrame, int]:
+def _itinerary_input(spark, sf_dir) -> tuple[DataFrame, int | None]:
     """Nearest city per message, checkpointed, and the hot-user threshold.
 
     The itinerary reads the table twice (hot-user statistics, then the
     windows), so it is materialised once in the shared checkpoint folder,
-    as ``run_profile_job`` does.
+    as ``run_profile_job`` does.  The checkpoint also counts the rows (an
+    observation, no extra job): with no more rows in total than the
+    threshold no user can be hot, and the statistics are skipped.
     """
     checkpoint_dir(spark)
-    return _closest_messages(spark, sf_dir).checkpoint(eager=True), profile.HOT_USER_ROWS
+    audit = StageAudit()
+    closest = audit.track("closest", _closest_messages(spark, sf_dir)).checkpoint(eager=True)
+    return closest, profile.hot_rows_for(audit.counts()["closest"])
 
 
 def _closest_events(spark, sf_dir, key=zones.KEYED) -> DataFrame:
