@@ -172,3 +172,11 @@ def test_hot_user_buckets_over_a_long_span(spark):
     df = _closest(spark, data)
     got = travel_stats(df, "day", hot_rows=10).collect()[0]
     assert got.travel_count == 104 and got.travel_array[:4] == ["A", "B", "C", "A"]
+
+
+def test_hot_rows_only_when_a_user_could_be_hot():
+    from cityweave.operators.profile import hot_rows_for
+
+    assert hot_rows_for(10, hot_rows=100) is None
+    assert hot_rows_for(100, hot_rows=100) is None
+    assert hot_rows_for(101, hot_rows=100) == 100
