@@ -146,7 +146,8 @@ def nearest_by_grid(
     ``growth * w``.  Once a cell spans the globe every city is a candidate and
     the rest settle.  Each level's outcome is checkpointed to the shared
     checkpoint folder, so the next level starts from stored rows, not from a
-    plan that grows with every level.
+    plan that grows with every level; the search stops as soon as nothing is
+    left unsettled.
     """
     spark = points.sparkSession
     checkpoint_dir(spark)
@@ -187,9 +188,10 @@ def nearest_by_grid(
         settled_parts.append(
             best.where("_ok").select("_lat", "_lon", *CITY_OUT, F.col("_d").alias(distance_col))
         )
-        if last:
+        unsettled = best.where(~F.col("_ok"))
+        if last or unsettled.isEmpty():  # cheap: reads the checkpointed level
             break
-        pending = best.where(~F.col("_ok")).select("_lat", "_lon").distinct()
+        pending = unsettled.select("_lat", "_lon").distinct()
         width *= growth
     resolved = settled_parts[0]
     for part in settled_parts[1:]:
