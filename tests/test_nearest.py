@@ -71,3 +71,15 @@ def test_auto_strategy_switches_and_array_bound_is_enforced(spark):
     assert "Subquery" not in large._jdf.queryExecution().optimizedPlan().toString()
     with pytest.raises(Exception, match="larger than 5"):
         nearest_city(pdf, cdf, strategy="array", max_array_cities=5).collect()
+
+
+def test_keyed_mode_same_for_both_strategies(spark):
+    rnd = random.Random(13)
+    cities = [(str(i), f"c{i}", rnd.uniform(-50, 50), rnd.uniform(-170, 170)) for i in range(20)]
+    cdf = spark.createDataFrame(cities, "city_id string, city_name string, city_lat double, city_lon double")
+    pts = [(i, rnd.choice([None, 1, 2, 3]), rnd.uniform(-60, 60), rnd.uniform(-180, 180)) for i in range(80)]
+    pdf = spark.createDataFrame(pts, "pid int, k int, lat double, lon double")
+    a = nearest_city(pdf, cdf, key=["k"], strategy="array").select("pid", "city_id")
+    g = nearest_city(pdf, cdf, key=["k"], strategy="grid").select("pid", "city_id")
+    assert rows(a) == rows(g)
+    assert a.count() == 4  # one winner per key group (NULL included)
