@@ -249,6 +249,13 @@ def latest_action(spark, sf_dir):
     return la.select("user_id", _ntz("action_time").alias("action_time"), "lat", "lon", "event_type")
 
 
+def latest_action_zone(spark, sf_dir):
+    """Zone (nearest city, ties kept) of each user's latest position."""
+    events, cities = _inputs(spark, sf_dir)
+    z = social.zoned_positions(social.latest_action(events), cities)
+    return z.select("user_id", F.explode("zone_ids").alias("zone_id"))
+
+
 def pair_distance(spark, sf_dir):
     """Distance between the latest positions of users who messaged each other."""
     events, _ = _inputs(spark, sf_dir)
@@ -322,6 +329,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "contact_pairs": contact_pairs,
     "pairs_without_contact_counts": pairs_without_contact_counts,
     "latest_action": latest_action,
+    "latest_action_zone": latest_action_zone,
     "pair_distance": pair_distance,
     "nearby_pairs": nearby_pairs,
     "nearby_pairs_grid": nearby_pairs_grid,
