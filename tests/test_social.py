@@ -89,7 +89,9 @@ def test_contacts_and_pair_counts(spark):
         "event_type string, message_from bigint, message_to bigint",
     )
     assert rows(contact_pairs(ev)) == [(1, 2), (3, 3)]
-    channels = spark.createDataFrame([(1, 10), (2, 10), (3, 10), (1, 11)], "user_id bigint, subscription_channel bigint")
+    channels = spark.createDataFrame(
+        [(1, 10), (2, 10), (3, 10), (1, 11)], "user_id bigint, subscription_channel bigint"
+    )
     assert rows(channel_pair_counts(channels)) == [(10, 3, 3), (11, 1, 0)]
     got = rows(pairs_without_contact_counts(channels, contact_pairs(ev)))
     assert got == [(10, 3, 1, 2), (11, 0, 0, 0)]
@@ -128,7 +130,9 @@ def test_grid_join_with_one_hot_cell(spark):
 
 
 def test_salted_join_keeps_per_channel_multiplicity(spark):
-    positions = spark.createDataFrame([(u, 0.0, 0.0001 * u) for u in range(30)], "user_id bigint, lat double, lon double")
+    positions = spark.createDataFrame(
+        [(u, 0.0, 0.0001 * u) for u in range(30)], "user_id bigint, lat double, lon double"
+    )
     channels = spark.createDataFrame([(u, c) for u in range(30) for c in (1, 2)],
                                      "user_id bigint, subscription_channel bigint")
     contacts = spark.createDataFrame([(0, 1)], "user_left bigint, user_right bigint")
