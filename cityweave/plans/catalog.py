@@ -195,6 +195,21 @@ def user_geo_profile(spark, sf_dir):
                     _ntz("local_time").alias("local_time"))
 
 
+def user_geo_profile_strict(spark, sf_dir):
+    """Profile mart reading message time from ``message_ts`` only (the
+    original job's literal filter): messages carrying their time only in
+    ``datetime`` are left out."""
+    events, cities = _inputs(spark, sf_dir)
+    messages = profile.message_points(events, time_fields=("message_ts",))
+    closest = profile.closest_message_cities(messages, cities)
+    checkpoint_dir(spark)
+    audit = StageAudit()
+    closest = audit.track("closest", closest).checkpoint(eager=True)
+    p = profile.user_geo_profile(closest, hot_rows=profile.hot_rows_for(audit.counts()["closest"]))
+    return p.select("user_id", "act_city", "home_city", "travel_count", _itinerary_text(),
+                    _ntz("local_time").alias("local_time"))
+
+
 # --- zone mart ------------------------------------------------------------------
 
 
@@ -319,6 +334,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "travel_events": travel_events,
     "travel_stats": travel_stats,
     "user_geo_profile": user_geo_profile,
+    "user_geo_profile_strict": user_geo_profile_strict,
     "zone_month_metrics": zone_month_metrics,
     "zone_week_metrics": zone_week_metrics,
     "zone_metrics": zone_metrics,
