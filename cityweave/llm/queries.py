@@ -7,8 +7,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cityweave.llm import best_fit_packing, bpe_codec, token_counts, token_output
+from cityweave.llm import best_fit_packing, bpe_codec, suffix_dedup, token_counts, token_output
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -36,10 +37,17 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.with_crc32(rows).withColumnRenamed("id", "doc_id")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return rows.select(F.col("did").alias("doc_id"), "n_bytes", "n_removed", "n_spans", digest)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe_codec": op2_bpe_codec,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_token_files": op9_token_files,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
