@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityweave.llm import best_fit_packing, bpe_codec, suffix_dedup, token_counts, token_output
+from cityweave.llm import best_fit_packing, bpe_codec, minhash_dedup, secret_scan, suffix_dedup, token_counts, token_output
+from cityweave.llm.sql import ORACLE_SQL  # noqa: F401
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -27,6 +28,25 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = secret_scan.with_digest(_table(spark, sf_dir, "documents"))
+    rows = secret_scan.findings(versions, secret_scan.new_entries(versions))
+
+    def count(kind: str):
+        return F.coalesce(F.size(F.filter("findings", lambda f: f["rule"] == kind)), F.lit(0)).cast("bigint").alias(f"n_{kind}")
+
+    each = F.transform("findings", lambda f: F.concat_ws(":", f["rule"], f["start"].cast("string"), f["end"].cast("string")))
+    spans = F.coalesce(F.array_join(each, ","), F.lit(""))
+    return rows.select(
+        F.col("path").alias("doc_id"), count("assign"), count("access"), count("hex"), F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans")
+    )
+
+
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2)
+    return rows.withColumnRenamed("did", "doc_id")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return best_fit_packing.packed(docs, public_tokenizers.path(BYTE_BPE)).withColumnRenamed("id", "doc_id")
@@ -46,8 +66,9 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe_codec": op2_bpe_codec,
+    "op5_secret_scan": op5_secret_scan,
+    "op6_minhash_dedup": op6_minhash_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_token_files": op9_token_files,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
-ORACLE_SQL: dict[str, str] = {}
