@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from cityweave.llm.bpe_codec import id_lists
 from cityweave.llm.shared import map_batches, new_table_path, small_batches, texts_of
-from cityweave.llm.tokens import read_vocabulary, word_cache
+from cityweave.llm.tokens import WordBpe, encoder, read_vocabulary
 
 ROW_GROUP_BYTES = 32 * 1024 * 1024
 PAGE_BYTES = 64 * 1024
@@ -54,9 +54,9 @@ def encode_sorted(docs: DataFrame, vocabulary: str, end_id: int | None, id_col:
     )
 
     def run(batches):
-        cache, start = word_cache(raw.value), 0
+        enc, start = encoder(WordBpe, raw.value), 0
         for batch in batches:
-            blobs = [cache.encode(t) + tail for t in texts_of(batch.column(2))]
+            blobs = [enc.encode_text(t) + tail for t in texts_of(batch.column(2))]
             n = np.array([len(b) // 4 for b in blobs], np.int64)
             starts = start + np.cumsum(n) - n
             start += int(n.sum())

@@ -30,6 +30,11 @@ END_OF_WORD = "</w>"
 CACHE_WORDS = 300_000
 
 _WORD_PIECES = regex.compile(WORD_PATTERN).findall
+# A character (or special string) that keeps a text from the plain path.
+_ODD = re.compile(f"[^\t-\r -~\u00a1-\u00ac\u00ae-{chr(ord(PLAIN_BELOW) - 1)}]|<\\|").search
+_WHITE = re.compile("[\t-\r]").sub
+# Pieces other than runs of letters, below PLAIN_BELOW: contractions, runs of signs, single digits.
+_PARTED = re.compile(r"'(?:s|t|re|ve|m|ll|d)|(?:[^\w\s]|_)+|[\d²³¹¼½¾]").sub
 _ENCODERS: dict[tuple[str, bytes], object] = {}
 
 
@@ -123,9 +128,9 @@ class WordBpe:
 
     def fragments(self, piece: bytes) -> list[bytes]:
         """Cut one splitter piece at the byte pairs that no token holds."""
-        cuts = [i for i, pair in enumerate(zip(piece, piece[1:], strict=False), 1) if pair not in self._inside]
-        if not cuts:
+        if self._inside.issuperset(zip(piece, piece[1:], strict=False)):
             return [piece]
+        cuts = [i for i, pair in enumerate(zip(piece, piece[1:], strict=False), 1) if pair not in self._inside]
         return [piece[a:b] for a, b in zip([0, *cuts], [*cuts, len(piece)], strict=True)]
 
     def pieces(self, word: bytes) -> list[bytes]:
@@ -138,6 +143,19 @@ class WordBpe:
         normal = self._tokenizer.normalizer.normalize_str(text)
         return [_to_bytes(p, self._alphabet) for p, _ in self._tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
 
+    def encode_text(self, text: bytes) -> bytes:
+        """Little-endian ids of a whole text.
+
+        A plain text is lower-cased, its pieces are parted by blanks (which
+        also mark their ends) and all are encoded in one call; any other text
+        goes word by word.
+        """
+        chars = text.decode()
+        if not self._plain or _ODD(chars):
+            return array("I", [i for word in text.split() for i in self.encode_word(word)]).tobytes()
+        parted = _PARTED(r" \g<0> ", _WHITE(" ", chars.lower()) + " ")
+        return array("I", self._fast._core_bpe.encode_ordinary(parted)).tobytes()
+
     def encode_word(self, word: bytes) -> list[int]:
         """Ids of a string without ASCII white space."""
         out: list[int] = []
