@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityweave.llm import best_fit_packing, bpe_codec, minhash_dedup, secret_scan, suffix_dedup, token_counts, token_output
+from cityweave.llm import best_fit_packing, bpe_codec, exact_topk, minhash_dedup, quality_classifier, quality_rules, secret_scan, suffix_dedup, token_counts, token_output
 from cityweave.llm.sql import ORACLE_SQL  # noqa: F401
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -28,6 +28,16 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return rows.select(F.col("id").alias("doc_id"), *counts, "base_failed", "kept")
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = secret_scan.with_digest(_table(spark, sf_dir, "documents"))
     rows = secret_scan.findings(versions, secret_scan.new_entries(versions))
@@ -52,6 +62,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.packed(docs, public_tokenizers.path(BYTE_BPE)).withColumnRenamed("id", "doc_id")
 
 
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", exact_topk.scaled(F.col("embedding")).alias("v"))
+    return exact_topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = token_output.token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
     return token_output.with_crc32(rows).withColumnRenamed("id", "doc_id")
@@ -66,9 +81,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe_codec": op2_bpe_codec,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_secret_scan": op5_secret_scan,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_exact_topk": op8_exact_topk,
     "op9_token_files": op9_token_files,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
