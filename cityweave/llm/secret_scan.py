@@ -94,14 +94,18 @@ def new_entries(versions: DataFrame, ledger: DataFrame | None = None, rules: tup
     )
 
 
-def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
-    """``path, digest, findings``: for every version of ``versions(path, digest)`` its spans by start, then rule order."""
+def findings_by_blob(ledger: DataFrame, rules: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
+    """``digest, findings`` of the blobs with any: spans by start, then rule order."""
     order = {r.name: i for i, r in enumerate(rules)}
     current = ledger.where(F.concat_ws("@", "rule", "version").isin([f"{r.name}@{r.version}" for r in rules]))
     rank = F.create_map(*[F.lit(x) for r in rules for x in (r.name, order[r.name])])[F.col("rule")]
     one = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), rank.alias("rank"), s["end"].alias("end"), F.col("rule").alias("rule")))
-    by_blob = current.where(F.size("spans") > 0).groupBy("digest").agg(F.sort_array(F.flatten(F.collect_list(one))).alias("findings"))
-    return versions.select("path", "digest").join(by_blob, "digest", "left").select("path", "digest", "findings")
+    return current.where(F.size("spans") > 0).groupBy("digest").agg(F.sort_array(F.flatten(F.collect_list(one))).alias("findings"))
+
+
+def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
+    """``path, digest, findings`` for every version of ``versions(path, digest)``."""
+    return versions.select("path", "digest").join(findings_by_blob(ledger, rules), "digest", "left").select("path", "digest", "findings")
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
