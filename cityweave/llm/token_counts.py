@@ -38,6 +38,8 @@ def _char_start(data: bytes, at: int) -> int:
 
 def _always_splits(data: bytes, at: int) -> bool:
     """True where the pattern ends a piece at ``at`` in every text with these neighbours."""
+    if data[at] & 0xC0 == 0x80:  # inside a character
+        return False
     before = data[_char_start(data, at - 1) : at].decode()
     after = data[at : at + 4].decode(errors="ignore")[:1]
     if not before or not after:
