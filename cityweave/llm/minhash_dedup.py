@@ -7,13 +7,19 @@ two permutations give all ``BANDS * ROWS`` coordinates.
 
 1. Documents with equal shingle sets (128-bit digest) are one set; its least
    id stands for it.
-2. Sets that share a band are candidates.  Within each bucket every set is
-   first compared with the bucket's least one (a star, not all pairs), the
-   confirmed links are joined into components, and then all pairs of a bucket
-   that still lie in different components are compared.  A pair inside one
-   component changes no component, so nothing is lost.
-3. A link is confirmed exactly: intersection and union of the whole sets of
-   64-bit shingle hashes.
+2. Sets that share a band are candidates.  The centre of a set is the least
+   id that shares a bucket with it.  Every set is compared with its centre, and
+   what it adds to the centre's shingles and lacks of them (its edits) is kept.
+3. Two sets of one centre differ by their edits that are not shared, so their
+   exact similarity follows from the edits alone.  Sets near their centre are
+   linked through it; each of the others is compared with all sets of that
+   centre, in blocks, through an index of the edits.  No pairs leave the block
+   but a spanning forest of its links.
+4. Candidates with different centres that still lie in different components
+   are compared pair by pair.  A pair inside one component changes no
+   component, so nothing is lost.
+
+Links are confirmed on the whole sets of 64-bit shingle hashes.
 
 With 40 bands of 6 rows a pair at similarity 0.8 shares no band with
 probability 5e-6, one at 0.9 with less than 1e-13.
@@ -40,6 +46,7 @@ from cityweave.llm.shared import map_batches, texts_of, written
 NO_ID = -(1 << 63)  # stands for a null id
 BANDS, ROWS = 40, 6
 BROADCAST_IDS_BYTES = 32 << 20  # a counted id list up to this size is broadcast, a larger one is joined by shuffle
+BLOCK_SETS = 4096  # sets of one centre compared in one task, on either side
 _CHUNK = 1 << 15  # shingles permuted at once: stays in the processor's cache
 
 
@@ -130,18 +137,82 @@ def _full_sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame
     return map_batches(named.select("did", "text"), make, "sid bigint, shingles array<bigint>").dropDuplicates(["sid"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose whole sets are similar enough."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` with ``plus`` and ``minus`` (shingles of a alone, of b alone) and both sizes."""
     left = sets.select(F.col("sid").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("sid").alias("b"), F.col("shingles").alias("y"))
-    both = F.size(F.array_intersect("x", "y")).cast("bigint")
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .select("a", "b", both.alias("i"), (F.size("x") + F.size("y")).cast("bigint").alias("t"))
-        .where(F.col("i") * 100 >= (F.col("t") - F.col("i")) * percent)
-        .select("a", "b")
+    sizes = [F.size(c).cast("bigint").alias(f"n_{s}") for c, s in (("x", "a"), ("y", "b"))]
+    alone = [F.array_except("x", "y").alias("plus"), F.array_except("y", "x").alias("minus")]
+    return pairs.join(left, "a").join(right, "b").select("a", "b", *sizes, *alone)
+
+
+def _near(percent: int) -> str:
+    """Similarity of at least ``percent``, from the sizes and the number of shingles not shared."""
+    return f"(n_a + n_b) * {100 - percent} >= (size(plus) + size(minus)) * {100 + percent}L"
+
+
+def links_of_block(members: dict[str, list], far: dict[str, list], percent: int) -> list[tuple[int, int]]:
+    """Spanning forest of the links between ``far`` sets and ``members`` of one centre.
+
+    Both hold ``sid``, ``n`` (set size) and ``edits`` (codes of added and
+    lacking shingles).  An index lists the members of every edit; counting
+    the lists of a set's edits gives what it shares with each member.
+    """
+    sizes = np.array(members["n"], np.int64)
+    counts = np.array([len(e) for e in members["edits"]], np.int64)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    codes = np.concatenate([np.asarray(e, np.int64) for e in members["edits"]]) if counts.sum() else np.empty(0, np.int64)
+    order = np.argsort(codes, kind="stable")
+    codes, owner = codes[order], owner[order]
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root.setdefault(x, x)
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for sid, n, edits in zip(far["sid"], far["n"], far["edits"], strict=True):
+        own = np.asarray(edits, np.int64)
+        lo, hi = np.searchsorted(codes, own, "left"), np.searchsorted(codes, own, "right")
+        width = hi - lo
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(width)[:-1]]), width) + np.arange(width.sum())
+        shared = np.bincount(owner[at], minlength=len(counts))
+        apart = len(own) + counts - 2 * shared
+        for k in np.flatnonzero((n + sizes) * (100 - percent) >= apart * (100 + percent)).tolist():
+            x, y = find(sid), find(members["sid"][k])
+            if x != y:
+                root[max(x, y)] = min(x, y)
+    return [(x, find(x)) for x in list(root) if find(x) != x]
+
+
+def _links_by_centre(edits: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links ``(a, b)`` between sets of one centre of which at least one is not near it.
+
+    ``edits(a, b, n_a, n_b, plus, minus)``: a set, its centre, and its edits.
+    """
+    far = edits.withColumn("far", ~F.expr(_near(percent)))
+    groups = far.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.count_if("far").alias("n_far")).where("n > 1 and n_far > 0")
+    blocks = [F.ceil(F.col(c) / F.lit(block)).cast("int").alias(f"{c}_blocks") for c in ("n", "n_far")]
+    rows = far.join(groups.select("b", *blocks), "b").select(
+        "b", "a", F.col("n_a").alias("n"), "far", "n_blocks", "n_far_blocks",
+        # a lacking shingle gets another code than the same one added
+        F.concat("plus", F.transform("minus", lambda h: F.xxhash64(h, F.lit("minus")))).alias("edits"),
     )
+    deal, every = F.xxhash64("a"), lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    members = rows.withColumn("mb", F.pmod(deal, F.col("n_blocks")).cast("int")).withColumn("fb", every("n_far_blocks")).withColumn("far", F.lit(False))
+    others = rows.where("far").withColumn("fb", F.pmod(deal, F.col("n_far_blocks")).cast("int")).withColumn("mb", every("n_blocks"))
+    names = ("b", "mb", "fb", "a", "n", "far", "edits")
+
+    def solve(table: pa.Table) -> pa.Table:
+        far = table["far"].to_numpy()
+        parts = ({"sid": p["a"].to_pylist(), "n": p["n"].to_pylist(), "edits": p["edits"].to_pylist()} for p in (table.filter(pa.array(~far)), table.filter(pa.array(far))))
+        links = links_of_block(*parts, percent)
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    both = members.select(*names).unionByName(others.select(*names))
+    return both.groupBy("b", "mb", "fb").applyInArrow(solve, "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -163,25 +234,29 @@ def near_duplicates(
     buckets = written(members.join(shared.select("band", "least"), "band").distinct(), "buckets")
     sets = written(_full_sets(docs, buckets.select("sid").distinct(), shingle_words), "shingle-sets")
 
-    sizes = buckets.groupBy("sid").agg(F.first("n").alias("n_least")).withColumnRenamed("sid", "least")
-    similar_size = f"least(n, n_other) * 100 >= greatest(n, n_other) * {percent}"
-    star = buckets.where("sid <> least").groupBy(F.col("sid").alias("a"), F.col("least").alias("b")).agg(F.first("n").alias("n"))
-    star = star.join(sizes.select(F.col("least").alias("b"), F.col("n_least").alias("n_other")), "b").where(similar_size).select("a", "b")
-    links = written(_confirmed(star, sets, percent), "links")
+    centres = buckets.groupBy("sid").agg(F.min("least").alias("centre"), F.first("n").alias("n"))
+    pairs = centres.where("sid <> centre").select(F.col("sid").alias("a"), F.col("centre").alias("b"))
+    edits = written(_compared(pairs, sets), "edits")
+    found = edits.where(_near(percent)).select("a", "b").unionByName(_links_by_centre(edits, percent, BLOCK_SETS))
+    links = written(found, "links")
     parts = connected_components(links)
 
-    # pairs of a bucket that still lie in different components
-    placed = buckets.join(parts, buckets["sid"] == parts["node"], "left").select("band", "sid", "n", "least", F.coalesce("component", "sid").alias("part"))
-    apart = placed.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("band")
-    placed = placed.join(apart, "band", "left_semi")
-    one = placed.select("band", F.col("sid").alias("a"), "n", F.col("part").alias("part_a"))
-    two = placed.select("band", F.col("sid").alias("b"), F.col("n").alias("n_other"), F.col("part").alias("part_b"), "least")
-    rest = (
-        one.join(two, (one["band"] == two["band"]) & (F.col("a") > F.col("b")) & (F.col("part_a") != F.col("part_b")) & (F.col("b") != F.col("least")) & F.expr(similar_size))
-        .select("a", "b")
-        .distinct()
+    # candidates of different centres that still lie in different components
+    placed = centres.join(parts, centres["sid"] == parts["node"], "left").select("sid", "centre", F.coalesce("component", "sid").alias("part"))
+    placed = buckets.select("band", "sid", "n").join(placed, "sid")
+    apart = placed.groupBy("band").agg(
+        F.min("part").alias("p"), F.max("part").alias("q"), F.min("centre").alias("c"), F.max("centre").alias("d")
+    )
+    placed = placed.join(apart.where("p <> q and c <> d").select("band"), "band", "left_semi")
+    one, two = (placed.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "centre", "part")]) for s in ("a", "b"))
+    rest = one.join(
+        two,
+        (one["band"] == two["band"])
+        & F.expr("sid_a > sid_b and part_a <> part_b and centre_a <> centre_b and sid_a <> centre_b and sid_b <> centre_a")
+        & F.expr(f"least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {percent}"),
     )
-    more = _confirmed(rest, sets, percent)
+    rest = rest.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
+    more = _compared(rest, sets).where(_near(percent)).select("a", "b")
     parts = connected_components(links.unionByName(more))
 
     component = F.when(F.col("n") > 0, F.coalesce("component", "sid")).otherwise(F.col("did"))
