@@ -14,14 +14,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Rows per Arrow batch; texts of many kilobytes keep a batch at some megabytes.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         folder = tempfile.mkdtemp(prefix="cityweave-llm-")
     if not spark.sparkContext.getCheckpointDir():

@@ -87,8 +87,9 @@ def _candidates(docs: DataFrame, width: int) -> DataFrame:
 
 def _suffix_rows(docs: DataFrame, side: DataFrame, width: int, splitters) -> DataFrame:
     """``bucket, did, at, span``: the text around each anchor, from its first window's start to its last one's end."""
+    # all columns of docs are kept, so that both joins of the texts read one shuffle of them
     joined = docs.join(side.where("at is not null"), "did").select(
-        "did", "text", F.when(F.array_contains("firsts", F.unhex(F.sha2("text", 256))), F.col("at")).alias("at")
+        "did", "text", F.when(F.array_contains("firsts", F.unhex(F.sha2("text", 256))), F.col("at")).alias("at"), *docs.columns[2:]
     )
 
     def make():
@@ -162,8 +163,17 @@ def _bucket_repeats(suffixes: DataFrame, width: int, splitters, partitions: int)
                     edge[rows] = np.maximum(edge[rows], np.minimum(shared, len(cut)))
         repeat = np.zeros((len(did), left_width + 2), bool)
         keys, ids, starts, ends = [], [], [], []
+        # a span equal to an earlier one as a whole: all its windows are repeats
+        whole = (by_right.classes(width) * np.int64(len(did)) + by_left.classes(left_width)) * _REACH**2 + packed % _REACH**2
+        _, at, which = np.unique(whole, return_index=True, return_inverse=True)
+        head = at[which]
+        later = np.flatnonzero((did != did[head]) | (p != p[head]))
+        offsets = np.arange(left_width + 2)
+        repeat[later] = (offsets >= last[later, None]) & (offsets <= first[later, None])
+        fresh = np.ones(len(did), bool)
+        fresh[later] = False
         for j in range(left_width + 1):
-            rows = np.flatnonzero((last <= j) & (j <= first))
+            rows = np.flatnonzero((last <= j) & (j <= first) & fresh)
             if not len(rows):
                 continue
             same = by_right.classes(width - j)[rows] * np.int64(len(did)) + by_left.classes(j)[rows]
@@ -210,19 +220,24 @@ def _whole_chars(text: bytes, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, whole_chars: bool = False) -> DataFrame:
+def suffix_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, whole_chars: bool = False, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """``did, n_bytes, n_removed, n_spans, kept binary, spans`` for every row.
 
     ``spans`` are the maximal removed ranges in bytes.  With ``whole_chars``
     a range gives up the parts of characters at its ends, so that ``kept`` is
-    UTF-8.  ``did`` is the id, null where the id is null.
+    UTF-8.  ``did`` is the id, null where the id is null.  The columns ``carry``
+    come back in a struct ``carried``.
     """
     if not 2 * GRAM <= width < _REACH:
         raise ValueError(f"width must be {2 * GRAM} to {_REACH - 1} bytes")
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("did"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("did"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        *([F.struct(*carry).alias("carried")] if carry else []),
     )
     side = written(_candidates(docs, width), "suffix-candidates")
     splitters = spark.sparkContext.broadcast(_splitters(docs, side, width, partitions * BUCKETS_PER_PARTITION))
@@ -237,8 +252,10 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined = (
         docs.join(side.select("did", "firsts"), "did", "left")
         .join(repeats, "did", "left")
-        .select("did", "text", F.coalesce(F.array_contains("firsts", F.unhex(F.sha2("text", 256))), F.lit(False)).alias("first"), "ranges")
+        .select("did", "text", F.coalesce(F.array_contains("firsts", F.unhex(F.sha2("text", 256))), F.lit(False)).alias("first"), "ranges", *docs.columns[2:])
     )
+    carried = docs.schema.fields[2:]
+    names = ["did", "n_bytes", "n_removed", "n_spans", "kept", "spans", *(f.name for f in carried)]
 
     def make():
         def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -261,11 +278,13 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     *(pa.array(x, pa.int64()) for x in (sizes, removed, [len(s) for s in spans])),
                     pa.array(kept, pa.binary()),
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                    *batch.columns[4:],
                 ],
-                ["did", "n_bytes", "n_removed", "n_spans", "kept", "spans"],
+                names,
             )
 
         return cut
 
     schema = "did bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, spans array<struct<start:bigint,`end`:bigint>>"
+    schema += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in carried)
     return map_batches(joined, make, schema).withColumn("did", F.nullif("did", F.lit(NO_ID)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 GRAM = 32  # bytes of an anchor's gram
-SEGMENT = 1 << 22  # window starts handled at once
+SEGMENT = 1 << 18  # window starts handled at once: the arrays stay in the processor's cache
 _POSITION_BITS = 24
 _MASK = np.uint64((1 << _POSITION_BITS) - 1)
 
