@@ -6,7 +6,6 @@ from cityweave.functions.geo import (
     cell_width,
     grid_cell,
     haversine_km,
-    neighbour_cells,
 )
 from cityweave.functions.parsing import (
     decimal_comma_to_double,
@@ -26,7 +25,6 @@ __all__ = [
     "iso_week_of",
     "local_time",
     "month_of",
-    "neighbour_cells",
     "parse_timestamp",
     "to_user_id",
 ]

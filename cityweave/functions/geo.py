@@ -97,44 +97,6 @@ def forward_cells_within(pos: str, cell_km: float, reach_km: float) -> Column:
     return F.expr("array_compact(array(" + ", ".join(parts) + "))")
 
 
-def _offset_cells(cell: str, forward: bool) -> Column:
-    """Cells around the struct column named ``cell``, as one SQL expression.
-
-    Offsets are {-1, 0, 1}^3 in lexicographic order; ``forward`` keeps the
-    cell itself (flagged ``own``) and the 13 offsets after it.  Written as a
-    single ``array(named_struct(...))`` so it is parsed once and compiled
-    with the rest of the stage.
-    """
-    offsets = list(itertools.product((-1, 0, 1), repeat=3))
-    if forward:
-        offsets = [o for o in offsets if o >= (0, 0, 0)]
-    ref = f"`{cell}`"
-
-    def one(dx: int, dy: int, dz: int) -> str:
-        own = f", 'own', {str((dx, dy, dz) == (0, 0, 0)).lower()}" if forward else ""
-        return (
-            f"named_struct('cx', {ref}.cx + {dx}, 'cy', {ref}.cy + {dy}, 'cz', {ref}.cz + {dz}{own})"
-        )
-
-    return F.expr("array(" + ", ".join(one(*o) for o in offsets) + ")")
-
-
-def neighbour_cells(cell: str) -> Column:
-    """Array of the 27 cells around (and including) the cell column ``cell``."""
-    return _offset_cells(cell, forward=False)
-
-
-def forward_cells(cell: str) -> Column:
-    """The cell column ``cell`` itself (``own = true``) and its 13 lexicographically
-    larger neighbours.
-
-    Probing only these 14 cells finds every unordered pair of neighbouring
-    cells exactly once: a pair in two different cells is seen from the cell
-    whose offset to the other is "forward".
-    """
-    return _offset_cells(cell, forward=True)
-
-
 def cell_width(max_km: float, cell_km: float | None = None) -> float:
     """Cell side for a search radius; ``cell_km`` may only widen it."""
     width = max_km if cell_km is None else max(cell_km, max_km)

@@ -1,6 +1,6 @@
 """DataFrame-in, DataFrame-out operators of the three marts."""
 
-from cityweave.operators.nearest import nearest_by_array, nearest_by_grid, nearest_city
+from cityweave.operators.nearest import nearest_by_square, nearest_city, square_candidates
 from cityweave.operators.profile import (
     closest_message_cities,
     current_city,
@@ -9,7 +9,6 @@ from cityweave.operators.profile import (
     per_city_counts,
     travel_events,
     travel_stats,
-    user_cities,
     user_geo_profile,
 )
 from cityweave.operators.social import (
@@ -19,7 +18,6 @@ from cityweave.operators.social import (
     nearby_pairs,
     pair_distance,
     pair_recommendations,
-    pair_zones,
     pairs_without_contact_counts,
     user_channels,
 )
@@ -42,18 +40,16 @@ __all__ = [
     "located_events",
     "message_points",
     "nearby_pairs",
-    "nearest_by_array",
-    "nearest_by_grid",
+    "nearest_by_square",
     "nearest_city",
     "pair_distance",
     "pair_recommendations",
-    "pair_zones",
     "pairs_without_contact_counts",
     "per_city_counts",
+    "square_candidates",
     "travel_events",
     "travel_stats",
     "user_channels",
-    "user_cities",
     "user_geo_profile",
     "zone_metrics",
     "zone_month_metrics",

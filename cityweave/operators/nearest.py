@@ -1,121 +1,143 @@
-"""Nearest city of each point, ties kept.
+"""Nearest city of each point, ties kept: one exact plan for every dictionary size.
+
+The globe is cut into squares of ``leaf_deg`` degrees.  For the squares that
+hold points, the cities that can be nearest to *any* point in them are found
+once; every point then looks up its square's short list and takes the argmin.
+No facts x cities, and the lists need no pass over the facts but a distinct of
+their squares.
+
+A square's list follows from its centre m and a bound rho on the distance of
+its points from m: if the city nearest to m is at d, the cities nearest to a
+point of the square lie within d + 2 rho of m.  Lists are found from coarse to
+fine squares: a square's candidates are taken from those of the coarser square
+around it, so a fine square never meets the whole dictionary.
 
 Two semantics:
 
-* ``key=None`` (per row): every point gets the cities at its minimum
-  distance.  Pure projection + generate: no shuffle, no row id.
-* ``key=[...]`` (reference semantics): among all rows sharing ``key``, only
-  the (row, city) combinations at the smallest distance survive -- a rank-1
-  filter per key.  A NULL or repeated key therefore competes as one group.
-  Spark plans the rank-1 filter as a partial ``WindowGroupLimit`` before the
-  shuffle, so a hot key (e.g. every NULL id) only ships each task's local
-  minimum, never the whole group.
-
-Two strategies for the distance search, picked by the dictionary size:
-
-* array (small dictionaries): the dictionary becomes one array value through
-  an uncorrelated scalar subquery -- computed once, shipped to tasks like a
-  broadcast -- and every point takes the argmin over it.
-* grid (large dictionaries): exact search over 3-D grid cells of growing
-  width (see ``nearest_by_grid``); equi-joins on cells, the city-cell table
-  broadcast only within a proven size bound.
+* ``key=None`` (per row): every point gets the cities at its least distance.
+* ``key=[...]`` (reference semantics): among all rows sharing ``key``, only the
+  (row, city) combinations at the smallest distance survive.  A NULL or
+  repeated key competes as one group.  Keys with a large share of the rows are
+  found first (at most ``MAX_HOT_KEYS`` of them, whatever the input's size);
+  their least distance is aggregated map-side and broadcast, so their rows stay
+  where they are, ties included.  All other keys take a rank-1 window.
+
+Rows without coordinates, or with non-finite ones, have no nearest city.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cityweave.functions.geo import (
-    CELL_WIDENING,
-    EARTH_RADIUS_KM,
-    grid_cell,
-    haversine_km,
-    neighbour_cells,
-)
-from cityweave.session import checkpoint_dir
-
-# Largest dictionary handled by the per-row array strategy.  The array is
-# materialised once per query and evaluated per row, so both its size on the
-# wire and per-row work stay bounded by this number.
-MAX_ARRAY_CITIES = 2048
-
-# Grid strategy: first cell width and growth factor.  Widths grow until a
-# cell spans the whole globe, where every city is a candidate.
-GRID_START_KM = 50.0
-GRID_GROWTH = 4.0
-# Largest city-cell table (27 rows per city) the grid strategy broadcasts.
-MAX_BROADCAST_CELL_ROWS = 4_000_000
+from cityweave.functions.geo import EARTH_RADIUS_KM, haversine_km
+
+# Squares, coarse to fine; each side divides the one before it.
+ROOT_DEG, MID_DEG, LEAF_DEG = 30.0, 3.0, 0.5
+# Guards the bounds against rounding.
+SLACK_KM = 1e-6
+
+# A key is hot above this many rows and above one in MAX_HOT_KEYS of all rows:
+# there can't be more hot keys than that, so their table may be broadcast.
+HOT_KEY_ROWS = 100_000
+MAX_HOT_KEYS = 10_000
 
 CITY_OUT = ("city_id", "city_name")
+_SHIFT = 1 << 20  # packs a square's (row, column) into one long
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def city_array(cities: DataFrame, max_cities: int = MAX_ARRAY_CITIES) -> Column:
-    """The dictionary as one ``array<struct<city_id, city_name, city_lat, city_lon>>``.
+def _turn(degrees: Column) -> Column:
+    """Angle in [-180, 180): distances have a period of a full turn."""
+    return F.pmod(degrees + 180.0, F.lit(360.0)) - 180.0
 
-    The bound is enforced inside the subquery: a dictionary larger than
-    ``max_cities`` fails the query instead of being shipped to every task.
-    The dictionary is packed in one partition (it is bounded), which saves
-    the subquery a shuffle.
-    """
-    packed = F.collect_list(F.struct("city_id", "city_name", "city_lat", "city_lon"))
-    guarded = F.when(F.size(packed) <= F.lit(max_cities), packed).otherwise(
-        F.raise_error(F.lit(f"city dictionary larger than {max_cities} rows; use strategy='grid'"))
-    )
-    return cities.coalesce(1).select(guarded.alias("cities")).scalar()
 
+def _square(lat: Column, lon: Column, side: float) -> Column:
+    """Square of a position; NULL without finite coordinates."""
+    finite = (F.abs(lat) < float("inf")) & (F.abs(lon) < float("inf"))
+    row, column = F.floor(_turn(lat) / side), F.floor(_turn(lon) / side)
+    return F.when(finite, row * F.lit(_SHIFT) + column)
 
-_DICTIONARY_ROWS: dict[tuple[str, int], int] = {}
 
+def _row_column(square: Column) -> tuple[Column, Column]:
+    row = F.floor((square + F.lit(_SHIFT // 2)) / F.lit(_SHIFT))
+    return row, square - row * F.lit(_SHIFT)
 
-def dictionary_rows(cities: DataFrame) -> int:
-    """Row count of the dictionary, memoised per session and plan.
 
-    Only picks the strategy (both are exact), so a memo that outlives a
-    change of the file can cost speed, never correctness; the array size
-    bound is checked again at run time by ``city_array``.
-    """
-    key = (cities.sparkSession.sparkContext.applicationId, cities.semanticHash())
-    if key not in _DICTIONARY_ROWS:
-        _DICTIONARY_ROWS[key] = cities.count()
-    return _DICTIONARY_ROWS[key]
+def _around(square: Column, ratio: float) -> Column:
+    """The coarser square that holds ``square``."""
+    row, column = _row_column(square)
+    return F.floor(row / ratio) * F.lit(_SHIFT) + F.floor(column / ratio)
+
+
+def _from_centre(square: Column, side: float) -> Column:
+    row, column = _row_column(square)
+    return haversine_km((row + 0.5) * side, (column + 0.5) * side, F.col("city_lat"), F.col("city_lon"))
 
 
-def nearest_by_array(
+def _reach(side: float) -> float:
+    """2 rho: half a side along the meridian and half a side along the parallel reach any point from the centre."""
+    return 2 * EARTH_RADIUS_KM * side * 3.141592653589793 / 180 + SLACK_KM
+
+
+def square_candidates(
+    points: DataFrame, cities: DataFrame, lat="lat", lon="lon", leaf_deg: float = LEAF_DEG
+) -> DataFrame:
+    """``_square, _cities``: the possible nearest cities of each square that holds points."""
+    leaves = points.select(_square(_c(lat), _c(lon), leaf_deg).alias("_square")).where("_square is not null").distinct()
+    mids = leaves.select(_around(F.col("_square"), MID_DEG / leaf_deg).alias("_square")).distinct()
+    roots = mids.select(_around(F.col("_square"), ROOT_DEG / MID_DEG).alias("_square")).distinct()
+
+    city = ("city_id", "city_name", "city_lat", "city_lon")
+    span = int(180 / ROOT_DEG)
+    every_root = [r * _SHIFT + c for r in range(-span, span) for c in range(-span, span)]
+    found = cities.where("city_lat is not null and city_lon is not null").select(
+        F.explode(F.array(*[F.lit(s).cast("bigint") for s in every_root])).alias("_square"), *city
+    ).join(roots, "_square", "left_semi")
+    found = _possible(found, ROOT_DEG)
+    mids = mids.withColumn("_coarse", _around(F.col("_square"), ROOT_DEG / MID_DEG))
+    found = mids.join(found.withColumnRenamed("_square", "_coarse"), "_coarse").select("_square", *city)
+    found = _possible(found, MID_DEG)
+    leaves = leaves.withColumn("_coarse", _around(F.col("_square"), MID_DEG / leaf_deg))
+    found = leaves.join(found.withColumnRenamed("_square", "_coarse"), "_coarse")
+    listed = found.groupBy("_square").agg(
+        F.collect_list(F.struct(*city, _from_centre(F.col("_square"), leaf_deg).alias("_d"))).alias("_all")
+    )
+    least = F.array_min(F.transform("_all", lambda c: c["_d"]))
+    listed = listed.withColumn("_upto", least + F.lit(_reach(leaf_deg)))
+    return listed.select("_square", F.filter("_all", lambda c: c["_d"] <= F.col("_upto")).alias("_cities"))
+
+
+def _possible(found: DataFrame, side: float) -> DataFrame:
+    """Of each square's cities, those that can be nearest to a point in it."""
+    least = F.min("_d").over(Window.partitionBy("_square"))
+    measured = found.withColumn("_d", _from_centre(F.col("_square"), side)).withColumn("_least", least)
+    return measured.where(F.col("_d") <= F.col("_least") + F.lit(_reach(side))).drop("_d", "_least")
+
+
+def nearest_by_square(
     points: DataFrame,
     cities: DataFrame,
     lat="lat",
     lon="lon",
     distance_col: str = "distance_km",
-    max_cities: int = MAX_ARRAY_CITIES,
+    leaf_deg: float = LEAF_DEG,
 ) -> DataFrame:
-    """Per-row argmin over the city array; one output row per tied city.
-
-    Per row only a ``double`` array of distances is built; the cities at the
-    minimum (every index where it is reached) are looked up by index and
-    exploded, so city names are touched for the winners only.
-    """
+    """Per-row argmin over the list of the row's square; one output row per tied city."""
     lat_c, lon_c = _c(lat), _c(lon)
-    # The subquery is projected first: Spark evaluates it once per query and
-    # lambdas may not contain subqueries.
-    distances = F.transform(
-        F.col("_cities"), lambda c: haversine_km(lat_c, lon_c, c["city_lat"], c["city_lon"])
-    )
-    at_min = F.filter(
-        F.sequence(F.lit(0), F.size("_ds") - 1), lambda i: F.get(F.col("_ds"), i) == F.col("_best")
-    )
-    # the winners (usually one) are picked before the explode, so the city
-    # and distance arrays are not carried through it
-    winners = F.transform(at_min, lambda i: F.get(F.col("_cities"), i))
+    lists = square_candidates(points, cities, lat, lon, leaf_deg)
+    placed = points.withColumn("_square", _square(lat_c, lon_c, leaf_deg)).join(lists, "_square")
+    distances = F.transform("_cities", lambda c: haversine_km(lat_c, lon_c, c["city_lat"], c["city_lon"]))
+    winners = F.filter("_cities", lambda c, i: F.get(F.col("_ds"), i) == F.col("_best"))
     return (
-        points.withColumn("_cities", city_array(cities, max_cities))
-        .withColumn("_ds", distances)
+        placed.withColumn("_ds", distances)
         .withColumn("_best", F.array_min("_ds"))
         .withColumn("_hit", F.explode(winners))
         .select(
@@ -127,78 +149,28 @@ def nearest_by_array(
     )
 
 
-def nearest_by_grid(
-    points: DataFrame,
-    cities: DataFrame,
-    lat="lat",
-    lon="lon",
-    distance_col: str = "distance_km",
-    start_km: float = GRID_START_KM,
-    growth: float = GRID_GROWTH,
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    return functools.reduce(operator.and_, (F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)))
+
+
+def closest_per_key(
+    points: DataFrame, scored: DataFrame, key: Sequence[str], distance_col: str, hot_rows: int = HOT_KEY_ROWS
 ) -> DataFrame:
-    """Exact nearest cities for dictionaries too large to ship to every row.
-
-    Works on distinct coordinates, level by level.  At width ``w`` each point
-    meets the cities of its 27 neighbouring cells (an equi-join; cities are
-    the expanded side).  If the best candidate lies within ``w`` every city
-    at that distance is among the candidates (chord <= arc <= w), so the point
-    is settled with all its ties; otherwise it moves on to width
-    ``growth * w``.  Once a cell spans the globe every city is a candidate and
-    the rest settle.  Each level's outcome is checkpointed to the shared
-    checkpoint folder, so the next level starts from stored rows, not from a
-    plan that grows with every level; the search stops as soon as nothing is
-    left unsettled.
+    """Rows of ``scored`` at the smallest distance of their key; NULLs are one key.
+
+    ``points`` are the rows before the search: hot keys are counted there.
     """
-    spark = points.sparkSession
-    checkpoint_dir(spark)
-    # 27 cell copies per city: broadcast when that is provably small, so the
-    # points never shuffle into (possibly very dense) cells.
-    ship = F.broadcast if 27 * dictionary_rows(cities) <= MAX_BROADCAST_CELL_ROWS else (lambda df: df)
-    lat_c, lon_c = _c(lat), _c(lon)
-    pending = (
-        points.select(lat_c.alias("_lat"), lon_c.alias("_lon"))
-        .where(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
-        .distinct()
-    )
-    settled_parts = []
-    width = float(start_km)
-    while True:
-        last = width >= 2 * EARTH_RADIUS_KM
-        cell = width * CELL_WIDENING
-        city_cells = cities.withColumn("_home", grid_cell("city_lat", "city_lon", cell)).select(
-            "city_id",
-            "city_name",
-            "city_lat",
-            "city_lon",
-            F.explode(neighbour_cells("_home")).alias("_cell"),
-        )
-        cand = (
-            pending.withColumn("_cell", grid_cell("_lat", "_lon", cell))
-            .join(ship(city_cells), "_cell", "left")
-            .withColumn("_d", haversine_km("_lat", "_lon", "city_lat", "city_lon"))
-        )
-        w = Window.partitionBy("_lat", "_lon").orderBy(F.col("_d").asc_nulls_last())
-        best = (
-            cand.withColumn("_r", F.rank().over(w))
-            .where(F.col("_r") == 1)
-            .select("_lat", "_lon", *CITY_OUT, "_d")
-        )
-        ok = F.col("_d").isNotNull() & (F.lit(True) if last else F.col("_d") <= F.lit(width))
-        best = best.withColumn("_ok", ok).checkpoint(eager=True)
-        settled_parts.append(
-            best.where("_ok").select("_lat", "_lon", *CITY_OUT, F.col("_d").alias(distance_col))
-        )
-        unsettled = best.where(~F.col("_ok"))
-        if last or unsettled.isEmpty():  # cheap: reads the checkpointed level
-            break
-        pending = unsettled.select("_lat", "_lon").distinct()
-        width *= growth
-    resolved = settled_parts[0]
-    for part in settled_parts[1:]:
-        resolved = resolved.unionByName(part)
-    return points.join(resolved, (lat_c == F.col("_lat")) & (lon_c == F.col("_lon")), "inner").drop(
-        "_lat", "_lon"
-    )
+    key, own = list(key), [f"_hot{i}" for i in range(len(key))]
+    counted = points.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    share = (points.select(F.count(F.lit(1)).alias("_n")).scalar() / F.lit(MAX_HOT_KEYS)).alias("_share")
+    hot = counted.where(F.col("_n") > F.lit(hot_rows)).withColumn("_share", share).where("_n > _share")
+    hot = F.broadcast(hot.select(*[F.col(k).alias(o) for k, o in zip(key, own, strict=True)]))  # at most MAX_HOT_KEYS rows
+    least = scored.join(hot, _same(key, own)).groupBy(*own).agg(F.min(distance_col).alias("_least"))
+    at_rest = scored.join(F.broadcast(least), _same(key, own) & (F.col(distance_col) == F.col("_least"))).select(*scored.columns)
+    w = Window.partitionBy(*key).orderBy(F.col(distance_col).asc())
+    others = scored.join(hot, _same(key, own), "left_anti")
+    ranked = others.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") == 1).drop("_rank")
+    return ranked.unionByName(at_rest)
 
 
 def nearest_city(
@@ -208,24 +180,16 @@ def nearest_city(
     lon="lon",
     key: Sequence[str] | None = None,
     distance_col: str = "distance_km",
-    strategy: str = "auto",
-    max_array_cities: int = MAX_ARRAY_CITIES,
+    leaf_deg: float = LEAF_DEG,
+    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Attach ``city_id, city_name, distance_km`` of the nearest city(ies).
 
-    ``strategy``: ``"array"``, ``"grid"`` or ``"auto"`` (array when the
-    dictionary has at most ``max_array_cities`` rows -- checked with a count
-    on the dictionary, never on the facts).
+    ``leaf_deg`` sizes the finest squares (a divisor of 3 degrees) and
+    ``hot_rows`` the keys whose rows are not moved; the result depends on
+    neither.
     """
-    if strategy == "auto":
-        strategy = "array" if dictionary_rows(cities) <= max_array_cities else "grid"
-    if strategy == "array":
-        scored = nearest_by_array(points, cities, lat, lon, distance_col, max_array_cities)
-    elif strategy == "grid":
-        scored = nearest_by_grid(points, cities, lat, lon, distance_col)
-    else:
-        raise ValueError(f"unknown strategy {strategy!r}")
+    scored = nearest_by_square(points, cities, lat, lon, distance_col, leaf_deg)
     if key is None:
         return scored
-    w = Window.partitionBy(*key).orderBy(F.col(distance_col).asc())
-    return scored.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") == 1).drop("_rank")
+    return closest_per_key(points, scored, key, distance_col, hot_rows)

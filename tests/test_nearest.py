@@ -1,10 +1,13 @@
+import math
 import random
 
 import pytest
 
 from pyspark.sql import functions as F
 
+from cityweave.operators import nearest
 from cityweave.operators.nearest import nearest_city
+from cityweave.sources.cities import read_cities
 from tests.conftest import rows
 
 CITIES = [
@@ -37,20 +40,47 @@ def test_keyed_mode_groups_compete(spark):
     assert rows(out, "pid", "city_id") == [(1, "1"), (1, "3"), (3, "2")]
 
 
-def test_grid_strategy_equals_array(spark):
+def _brute(points, cities, keyed=False):
+    """[(pid, city_id)] by a full search; ties within 1e-9 km."""
+    least, found = {}, []
+    for pid, k, lat, lon in points:
+        ds = []
+        for cid, _, clat, clon in cities:
+            h = math.sin(math.radians(clat - lat) / 2) ** 2 + math.cos(math.radians(lat)) * math.cos(math.radians(clat)) * math.sin(math.radians(clon - lon) / 2) ** 2
+            ds.append((2 * 6371.0 * math.asin(math.sqrt(min(1.0, h))), cid))
+        best = min(ds)[0]
+        key = k if keyed else pid
+        least[key] = min(best, least.get(key, math.inf))
+        found += [(pid, cid, key, d) for d, cid in ds if d <= best + 1e-9]
+    return sorted((pid, cid) for pid, cid, key, d in found if d <= least[key] + 1e-9)
+
+
+def _frames(spark, pts, cities):
+    return (
+        spark.createDataFrame(pts, "pid int, k int, lat double, lon double"),
+        spark.createDataFrame(cities, "city_id string, city_name string, city_lat double, city_lon double"),
+    )
+
+
+@pytest.mark.parametrize("leaf", [0.1, 0.5, 3.0])
+def test_squares_equal_full_search(spark, leaf):
     rnd = random.Random(7)
-    cities = [(str(i), f"c{i}", rnd.uniform(-60, 60), rnd.uniform(-180, 180)) for i in range(40)]
+    cities = [(str(i), f"c{i}", rnd.uniform(-85, 85), rnd.uniform(-180, 180)) for i in range(60)]
     cities.append(("dup", "c0-again", cities[0][2], cities[0][3]))
-    pts = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(300)]
-    pts += [(1000 + i, c[2] + rnd.uniform(-0.01, 0.01), c[3]) for i, c in enumerate(cities[:10])]
-    pts += [(2000, 90.0, 0.0), (2001, -90.0, 45.0), (2002, 0.0, 180.0), (2003, cities[0][2], cities[0][3])]
-    cdf = spark.createDataFrame(cities, "city_id string, city_name string, city_lat double, city_lon double")
-    pdf = spark.createDataFrame(pts, "pid int, lat double, lon double")
-    a = nearest_city(pdf, cdf, strategy="array").select("pid", "city_id", F.round("distance_km", 6).alias("d"))
-    g = nearest_city(pdf, cdf, strategy="grid").select("pid", "city_id", F.round("distance_km", 6).alias("d"))
-    assert a.exceptAll(g).count() == 0
-    assert g.exceptAll(a).count() == 0
-    assert a.where("pid = 2003").count() == 2  # exact tie kept by both
+    pts = [(i, None, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(300)]
+    pts += [(1000 + i, None, c[2] + rnd.uniform(-0.01, 0.01), c[3]) for i, c in enumerate(cities[:10])]
+    pts += [(2000, None, 90.0, 0.0), (2001, None, -90.0, 45.0), (2002, None, 0.0, 180.0), (2003, None, cities[0][2], cities[0][3])]
+    pts += [(2004, None, 10.0, 190.0), (2005, None, 10.0, -180.0), (2006, None, -0.0, 540.0)]
+    pdf, cdf = _frames(spark, pts, cities)
+    got = rows(nearest_city(pdf, cdf, leaf_deg=leaf), "pid", "city_id")
+    assert got == sorted(_brute(pts, cities), key=lambda t: tuple((x is None, str(x)) for x in t))
+    assert [r for r in got if r[0] == 2003] == [(2003, "0"), (2003, "dup")]
+
+
+def test_points_without_finite_coordinates_have_no_city(spark):
+    pts = [(1, None, None, 1.0), (2, None, 1.0, None), (3, None, float("nan"), 1.0), (4, None, 1.0, float("inf"))]
+    pdf, _ = _frames(spark, pts, [])
+    assert nearest_city(pdf, _cities(spark)).count() == 0
 
 
 def test_empty_dictionary_gives_no_rows(spark):
@@ -59,27 +89,49 @@ def test_empty_dictionary_gives_no_rows(spark):
     assert nearest_city(pts, empty).count() == 0
 
 
-def test_auto_strategy_switches_and_array_bound_is_enforced(spark):
+def test_dictionary_rewritten_from_ten_to_thousands_of_rows(spark, tmp_path):
     rnd = random.Random(2)
-    cities = [(str(i), f"c{i}", rnd.uniform(-60, 60), rnd.uniform(-180, 180)) for i in range(12)]
-    cdf = spark.createDataFrame(cities, "city_id string, city_name string, city_lat double, city_lon double")
-    pdf = spark.createDataFrame([(i, rnd.uniform(-60, 60), rnd.uniform(-180, 180)) for i in range(30)],
-                                "pid int, lat double, lon double")
-    small = nearest_city(pdf, cdf, max_array_cities=100)
-    large = nearest_city(pdf, cdf, max_array_cities=5)  # auto -> grid
-    assert rows(small, "pid", "city_id") == rows(large, "pid", "city_id")
-    assert "Subquery" not in large._jdf.queryExecution().optimizedPlan().toString()
-    with pytest.raises(Exception, match="larger than 5"):
-        nearest_city(pdf, cdf, strategy="array", max_array_cities=5).collect()
-
-
-def test_keyed_mode_same_for_both_strategies(spark):
+    pts = [(i, None, rnd.uniform(-60, 60), rnd.uniform(-180, 180)) for i in range(40)]
+    pdf, _ = _frames(spark, pts, [])
+    path = tmp_path / "geo.csv"
+    for n in (10, 3000):
+        cities = [(str(i), f"c{i}", round(rnd.uniform(-60, 60), 4), round(rnd.uniform(-180, 180), 4)) for i in range(n)]
+        lines = [f"{i};{name};{lat};{lon}".replace(".", ",") for i, name, lat, lon in cities]
+        path.write_text("\n".join(["id;city;lat;lng", *lines]) + "\n")
+        found = nearest_city(pdf, read_cities(spark, str(path)))
+        assert rows(found, "pid", "city_id") == sorted(_brute(pts, cities), key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+@pytest.mark.parametrize("hot_rows", [2, 10**6])
+def test_keyed_mode_does_not_depend_on_hot_rows(spark, hot_rows, monkeypatch):
     rnd = random.Random(13)
+    monkeypatch.setattr(nearest, "MAX_HOT_KEYS", 10)
     cities = [(str(i), f"c{i}", rnd.uniform(-50, 50), rnd.uniform(-170, 170)) for i in range(20)]
-    cdf = spark.createDataFrame(cities, "city_id string, city_name string, city_lat double, city_lon double")
-    pts = [(i, rnd.choice([None, 1, 2, 3]), rnd.uniform(-60, 60), rnd.uniform(-180, 180)) for i in range(80)]
-    pdf = spark.createDataFrame(pts, "pid int, k int, lat double, lon double")
-    a = nearest_city(pdf, cdf, key=["k"], strategy="array").select("pid", "city_id")
-    g = nearest_city(pdf, cdf, key=["k"], strategy="grid").select("pid", "city_id")
-    assert rows(a) == rows(g)
-    assert a.count() == 4  # one winner per key group (NULL included)
+    pts = [(i, rnd.choice([None, None, 1, 2, *range(3, 60)]), rnd.uniform(-60, 60), rnd.uniform(-180, 180)) for i in range(200)]
+    pts += [(1000 + i, None, cities[0][2], cities[0][3]) for i in range(40)]  # ties of the NULL key
+    pdf, cdf = _frames(spark, pts, cities)
+    got = rows(nearest_city(pdf, cdf, key=["k"], hot_rows=hot_rows), "pid", "city_id")
+    assert got == sorted(_brute(pts, cities, keyed=True), key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def test_rows_of_a_hot_null_key_are_not_moved(spark):
+    """20,000 rows of the NULL key at one place stay in the partitions they come from."""
+    pts = spark.range(0, 40_000, 1, 8).select(
+        F.col("id").cast("int").alias("pid"),
+        F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"),
+        F.when(F.col("id") % 2 == 1, 0.0).otherwise(F.col("id") / 1000).alias("lat"),
+        F.lit(0.05).alias("lon"),
+    )
+    found = nearest_city(pts, _cities(spark), key=["k"], hot_rows=1000)
+    # as with large facts: the points are too many to broadcast, and partitions are not merged
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "100k"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        per_task = found.where("k is null").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(r["count"] for r in per_task) == 40_000  # two cities tied at each
+    assert max(r["count"] for r in per_task) <= 40_000 // 8 + 2
