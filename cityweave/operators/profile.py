@@ -18,10 +18,11 @@ from cityweave.operators.nearest import nearest_city
 ORDER = ("message_ts", "message_id", "city_id")
 
 
-# Where a message's time is read from, first non-NULL wins.  The strict
-# reading of the reference is ``("message_ts",)``; logs that carry the time of
-# some messages only in ``datetime`` need both.
-MESSAGE_TIME_FIELDS = ("message_ts", "datetime")
+# Where a message's time is read from, first non-NULL wins.  The reference
+# reads ``message_ts`` alone and drops messages without it; logs that carry the
+# time of some messages only in ``datetime`` can ask for ``COALESCED_TIME_FIELDS``.
+MESSAGE_TIME_FIELDS = ("message_ts",)
+COALESCED_TIME_FIELDS = ("message_ts", "datetime")
 
 
 def message_points(events: DataFrame, time_fields=MESSAGE_TIME_FIELDS) -> DataFrame:
@@ -56,42 +57,42 @@ def closest_message_cities(messages: DataFrame, cities: DataFrame, keyed: bool =
     return located.select("message_id", "user_id", "message_ts", "distance_km", "city_id", "city_name")
 
 
-def _latest_key() -> Column:
-    """Ordering key whose minimum is the latest row: time DESC (NULL last),
-    message_id DESC, city_id ASC."""
-    ts = F.col("message_ts")
-    return F.struct(
-        ts.isNull(),
-        -F.unix_micros(ts),
-        -F.col("message_id"),
-        F.col("city_id"),
-    )
-
-
-def user_places(closest: DataFrame, tz: str = DEFAULT_TIME_ZONE) -> DataFrame:
-    """Current city, its local time and the home city, in one aggregation per user.
-
-    Partial aggregation map-side, one shuffle on ``user_id``: a user holding a
-    third of all messages is reduced in every task before it moves.  A user
-    has a home city when all names are NULL, or none is NULL and min = max
-    (a NULL name counts as a city of its own, as in the reference).
-    """
-    name = F.col("city_name")
-    per_user = closest.groupBy("user_id").agg(
-        F.min_by(F.struct("city_name", "message_ts"), _latest_key()).alias("_cur"),
+def _place_aggregates() -> list[Column]:
+    """Latest row (time DESC with NULL last, message_id DESC, city_id ASC) and the
+    city names seen, as buffers that merge over pieces of a user."""
+    ts, name = F.col("message_ts"), F.col("city_name")
+    latest = F.struct(ts.isNull(), -F.unix_micros(ts), -F.col("message_id"), F.col("city_id"), name.alias("city_name"), ts.alias("message_ts"))
+    return [
+        F.min(latest).alias("_cur"),
         F.count(name).alias("_named"),
         F.count_if(name.isNull()).alias("_unnamed"),
         F.min(name).alias("_lo"),
         F.max(name).alias("_hi"),
-    )
+    ]
+
+
+def _places(tz: str) -> list[Column]:
+    """Columns of the mart that follow from ``_place_aggregates``.
+
+    A user has a home city when all names are NULL, or none is NULL and
+    min = max (a NULL name counts as a city of its own, as in the reference).
+    """
     one_city = (F.col("_named") == 0) | ((F.col("_unnamed") == 0) & (F.col("_lo") == F.col("_hi")))
-    return per_user.select(
-        "user_id",
+    return [
         F.col("_cur.city_name").alias("act_city"),
         F.when(one_city, F.col("_hi")).alias("home_city"),
         local_time(F.col("_cur.message_ts"), tz).alias("local_time"),
         one_city.alias("_has_home"),
-    )
+    ]
+
+
+def user_places(closest: DataFrame, tz: str = DEFAULT_TIME_ZONE) -> DataFrame:
+    """Current city, its local time and the home city, in one aggregation per user.
+
+    Partial aggregation map-side, one shuffle on ``user_id``: a user holding a
+    third of all messages is reduced in every task before it moves.
+    """
+    return closest.groupBy("user_id").agg(*_place_aggregates()).select("user_id", *_places(tz))
 
 
 def current_city(closest: DataFrame, tz: str = DEFAULT_TIME_ZONE) -> DataFrame:
@@ -109,202 +110,107 @@ def home_city(closest: DataFrame) -> DataFrame:
     return user_places(closest).where("_has_home").select("user_id", "home_city")
 
 
-def user_cities(current: DataFrame, home: DataFrame) -> DataFrame:
-    """Current city and local time, with the home city where there is one.
+def _pieces(closest: DataFrame, pieces: int | None) -> DataFrame:
+    """``closest`` with ``_piece``: ranges of the order (user, time, message, city).
 
-    For separately computed inputs; ``user_places`` yields the same columns
-    from one aggregation.
+    The ranges are cut by rank: Spark samples the whole order, so a piece holds
+    about as many rows as any other, whatever the users' sizes and however
+    their times bunch; a user with a third of all rows spans many pieces.  A
+    user's pieces, ordered by number, are in the user's order.
     """
-    return current.join(home, "user_id", "left").select("user_id", "act_city", "home_city", "local_time")
-
-
-# A user with more located messages than this gets equal-width time buckets
-# sized to hold about this many rows each (instead of calendar buckets), so
-# no single (user, bucket) window sorts a huge share of the data.  The
-# per-user widths are broadcast when at most MAX_HOT_USERS users are hot
-# (counted first), else joined by shuffle.
-HOT_USER_ROWS = 1_000_000
-MAX_HOT_USERS = 100_000
-
+    n = pieces or int(closest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c).asc_nulls_first() for c in ("user_id", *ORDER)]
+    return closest.select("user_id", *ORDER, "city_name").repartitionByRange(n, *order).withColumn("_piece", F.spark_partition_id())
 
-def hot_rows_for(total_rows: int, hot_rows: int = HOT_USER_ROWS) -> int | None:
-    """``hot_rows``, or None when ``total_rows`` already rules out a hot user."""
-    return hot_rows if total_rows > hot_rows else None
 
+def _stepped(closest: DataFrame, pieces: int | None) -> DataFrame:
+    """Pieces with the previous row's city inside the piece (``_prev``) and its first row marked."""
+    w = Window.partitionBy("user_id", "_piece").orderBy(*[F.col(c).asc_nulls_first() for c in ORDER])
+    rows = _pieces(closest, pieces).withColumn("_prev", F.lag("city_name").over(w))
+    return rows.withColumn("_first", F.row_number().over(w) == 1)
 
-def _bucketed(closest: DataFrame, unit: str, hot_rows: int | None) -> DataFrame:
-    """``closest`` with ``_b``: the start of the row's time bucket.
 
-    Calendar buckets (``date_trunc(unit)``) for ordinary users (for everyone
-    when ``hot_rows`` is None); for users above ``hot_rows`` rows,
-    ``width = span * hot_rows / rows`` microseconds (at least 1, computed in
-    double so long spans cannot overflow), so their history splits into
-    ~``rows / hot_rows`` buckets.
-    Buckets of one user never overlap, so ordering them by start keeps time
-    order.  Rows sharing one timestamp stay in one bucket.  The per-user
-    statistics are counted first (an action reading ``closest``): pass a
-    materialised (checkpointed) table, as the profile job does.  Without
-    hot users the calendar buckets are used and no join is added.
-    """
-    ts = F.col("message_ts")
-    if hot_rows is None:
-        return closest.withColumn("_b", F.date_trunc(unit, ts))
-    micros = F.unix_micros(ts)
-    hot = (
-        closest.groupBy("user_id")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(micros).alias("_lo"), F.max(micros).alias("_hi"))
-        .where(F.col("_n") > F.lit(hot_rows))
-        .select(
-            "user_id",
-            F.greatest(
-                F.lit(1).cast("long"),
-                F.floor(
-                    (F.col("_hi") - F.col("_lo")).cast("double") * F.lit(float(hot_rows)) / F.col("_n")
-                ).cast("long"),
-            ).alias("_w"),
-        )
-    )
-    n_hot = hot.count()
-    if n_hot == 0:
-        return closest.withColumn("_b", F.date_trunc(unit, ts))
-    # at most rows / hot_rows users can be hot; broadcast only within the bound
-    widths = F.broadcast(hot) if n_hot <= MAX_HOT_USERS else hot
-    width = F.col("_w")
-    bucket = F.when(width.isNull(), F.date_trunc(unit, ts)).otherwise(
-        F.timestamp_micros(F.floor(micros / width).cast("long") * width)
-    )
-    return closest.join(widths, "user_id", "left").withColumn("_b", bucket).drop("_w")
-
-
-def travel_events(
-    closest: DataFrame, bucket_unit: str = "day", hot_rows: int | None = HOT_USER_ROWS
-) -> DataFrame:
+def travel_events(closest: DataFrame, pieces: int | None = None) -> DataFrame:
     """Rows where a user's city differs from the previous row's (first row included).
 
-    Computed in two levels so no single task sorts a user's whole history:
-    ``lag`` within ``(user, time bucket)``, and for each bucket's first row the
-    last city of the user's previous bucket, taken from a per-bucket summary
-    (a handful of rows per user and day).
+    ``lag`` within each piece of a user; a piece's first row is compared with
+    the last city of the user's piece before, from a summary of one row a
+    (user, piece).  No task sorts a user's whole history.
     """
-    order = [F.col(c).asc_nulls_first() for c in ORDER]
-    rows = _bucketed(
-        closest.select("user_id", "message_id", "message_ts", "city_id", "city_name"), bucket_unit, hot_rows
-    )
-    w_in = Window.partitionBy("user_id", "_b").orderBy(*order)
-    rows = rows.withColumn("_prev", F.lag("city_name").over(w_in)).withColumn(
-        "_first", F.row_number().over(w_in) == 1
-    )
-    last_per_bucket = rows.groupBy("user_id", "_b").agg(
-        F.max_by("city_name", F.struct(*ORDER)).alias("_last")
-    )
-    w_b = Window.partitionBy("user_id").orderBy(F.col("_b").asc_nulls_first())
-    carried = last_per_bucket.select(
-        "user_id", "_b", F.lag("_last").over(w_b).alias("_carry")
-    )
+    rows = _stepped(closest, pieces)
+    last = rows.groupBy("user_id", "_piece").agg(F.max_by("city_name", F.struct(*ORDER)).alias("_last"))
+    in_turn = Window.partitionBy("user_id").orderBy("_piece")
+    carried = last.select("user_id", "_piece", F.lag("_last").over(in_turn).alias("_carry"))
     prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev"))
     return (
-        rows.join(carried, ["user_id", "_b"], "left")
+        rows.join(carried, ["user_id", "_piece"], "left")
         .where(prev.isNull() | (F.col("city_name") != prev))
         .select("user_id", "message_id", "message_ts", "city_id", "city_name")
     )
 
 
-def travel_stats(
-    closest: DataFrame, bucket_unit: str = "day", hot_rows: int | None = HOT_USER_ROWS
-) -> DataFrame:
-    """``travel_count`` and the ordered itinerary ``travel_array`` per user.
-
-    Two levels, two shuffles.  Inside each (user, bucket) a window marks the
-    rows whose city differs from the previous row of the bucket, and the
-    bucket is summarised as (first city, last city, inner legs).  Per user
-    the few bucket summaries are stitched in time order: a bucket's first
-    row is a trip when the previous bucket's last city is NULL or differs
-    (the ``lag`` rule across the boundary).  No task sorts a user's whole
-    history; the per-user array holds one entry per bucket.  NULL city names
-    count as trips but are left out of the array.
-    """
-    order = [F.col(c).asc_nulls_first() for c in ORDER]
-    w_in = Window.partitionBy("user_id", "_b").orderBy(*order)
-    rows = (
-        _bucketed(
-            closest.select("user_id", "message_id", "message_ts", "city_id", "city_name"),
-            bucket_unit,
-            hot_rows,
-        )
-        .withColumn("_prev", F.lag("city_name").over(w_in))
-        .withColumn("_first", F.row_number().over(w_in) == 1)
-    )
-    inner_leg = ~F.col("_first") & (F.col("_prev").isNull() | (F.col("city_name") != F.col("_prev")))
+def _itineraries(closest: DataFrame, pieces: int | None) -> DataFrame:
+    """Per user: the pieces' itineraries in order (``_parts``) and the place buffers."""
+    leg = ~F.col("_first") & (F.col("_prev").isNull() | (F.col("city_name") != F.col("_prev")))
     key = F.struct(*ORDER)
-    pieces = rows.groupBy("user_id", "_b").agg(
+    by_piece = _stepped(closest, pieces).groupBy("user_id", "_piece").agg(
         F.min_by("city_name", key).alias("first"),
         F.max_by("city_name", key).alias("last"),
-        F.count_if(inner_leg).alias("n"),
-        F.array_sort(
-            F.collect_list(F.when(inner_leg, F.struct(*ORDER, "city_name")))
-        ).alias("legs"),
+        F.count_if(leg).alias("n"),
+        F.array_sort(F.collect_list(F.when(leg, F.struct(*ORDER, "city_name")))).alias("legs"),
+        *_place_aggregates(),
     )
-    per_user = pieces.groupBy("user_id").agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct(
-                    F.col("_b").isNotNull().alias("_dated"),
-                    F.col("_b"),
-                    "first",
-                    "last",
-                    "n",
-                    F.transform("legs", lambda x: x["city_name"]).alias("names"),
-                )
-            )
-        ).alias("_parts")
+    names = F.transform("legs", lambda x: x["city_name"]).alias("names")
+    return by_piece.groupBy("user_id").agg(
+        F.array_sort(F.collect_list(F.struct("_piece", "first", "last", "n", names))).alias("_parts"),
+        F.min("_cur").alias("_cur"),
+        F.sum("_named").alias("_named"),
+        F.sum("_unnamed").alias("_unnamed"),
+        F.min("_lo").alias("_lo"),
+        F.max("_hi").alias("_hi"),
     )
 
-    def opens_trip(x, i):
-        prev_last = F.get(F.col("_parts"), i - 1)["last"]
-        return (i == 0) | prev_last.isNull() | F.coalesce(x["first"] != prev_last, F.lit(False))
 
-    marked = per_user.select(
-        "user_id",
-        F.transform("_parts", lambda x, i: F.struct(opens_trip(x, i).alias("open"), x.alias("p"))).alias(
-            "_m"
-        ),
-    )
-    no_names = F.array().cast("array<string>")
-    return marked.select(
-        "user_id",
-        F.aggregate(
-            "_m",
-            F.lit(0).cast("bigint"),
-            lambda acc, m: acc + m["p"]["n"] + F.when(m["open"], 1).otherwise(0),
-        ).alias("travel_count"),
-        F.filter(
-            F.flatten(
-                F.transform(
-                    "_m",
-                    lambda m: F.concat(
-                        F.when(m["open"], F.array(m["p"]["first"])).otherwise(no_names), m["p"]["names"]
-                    ),
-                )
-            ),
-            lambda x: x.isNotNull(),
-        ).alias("travel_array"),
-    )
+def _travels() -> list[Column]:
+    """``travel_count`` and ``travel_array`` from ``_parts``.
+
+    A piece's first row is a trip when the piece before ended in another or an
+    unnamed city (the ``lag`` rule across the border).  Unnamed cities count as
+    trips but are left out of the array.
+    """
+
+    def opens(x: Column, i: Column) -> Column:
+        before = F.get(F.col("_parts"), i - 1)["last"]
+        return (i == 0) | before.isNull() | F.coalesce(x["first"] != before, F.lit(False))
+
+    trips = F.transform("_parts", lambda x, i: x["n"] + F.when(opens(x, i), 1).otherwise(0))
+    none = F.array().cast("array<string>")
+    visited = F.transform("_parts", lambda x, i: F.concat(F.when(opens(x, i), F.array(x["first"])).otherwise(none), x["names"]))
+    return [
+        F.aggregate(trips, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("travel_count"),
+        F.filter(F.flatten(visited), lambda x: x.isNotNull()).alias("travel_array"),
+    ]
+
+
+def travel_stats(closest: DataFrame, pieces: int | None = None) -> DataFrame:
+    """``travel_count`` and the ordered itinerary ``travel_array`` per user.
+
+    Inside each piece of a user a window marks the rows whose city differs from
+    the row before, and the piece is summarised as (first city, last city,
+    inner legs); per user the summaries are stitched in order.
+    """
+    return _itineraries(closest, pieces).select("user_id", *_travels())
 
 
 PROFILE_COLUMNS = ("user_id", "act_city", "home_city", "travel_count", "travel_array", "local_time")
 
 
-def user_geo_profile(
-    closest: DataFrame,
-    tz: str = DEFAULT_TIME_ZONE,
-    bucket_unit: str = "day",
-    hot_rows: int | None = HOT_USER_ROWS,
-) -> DataFrame:
+def user_geo_profile(closest: DataFrame, tz: str = DEFAULT_TIME_ZONE, pieces: int | None = None) -> DataFrame:
     """The profile mart: one row per user with a located message.
 
-    ``hot_rows=None`` uses calendar buckets for everyone (no hot-user
-    statistics: for inputs known to have no hot user).
+    One range shuffle, one on (user, piece) and one on the user serve both the
+    itinerary and the places; ``closest`` is read once.  ``pieces`` is the
+    number of ranges (the session's shuffle partitions); the result does not
+    depend on it.
     """
-    places = user_places(closest, tz)
-    stats = travel_stats(closest, bucket_unit, hot_rows)
-    return places.join(stats, "user_id", "left").select(*PROFILE_COLUMNS)
+    return _itineraries(closest, pieces).select("user_id", *_places(tz), *_travels()).select(*PROFILE_COLUMNS)

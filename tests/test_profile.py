@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cityweave.operators.profile import (
+    _pieces,
     current_city,
     home_city,
     travel_events,
@@ -58,11 +59,11 @@ def test_two_level_itinerary_matches_single_window(spark):
             data.append((user, mid, t, None if name is None else name.lower(), name))
             mid += 1
     df = _closest(spark, data)
-    for unit, hot in (("hour", 10**6), ("day", 10**6), ("month", 10**6), ("month", 5)):
-        got = travel_events(df, bucket_unit=unit, hot_rows=hot).select("user_id", "message_id", "city_id")
+    for pieces in (1, 3, 40):
+        got = travel_events(df, pieces).select("user_id", "message_id", "city_id")
         want = _brute_travel(df).select("user_id", "message_id", "city_id")
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    stats = {r.user_id: r for r in travel_stats(df, "hour").collect()}
+    stats = {r.user_id: r for r in travel_stats(df, 7).collect()}
     for user, r in stats.items():
         names = [x for x in r.travel_array]
         assert all(a != b for a, b in zip(names, names[1:])) or any(
@@ -114,13 +115,12 @@ def test_stitched_stats_match_single_window(spark):
         F.array_sort(F.collect_list(F.struct("message_ts", "message_id", "city_id", "city_name"))).alias("s"),
     ).select("user_id", "travel_count",
              F.filter(F.transform("s", lambda x: x["city_name"]), lambda x: x.isNotNull()).alias("travel_array"))
-    for unit, hot in (("hour", 10**6), ("day", 10**6), ("week", 10**6), ("day", 7), ("week", 3)):
-        got = travel_stats(df, unit, hot_rows=hot)
-        assert rows(got) == rows(want), (unit, hot)
+    for pieces in (1, 4, 50):
+        assert rows(travel_stats(df, pieces)) == rows(want), pieces
 
 
 def test_message_time_fields_and_parsed_order(spark):
-    from cityweave.operators.profile import message_points
+    from cityweave.operators.profile import COALESCED_TIME_FIELDS, message_points
 
     ev = spark.createDataFrame(
         [("message", 1, 7, "2024-01-01 9:00:00", None, 0.0, 0.0),
@@ -129,9 +129,9 @@ def test_message_time_fields_and_parsed_order(spark):
         "event_type string, message_id bigint, message_from bigint, message_ts string, datetime string,"
         " lat double, lon double",
     )
-    both = message_points(ev)
+    both = message_points(ev, time_fields=COALESCED_TIME_FIELDS)
     assert both.count() == 3
-    strict = message_points(ev, time_fields=("message_ts",))
+    strict = message_points(ev)
     assert strict.count() == 2
     # 10:00 is later than 9:00 although '9' > '1' as text
     latest = both.orderBy(F.col("message_ts").desc()).first()
@@ -166,17 +166,11 @@ def test_places_aggregation_equals_window_form(spark):
     assert rows(current_city(df).select("user_id", "act_city")) == rows(cur_w)
 
 
-def test_hot_user_buckets_over_a_long_span(spark):
-    # two years of one user's messages: the width arithmetic must not overflow
-    data = [(1, i, T0 + dt.timedelta(days=7 * i), str(i % 3), "ABC"[i % 3]) for i in range(104)]
+def test_pieces_are_even_whatever_the_times(spark):
+    """One user, 3000 rows at one time and one row 90 days before: no piece is large."""
+    data = [(1, i, T0, str(i % 3), "ABC"[i % 3]) for i in range(3000)] + [(1, -1, T0 - dt.timedelta(days=90), "0", "A")]
     df = _closest(spark, data)
-    got = travel_stats(df, "day", hot_rows=10).collect()[0]
-    assert got.travel_count == 104 and got.travel_array[:4] == ["A", "B", "C", "A"]
-
-
-def test_hot_rows_only_when_a_user_could_be_hot():
-    from cityweave.operators.profile import hot_rows_for
-
-    assert hot_rows_for(10, hot_rows=100) is None
-    assert hot_rows_for(100, hot_rows=100) is None
-    assert hot_rows_for(101, hot_rows=100) == 100
+    sizes = [r["count"] for r in _pieces(df, 20).groupBy("_piece").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 3 * 3001 / 20
+    got = travel_stats(df, 20).collect()[0]
+    assert got.travel_count == 3000 and got.travel_array[:4] == ["A", "B", "C", "A"]
