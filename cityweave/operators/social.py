@@ -8,8 +8,8 @@ turns "within ``max_km``" into an equi-join on the neighbouring cells within
 reach of each member, and the exact distance is checked afterwards.  The output keeps the reference's row
 multiplicity (one row per shared channel, one per tied zone city).
 
-Hot (channel, cell) groups -- skewed in output, not input -- are salted on
-both sides; see ``_split_hot_cells``.
+Hot (channel, cell) keys -- skewed in output, not input -- are salted on both
+sides; see ``_split_hot_cells``.
 
 Channel-wide pair *counts* are computed arithmetically (``n*(n-1)/2`` minus
 the contact pairs inside the channel) without ever emitting the pairs.
@@ -41,10 +41,8 @@ DEFAULT_MAX_KM = 1.0
 # 4 probe copies at 2x instead of 14 at 1x): less to shuffle.
 CELL_FACTOR = 2.0
 
-# Members of one (channel, cell) above which the group is salted, and the
-# largest hot-key table that is broadcast (counted first).
+# Side of the blocks into which the candidates of a hot (channel, cell) are split.
 HOT_CELL_ROWS = 2000
-MAX_HOT_KEYS = 100_000
 
 # Which field holds the actor of each kind of action.
 ACTION_ACTOR = (
@@ -113,10 +111,11 @@ def latest_action(events: DataFrame) -> DataFrame:
 def channel_pair_counts(channels: DataFrame) -> DataFrame:
     """Per channel: subscribers and the number of unordered subscriber pairs."""
     counted = channels.groupBy("subscription_channel").agg(F.count(F.lit(1)).alias("n_users"))
+    # an unnamed channel equals no other, so its subscribers form no pair
     # halve the even factor first: n*(n-1) alone would overflow long long
     # before the pair count itself does
     pairs = F.expr(
-        "CASE WHEN n_users % 2 = 0 THEN (n_users div 2) * (n_users - 1)"
+        "CASE WHEN subscription_channel IS NULL THEN 0 WHEN n_users % 2 = 0 THEN (n_users div 2) * (n_users - 1)"
         " ELSE n_users * ((n_users - 1) div 2) END"
     )
     return counted.withColumn("n_pairs", pairs)
@@ -260,7 +259,7 @@ def nearby_pairs(
         F.col("lon").alias("_lon2"),
         *[F.col(c).alias(f"_2_{c}") for c in carry],
     )
-    probe, build, join_key = _split_hot_cells(channels, members, probe, build, hot_rows)
+    probe, build, join_key = _split_hot_cells(probe, build, hot_rows)
     u1, u2 = F.col("_u1"), F.col("_u2")
     swap = u1 > u2
 
@@ -299,53 +298,44 @@ def nearby_pairs(
     return near.distinct() if distinct_pairs else near
 
 
-def _split_hot_cells(
-    channels: DataFrame, members: DataFrame, probe: DataFrame, build: DataFrame, hot_rows: int
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Salt (channel, cell) groups with more than ``hot_rows`` members.
+def _split_hot_cells(probe: DataFrame, build: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Salt the (channel, cell) keys on which more than ``hot_rows ** 2`` candidates meet.
 
-    A hot group gets ``s = ceil(n / hot_rows)`` salts per side: a probe row
-    hashes its user into salt ``a`` and is copied for every build salt
-    ``b``; a build row hashes into ``b`` and is copied for every ``a``.  Each
-    (probe, build) pair meets in exactly one ``(a, b)`` task.
-
-    A group cannot have more members than its channel has subscribers, so
-    when no channel exceeds ``hot_rows`` (one small aggregation over the
-    subscriptions) the plain join is kept.  Otherwise the hot groups of the
-    hot channels are counted: none keeps the plain join, up to
-    ``MAX_HOT_KEYS`` are broadcast, more are joined by shuffle.
+    Both sides are counted per key (map-side partial sums): probe copies come
+    from neighbouring cells too, so a cell with few members of its own can be
+    hot.  A hot key gets ``ceil(probe / hot_rows)`` x ``ceil(build / hot_rows)``
+    salts: a probe row hashes its user into salt ``a`` and is copied for every
+    ``b``, a build row the other way round, so each pair of rows meets once, and
+    about ``hot_rows`` x ``hot_rows`` of them in one place.  The hot keys are
+    joined on; Spark broadcasts their table if it turns out small.
     """
     key = ["subscription_channel", "_cell"]
-    hot_channels = (
-        channels.groupBy("subscription_channel")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > F.lit(hot_rows))
-        .select("subscription_channel")
-    )
-    if hot_channels.isEmpty():
-        return probe, build, key
+
+    def counted(side: DataFrame, name: str) -> DataFrame:
+        return side.where("subscription_channel is not null").groupBy(*key).agg(F.count(F.lit(1)).alias(name))
+
+    def salts(n: str, out: str) -> Column:
+        return F.ceil(F.col(n) / F.lit(hot_rows)).cast("int").alias(out)
+
     hot = (
-        members.join(hot_channels, "subscription_channel", "left_semi")
-        .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > F.lit(hot_rows))
-        .select(*key, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_s"))
+        counted(probe, "_np")
+        .join(counted(build, "_nb"), key)
+        .where(F.col("_np").cast("double") * F.col("_nb") > F.lit(float(hot_rows) ** 2))
+        .select(*key, salts("_np", "_sa"), salts("_nb", "_sb"))
     )
-    n_hot = hot.count()
-    if n_hot == 0:
-        return probe, build, key
-    salts = F.broadcast(hot) if n_hot <= MAX_HOT_KEYS else hot
-    s = F.coalesce(F.col("_s"), F.lit(1))
 
-    def salted(side: DataFrame, user: str, own: str, other: str) -> DataFrame:
+    def salted(side: DataFrame, user: str, own: str, n_own: str, other: str, n_other: str) -> DataFrame:
+        mine, theirs = (F.coalesce(F.col(c), F.lit(1)) for c in (n_own, n_other))
         return (
-            side.join(salts, key, "left")
-            .withColumn(own, F.pmod(F.xxhash64(user), s).cast("int"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), s - 1)))
-            .drop("_s")
+            side.join(hot, key, "left")
+            .withColumn(own, F.pmod(F.xxhash64(user), mine).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), theirs - 1)))
+            .drop("_sa", "_sb")
         )
 
-    return salted(probe, "_u1", "_a", "_b"), salted(build, "_u2", "_b", "_a"), [*key, "_a", "_b"]
+    probe = salted(probe, "_u1", "_a", "_sa", "_b", "_sb")
+    build = salted(build, "_u2", "_b", "_sb", "_a", "_sa")
+    return probe, build, [*key, "_a", "_b"]
 
 
 def zoned_positions(positions: DataFrame, cities: DataFrame) -> DataFrame:
@@ -359,24 +349,13 @@ def zoned_positions(positions: DataFrame, cities: DataFrame) -> DataFrame:
     return located.groupBy("user_id", "lat", "lon").agg(F.collect_list("city_id").alias("zone_ids"))
 
 
-def pair_zones(near: DataFrame, cities: DataFrame) -> DataFrame:
-    """Add ``zone_id``: the nearest city to the *left* user (ties kept).
-
-    All rows of a left user share one position, so the reference's rank per
-    ``user_left`` equals a per-row nearest search -- no shuffle needed.
-    """
-    zoned = nearest_city(
-        near, cities, lat="user_left_lat", lon="user_left_lon", key=None, distance_col="_zone_km"
-    )
-    return zoned.withColumn("zone_id", F.col("city_id")).drop("city_id", "city_name", "_zone_km")
-
-
 def zoned_nearby_pairs(
     events: DataFrame,
     cities: DataFrame,
     max_km: float = DEFAULT_MAX_KM,
     cell_km: float | None = None,
     distinct_pairs: bool = False,
+    hot_rows: int = HOT_CELL_ROWS,
 ) -> DataFrame:
     """Nearby pairs with the left user's zone: one row per tied zone city.
 
@@ -392,7 +371,13 @@ def zoned_nearby_pairs(
         cell_km=cell_km,
         distinct_pairs=distinct_pairs,
         left_carry=("zone_ids",),
+        hot_rows=hot_rows,
     )
+    return with_zones(near)
+
+
+def with_zones(near: DataFrame) -> DataFrame:
+    """One row per zone city of the left user (``zone_ids`` of ``zoned_positions``)."""
     return near.withColumn("zone_id", F.explode("zone_ids")).drop("zone_ids")
 
 
@@ -403,6 +388,8 @@ def _run_stamp(as_of) -> tuple[Column, Column]:
         as_of = _dt.datetime.fromisoformat(as_of)
     if not isinstance(as_of, _dt.datetime):
         as_of = _dt.datetime.combine(as_of, _dt.time())
+    if as_of.tzinfo is not None:
+        as_of = as_of.astimezone(_dt.timezone.utc)
     text = as_of.strftime("%Y-%m-%d %H:%M:%S")
     ts = F.to_timestamp(F.lit(text))
     return F.to_date(ts), ts
@@ -425,7 +412,10 @@ def pair_recommendations(
     ``processed_dttm`` and ``local_time`` stamp the run: the current date and
     time (UTC, shown in ``tz``), or ``as_of`` for reproducible runs.
     """
-    near = zoned_nearby_pairs(events, cities, max_km, cell_km, distinct_pairs)
+    return stamped(zoned_nearby_pairs(events, cities, max_km, cell_km, distinct_pairs), as_of, tz)
+
+
+def stamped(zoned: DataFrame, as_of=None, tz: str = DEFAULT_TIME_ZONE) -> DataFrame:
+    """Zoned pairs with the run's date and local time: the mart's columns."""
     day, ts = _run_stamp(as_of)
-    stamped = near.withColumn("processed_dttm", day).withColumn("local_time", local_time(ts, tz))
-    return stamped.select(*RECOMMENDATION_COLUMNS)
+    return zoned.withColumn("processed_dttm", day).withColumn("local_time", local_time(ts, tz)).select(*RECOMMENDATION_COLUMNS)
