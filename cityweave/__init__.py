@@ -9,8 +9,7 @@ dictionary:
   other and were last seen within a kilometre.
 
 Every operator takes and returns DataFrames (or Columns); nothing is collected
-to the driver except the size-checked city dictionary, which travels the same
-way a broadcast does.
+to the driver.
 """
 
 from cityweave.operators.nearest import nearest_city

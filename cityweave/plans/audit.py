@@ -28,5 +28,9 @@ class StageAudit:
         return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
     def counts(self) -> dict[str, int]:
-        """Row counts of every tracked stage (call after the action)."""
-        return {name: int(obs.get["rows"]) for name, obs in self._obs.items()}
+        """Row counts of every tracked stage (call after the action).
+
+        A stage that Spark left out of the plan because its input was empty
+        reports no metric; it counts as 0 rows.
+        """
+        return {name: int(obs.get.get("rows", 0)) for name, obs in self._obs.items()}

@@ -1,7 +1,7 @@
 """Named queries over the derived fixture, one per operator of the marts.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole fixture (every event of ``events``, every city of ``nation``).
+Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame (but for
+``window_events``, which first writes the log it reads) over the whole fixture (every event of ``events``, every city of ``nation``).
 Results are shown the same way the DuckDB oracle shows them: timestamps as
 wall-clock (``timestamp_ntz``), dates as ISO text, distances rounded to 4
 decimals, the itinerary as comma-joined text.
@@ -9,6 +9,7 @@ decimals, the itinerary as comma-joined text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,16 +19,20 @@ from cityweave.functions.calendar import iso_week_of, local_time, month_of
 from cityweave.functions.parsing import event_time
 from cityweave.operators import nearest as nearest_ops
 from cityweave.operators import profile, social, zones
-from cityweave.plans.audit import StageAudit
 from cityweave.session import checkpoint_dir, prepare_session
 from cityweave.sources import fixture
-from cityweave.sources.events import date_window, flatten_events
+from cityweave.sources.cities import read_cities
+from cityweave.sources.events import date_window, flatten_events, read_events
 
 # Parameters of the fixed-parameter queries (shared with the oracle).
 WINDOW_PROCESS_DATE = "2024-02-15"
 WINDOW_DEPTH = 30
 AS_OF = "2024-05-01 12:00:00"
 COARSE_CELL_KM = 2.5
+FINE_SQUARE_DEG = 0.1
+HOT_ROWS = 10
+MANY_PIECES = 64
+BURST_TIME = "2024-03-01 12:00:00"
 
 
 def _ntz(c) -> Column:
@@ -43,37 +48,16 @@ def _km(c: str = "distance_km") -> Column:
     return F.round(F.col(c), 4).alias(c)
 
 
-_FLAT: dict[tuple, DataFrame] = {}
-
-
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Fixture events in the production layout, flattened, and the cities."""
     prepare_session(spark)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _FLAT:
-        _FLAT[key] = flatten_events(fixture.geo_events(spark, sf_dir))
-    return _FLAT[key], fixture.cities(spark, sf_dir)
+    return flatten_events(fixture.geo_events(spark, sf_dir)), fixture.cities(spark, sf_dir)
 
 
-def _closest_messages(spark, sf_dir) -> DataFrame:
+def _closest_messages(spark, sf_dir, time_fields=profile.MESSAGE_TIME_FIELDS, **options) -> DataFrame:
     """Nearest city per message."""
     events, cities = _inputs(spark, sf_dir)
-    return profile.closest_message_cities(profile.message_points(events), cities)
-
-
-def _itinerary_input(spark, sf_dir) -> tuple[DataFrame, int | None]:
-    """Nearest city per message, checkpointed, and the hot-user threshold.
-
-    The itinerary reads the table twice (hot-user statistics, then the
-    windows), so it is materialised once in the shared checkpoint folder,
-    as ``run_profile_job`` does.  The checkpoint also counts the rows (an
-    observation, no extra job): with no more rows in total than the
-    threshold no user can be hot, and the statistics are skipped.
-    """
-    checkpoint_dir(spark)
-    audit = StageAudit()
-    closest = audit.track("closest", _closest_messages(spark, sf_dir)).checkpoint(eager=True)
-    return closest, profile.hot_rows_for(audit.counts()["closest"])
+    return profile.closest_message_cities(profile.message_points(events, time_fields), cities, **options)
 
 
 def _closest_events(spark, sf_dir, key=zones.KEYED) -> DataFrame:
@@ -142,14 +126,45 @@ def nearest_city_events_per_row(spark, sf_dir):
 
 
 def nearest_city_grid(spark, sf_dir):
-    """Per-row nearest city through the grid strategy (large-dictionary path)."""
+    """Per-row nearest city through finer squares: the result must not depend on their size."""
     events, cities = _inputs(spark, sf_dir)
-    located = nearest_ops.nearest_city(
-        zones.located_events(events), cities, key=None, strategy="grid"
-    )
+    located = nearest_ops.nearest_city(zones.located_events(events), cities, leaf_deg=FINE_SQUARE_DEG)
     return _event_city_rows(located)
 
 
+def nearest_city_many(spark, sf_dir):
+    """Per-row nearest city with thousands of cities, for one event of each place."""
+    prepare_session(spark)
+    places = fixture.geo_events_flat(spark, sf_dir).where("lat is not null and lon is not null")
+    spread = places.select(
+        "event_id",
+        (F.col("lat") + F.col("event_id") % 997 / F.lit(10.0)).alias("lat"),
+        (F.col("lon") - F.col("event_id") % 1999 / F.lit(8.0)).alias("lon"),
+    )
+    found = nearest_ops.nearest_city(spread, fixture.many_cities(spark, sf_dir))
+    return found.select("event_id", "city_id", _km())
+
+
+def nearest_city_one_place(spark, sf_dir):
+    """Keyed nearest city where a third of the rows share a NULL key and one coordinate."""
+    _, cities = _inputs(spark, sf_dir)
+    points = fixture.one_place_events(spark, sf_dir).select("event_id", "message_id", "lat", "lon")
+    found = nearest_ops.nearest_city(points, cities, key=["message_id"], hot_rows=HOT_ROWS)
+    return found.select("event_id", "message_id", "city_id", _km())
+
+
+def window_events(spark, sf_dir):
+    """Events and cities through the real readers: the fixture written as a day log and a
+    CSV dictionary to the shared folder, a window read back, cities attached."""
+    events, _ = _inputs(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/log-{uuid.uuid4().hex}"
+    fixture.geo_events(spark, sf_dir).write.partitionBy("date").parquet(f"{root}/events")
+    fixture.city_text(spark, sf_dir).write.option("header", True).option("sep", ";").csv(f"{root}/cities")
+    window = flatten_events(read_events(spark, f"{root}/events/date", WINDOW_PROCESS_DATE, WINDOW_DEPTH, missing="skip"))
+    found = nearest_ops.nearest_city(zones.located_events(window), read_cities(spark, f"{root}/cities"))
+    return _event_city_rows(found)
+
+
 # --- profile mart -------------------------------------------------------------
 
 
@@ -172,8 +187,7 @@ def user_cities(spark, sf_dir):
 
 
 def travel_events(spark, sf_dir):
-    closest, hot_rows = _itinerary_input(spark, sf_dir)
-    t = profile.travel_events(closest, hot_rows=hot_rows)
+    t = profile.travel_events(_closest_messages(spark, sf_dir))
     return t.select("user_id", "message_id", _ntz("message_ts").alias("message_ts"),
                     "city_id", "city_name")
 
@@ -182,32 +196,46 @@ def _itinerary_text(c: str = "travel_array") -> Column:
     return F.when(F.size(c) > 0, F.array_join(c, ",")).alias(c)
 
 
-def travel_stats(spark, sf_dir):
-    closest, hot_rows = _itinerary_input(spark, sf_dir)
-    t = profile.travel_stats(closest, hot_rows=hot_rows)
+def _stats_rows(t: DataFrame) -> DataFrame:
     return t.select("user_id", "travel_count", _itinerary_text())
 
 
-def user_geo_profile(spark, sf_dir):
-    closest, hot_rows = _itinerary_input(spark, sf_dir)
-    p = profile.user_geo_profile(closest, hot_rows=hot_rows)
-    return p.select("user_id", "act_city", "home_city", "travel_count", _itinerary_text(),
-                    _ntz("local_time").alias("local_time"))
+def travel_stats(spark, sf_dir):
+    return _stats_rows(profile.travel_stats(_closest_messages(spark, sf_dir)))
 
 
-def user_geo_profile_strict(spark, sf_dir):
-    """Profile mart reading message time from ``message_ts`` only (the
-    original job's literal filter): messages carrying their time only in
-    ``datetime`` are left out."""
+def travel_stats_hot(spark, sf_dir):
+    """Itineraries cut into many pieces: messages of a third of all users belong to one
+    user, nine of ten of them at one time."""
     events, cities = _inputs(spark, sf_dir)
-    messages = profile.message_points(events, time_fields=("message_ts",))
+    messages = profile.message_points(events, profile.COALESCED_TIME_FIELDS)
+    hot = F.col("user_id") % 3 == 0
+    burst = hot & (F.col("message_id") % 10 != 0)
+    messages = messages.withColumns({
+        "user_id": F.when(hot, F.lit(0)).otherwise(F.col("user_id")).cast("bigint"),
+        "message_ts": F.when(burst, F.lit(BURST_TIME).cast("timestamp")).otherwise(F.col("message_ts")),
+    })
     closest = profile.closest_message_cities(messages, cities)
-    checkpoint_dir(spark)
-    audit = StageAudit()
-    closest = audit.track("closest", closest).checkpoint(eager=True)
-    p = profile.user_geo_profile(closest, hot_rows=profile.hot_rows_for(audit.counts()["closest"]))
-    return p.select("user_id", "act_city", "home_city", "travel_count", _itinerary_text(),
-                    _ntz("local_time").alias("local_time"))
+    return _stats_rows(profile.travel_stats(closest, pieces=MANY_PIECES))
+
+
+def _profile_rows(closest: DataFrame) -> DataFrame:
+    p = profile.user_geo_profile(closest)
+    return p.select("user_id", "act_city", "home_city", "travel_count", _itinerary_text(), _ntz("local_time").alias("local_time"))
+
+
+def user_geo_profile(spark, sf_dir):
+    return _profile_rows(_closest_messages(spark, sf_dir))
+
+
+def user_geo_profile_strict(spark, sf_dir):
+    """The default reading of the message time, named: ``message_ts`` only."""
+    return _profile_rows(_closest_messages(spark, sf_dir, ("message_ts",)))
+
+
+def user_geo_profile_coalesced(spark, sf_dir):
+    """Profile mart that also takes messages whose time is only in ``datetime``."""
+    return _profile_rows(_closest_messages(spark, sf_dir, profile.COALESCED_TIME_FIELDS))
 
 
 # --- zone mart ------------------------------------------------------------------
@@ -279,13 +307,13 @@ def pair_distance(spark, sf_dir):
                     "user_right_lat", "user_right_lon", _km())
 
 
-def _nearby(spark, sf_dir, cell_km=None) -> DataFrame:
+def _nearby(spark, sf_dir, **options) -> DataFrame:
     events, _ = _inputs(spark, sf_dir)
     return social.nearby_pairs(
         social.user_channels(events),
         social.latest_action(events),
         social.contact_pairs(events),
-        cell_km=cell_km,
+        **options,
     )
 
 
@@ -303,6 +331,11 @@ def nearby_pairs_grid(spark, sf_dir):
     return _nearby_rows(_nearby(spark, sf_dir, cell_km=COARSE_CELL_KM))
 
 
+def nearby_pairs_salted(spark, sf_dir):
+    """Same pairs with small blocks: every dense (channel, cell) is salted."""
+    return _nearby_rows(_nearby(spark, sf_dir, hot_rows=HOT_ROWS))
+
+
 def nearby_pairs_zone(spark, sf_dir):
     events, cities = _inputs(spark, sf_dir)
     z = social.zoned_nearby_pairs(events, cities)
@@ -327,6 +360,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nearest_city_events_keyed": nearest_city_events_keyed,
     "nearest_city_events_per_row": nearest_city_events_per_row,
     "nearest_city_grid": nearest_city_grid,
+    "nearest_city_many": nearest_city_many,
+    "nearest_city_one_place": nearest_city_one_place,
+    "window_events": window_events,
     "per_city_counts": per_city_counts,
     "current_city": current_city,
     "home_city": home_city,
@@ -334,7 +370,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "travel_events": travel_events,
     "travel_stats": travel_stats,
     "user_geo_profile": user_geo_profile,
+    "travel_stats_hot": travel_stats_hot,
     "user_geo_profile_strict": user_geo_profile_strict,
+    "user_geo_profile_coalesced": user_geo_profile_coalesced,
     "zone_month_metrics": zone_month_metrics,
     "zone_week_metrics": zone_week_metrics,
     "zone_metrics": zone_metrics,
@@ -349,6 +387,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pair_distance": pair_distance,
     "nearby_pairs": nearby_pairs,
     "nearby_pairs_grid": nearby_pairs_grid,
+    "nearby_pairs_salted": nearby_pairs_salted,
     "nearby_pairs_zone": nearby_pairs_zone,
     "pair_recommendations": pair_recommendations,
 }

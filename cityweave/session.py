@@ -6,8 +6,9 @@ Only runtime SQL confs are touched; cluster sizing belongs to the caller.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Event times are stored as UTC wall-clock strings; month/week/local-time
 # results are only well defined when the session reads them as UTC.
@@ -34,20 +35,42 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster.
 
     Reads ``spark.checkpoint.dir`` (or the context's current directory).  Only
-    a local session without either gets a scratch folder; on a cluster a
+    a session in one process, with neither, gets a scratch folder; elsewhere a
     machine-local folder would be wrong, so the setting is required there.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        configured = tempfile.mkdtemp(prefix="cityweave-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        folder = tempfile.mkdtemp(prefix="cityweave-ckpt-")
+        sc.setCheckpointDir(folder)
+    return folder
+
+
+class ScratchTables:
+    """Stage tables of one run in the shared folder, deleted when the run ends.
+
+    ``with ScratchTables(spark) as t: df = t.table("members", df)`` writes the
+    rows once and reads them back: consumers share them, and a lost executor
+    re-reads files instead of running the stages above again.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._root = f"{checkpoint_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> ScratchTables:
+        return self
+
+    def table(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self._root}/{name}"
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *exc) -> None:
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(self._root)
+        path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # Target bytes per shuffle partition after AQE coalescing, and per input split.

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as _dt
+import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Fields of the nested ``event`` struct the marts read, with the flat name
 # each one gets.  ``event.user`` becomes ``usr`` (``user`` is an SQL keyword).
@@ -60,28 +62,43 @@ def date_window(df: DataFrame, process_date, depth: int, date_col: str = "date")
     return df.where(day.between(F.lit(start), F.lit(end)))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def absent_days(spark: SparkSession, base_path: str, process_date, depth: int) -> list[str]:
+    """Day folders of the window that do not exist (one look-up a day)."""
+    return [p for p in day_paths(process_date, depth, base_path) if not _exists(spark, p)]
+
+
 def read_events(
     spark: SparkSession,
     base_path: str,
     process_date,
     depth: int,
-    missing: str = "skip",
+    missing: str = "error",
+    schema: StructType | str | None = None,
 ) -> DataFrame:
     """Events of the ``depth`` days ending at ``process_date``.
 
-    ``missing="skip"`` scans the partitioned root with a partition filter:
-    missing days are simply absent.  ``missing="error"`` reads the leaf
-    folders (with ``basePath`` so the ``date`` column is kept) and fails when
-    one is missing.
+    Only the window's day folders are listed, never the whole log; ``basePath``
+    keeps the ``date`` column.  A missing day is an error; ``missing="skip"``
+    warns and reads the others, but a window without any day is an error
+    either way.  With ``schema`` no file is opened to infer one.
     """
-    base = base_path.rstrip("/")
-    root, part = base.rsplit("/", 1)
-    if missing == "skip":
-        return date_window(spark.read.parquet(root), process_date, depth, part)
-    if missing == "error":
-        paths = day_paths(process_date, depth, base_path)
-        return spark.read.option("basePath", root).parquet(*paths)
-    raise ValueError(f"missing must be 'skip' or 'error', got {missing!r}")
+    if missing not in ("skip", "error"):
+        raise ValueError(f"missing must be 'skip' or 'error', got {missing!r}")
+    paths = day_paths(process_date, depth, base_path)
+    absent = absent_days(spark, base_path, process_date, depth)
+    if absent and (missing == "error" or len(absent) == len(paths)):
+        raise FileNotFoundError(f"no events for {len(absent)} of {len(paths)} days: {', '.join(absent)}")
+    if absent:
+        warnings.warn(f"events of {len(absent)} days are missing: {', '.join(absent)}", stacklevel=2)
+    root = base_path.rstrip("/").rsplit("/", 1)[0]
+    reader = spark.read.option("basePath", root)
+    reader = reader.schema(schema) if schema is not None else reader
+    return reader.parquet(*[p for p in paths if p not in absent])
 
 
 def flatten_events(events: DataFrame) -> DataFrame:

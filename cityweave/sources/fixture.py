@@ -45,7 +45,7 @@ GE_EXPRS = {
     "datetime": "case when not (event_type='message' and event_id % 3 = 0)"
     " and event_id % 101 <> 0 then ts_s end",
     "usr": "case when event_type in ('subscription','registration') then cast(user_id as string) end",
-    "subscription_channel": "case when event_type='subscription' then event_id % 17 end",
+    "subscription_channel": "case when event_type='subscription' and event_id % 23 <> 0 then event_id % 17 end",
     "reaction_from": "case when event_type='reaction' then cast(user_id as string) end",
     "lat": "case when event_id % 50 <> 0 then cast(-44000 + (k % 5)*7000 + k*113"
     " + (event_id*13) % 11 - 5 as double)/cast(1000 as double) end",
@@ -58,28 +58,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _spread(df: DataFrame, path: str) -> DataFrame:
-    """Spread a scan that yields fewer splits than the session has cores.
-
-    The driver's tables are single-row-group files, which Spark reads as one
-    task; the per-row geo work downstream would then run on one core.  A
-    production log has far more splits than cores, so this never fires there.
-    Rows are hashed on their first column (the event id), so a retried task
-    gets the same rows.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    key = (path, cores)
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
-    if _SPLITS[key] < cores:
-        return df.repartition(cores, *df.columns[:1])
-    return df
-
-
-# Split count per (path, cores): the driver's tables are read-only.
-_SPLITS: dict[tuple, int] = {}
-
-
 def city_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionary as it appears in the CSV: strings with decimal commas."""
     nation = _table(spark, sf_dir, "nation")
@@ -91,33 +69,14 @@ def city_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Fixture plans per (session, folder).  Only the lazy plan objects are kept
-# (no data): the driver tables are read-only, so rebuilding and re-analysing
-# the same derivation for every query would only cost driver time.
-_PLANS: dict[tuple, DataFrame] = {}
-
-
-def _planned(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
-    key = (kind, spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _PLANS:
-        _PLANS[key] = build()
-    return _PLANS[key]
-
-
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """25 cities (24 places; city 24 sits exactly on city 0)."""
-    return _planned("cities", spark, sf_dir, lambda: parse_city_dictionary(city_text(spark, sf_dir)))
+    return parse_city_dictionary(city_text(spark, sf_dir))
 
 
 def geo_events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One geo event per driver event, in the flat form the operators use."""
-    return _planned("flat", spark, sf_dir, lambda: _geo_events_flat(spark, sf_dir))
-
-
-def _geo_events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    events = _spread(raw, f"{sf_dir.rstrip('/')}/events.parquet")
-    ge0 = events.select(
+    ge0 = _table(spark, sf_dir, "events").select(
         "event_id",
         "user_id",
         F.expr(TS_TEXT_EXPR).alias("ts_s"),
@@ -138,10 +97,6 @@ _FLAT_ORDER = [dst for _, dst in EVENT_FIELDS] + ["event_type", "lat", "lon"]
 
 def geo_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events in the production layout: ``event`` struct + top level."""
-    return _planned("nested", spark, sf_dir, lambda: _geo_events(spark, sf_dir))
-
-
-def _geo_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = geo_events_flat(spark, sf_dir)
     return flat.select(
         "event_id",
@@ -151,3 +106,28 @@ def _geo_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lat",
         "lon",
     )
+
+
+MANY_CITIES_PER_ORDER = 5  # fixed value: one city for every so many orders
+
+
+def many_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A large dictionary over the whole globe, derived from ``orders`` (grows with it)."""
+    key = F.col("o_orderkey")
+    return _table(spark, sf_dir, "orders").where(key % MANY_CITIES_PER_ORDER == 0).select(
+        key.cast("string").alias("city_id"),
+        F.concat(F.lit("c"), key.cast("string")).alias("city_name"),
+        ((key * 7919 % 170_001 - 85_000) / F.lit(1000.0)).alias("city_lat"),
+        ((key * 104_729 % 360_001 - 180_000) / F.lit(1000.0)).alias("city_lon"),
+    )
+
+
+def one_place_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which a third share a NULL key and one coordinate."""
+    flat = geo_events_flat(spark, sf_dir)
+    hot = F.col("event_id") % 3 == 0
+    return flat.withColumns({
+        "message_id": F.when(~hot, F.col("event_id") % 1000),
+        "lat": F.when(hot, F.lit(-33.0)).otherwise(F.col("lat")),
+        "lon": F.when(hot, F.lit(120.0)).otherwise(F.col("lon")),
+    }).where("lat is not null and lon is not null")

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import os
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import DataFrame
 
-
-def _norm(path: str) -> str:
-    p = path.rstrip("/")
-    if "://" not in p:
-        p = os.path.abspath(p)
-    return p
+def _qualified(spark: SparkSession, path: str) -> str:
+    """Full form of a path (scheme, host and absolute folder), so that two spellings compare equal."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString().rstrip("/") + "/"
 
 
 def write_mart(df: DataFrame, path: str, inputs: tuple[str, ...] = (), mode: str = "overwrite") -> None:
@@ -20,10 +17,10 @@ def write_mart(df: DataFrame, path: str, inputs: tuple[str, ...] = (), mode: str
     Overwriting a folder the same job reads from would delete its own input
     halfway through, so an output inside (or equal to) an input is refused.
     """
-    out = _norm(path)
+    out = _qualified(df.sparkSession, path)
     for src in inputs:
-        s = _norm(src)
-        if out == s or s.startswith(out + "/") or out.startswith(s + "/"):
+        s = _qualified(df.sparkSession, src)
+        if s.startswith(out) or out.startswith(s):
             raise ValueError(f"output {path!r} overlaps input {src!r}")
     df.write.mode(mode).parquet(path)
 

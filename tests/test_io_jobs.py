@@ -3,7 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from cityweave.plans import catalog
+from cityweave.plans import catalog, jobs
+from cityweave.plans.audit import StageAudit
 from cityweave.plans.jobs import run_profile_job, run_recommendation_job, run_zone_job
 from cityweave.sources import fixture
 from cityweave.sources.cities import read_cities
@@ -29,24 +30,34 @@ def test_read_events_window_with_gap(spark, tmp_path):
     root = tmp_path / "events"
     _write_days(spark, root, ["2022-06-19", "2022-06-21", "2022-06-22"])  # 06-20 missing
     base = f"{root}/date/"
-    got = read_events(spark, base, "2022-06-21", 3)
+    with pytest.raises(FileNotFoundError, match="2022-06-20"):
+        read_events(spark, base, "2022-06-21", 3)
+    with pytest.warns(UserWarning, match="2022-06-20"):
+        got = read_events(spark, base, "2022-06-21", 3, missing="skip")
     assert sorted(r.v for r in got.collect()) == [0, 1]
     assert "date" in got.columns
-    one = read_events(spark, base, "2022-06-21", 1)
+    # only the window's own folders are listed
+    assert {f.split("date=")[1][:10] for f in got.inputFiles()} == {"2022-06-19", "2022-06-21"}
+    one = read_events(spark, base, "2022-06-21", 1, schema="v int, date date")
     assert [r.v for r in one.collect()] == [1]
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    scan = [line for line in plan.split("\n") if "FileScan" in line][0]
-    # the window is pruned at the folder level, not filtered after reading
-    assert "(date" in scan.split("PartitionFilters: [")[1].split("]")[0]
-    assert "2022-06-19" in scan and "2022-06-21" in scan
-    with pytest.raises(Exception):
-        read_events(spark, base, "2022-06-21", 3, missing="error").collect()
-    strict = read_events(spark, base, "2022-06-22", 2, missing="error")  # both days present
-    assert sorted((str(r.date), r.v) for r in strict.collect()) == [("2022-06-21", 1), ("2022-06-22", 2)]
+    both = read_events(spark, base, "2022-06-22", 2)
+    assert sorted((str(r.date), r.v) for r in both.collect()) == [("2022-06-21", 1), ("2022-06-22", 2)]
     with pytest.raises(ValueError):
         read_events(spark, base, "2022-06-21", 0)
 
 
+@pytest.mark.parametrize("job", [run_profile_job, run_recommendation_job, run_zone_job])
+def test_a_window_without_any_day_leaves_the_mart_alone(spark, tmp_path, job):
+    _write_days(spark, tmp_path / "events", ["2022-06-19"])
+    csv, out = tmp_path / "geo.csv", str(tmp_path / "mart")
+    csv.write_text("id;city;lat;lng\n1;Sydney;-33,865;151,2094\n")
+    spark.range(7).write.parquet(out)
+    for missing in ("error", "skip"):
+        with pytest.raises(FileNotFoundError):
+            job(spark, "2023-01-05", 3, f"{tmp_path}/events/date", str(csv), out, missing=missing)
+    assert spark.read.parquet(out).count() == 7
+
+
 def test_read_cities_csv(spark, tmp_path):
     p = tmp_path / "geo.csv"
     p.write_text("id;city;lat;lng\n1;Sydney;-33,865;151,2094\n2;Nowhere;;151,0\n3;Bad;x,1;2,0\n"
@@ -70,8 +81,27 @@ def test_write_mart_overwrites_and_refuses_own_input(spark, tmp_path):
     write_mart(spark.range(3), out)
     write_mart(spark.range(5), out)
     assert spark.read.parquet(out).count() == 5
-    with pytest.raises(ValueError):
-        write_mart(spark.range(1), out, inputs=(out,))
+    for other in (out, f"file://{out}", f"file:{out}/", f"{out}/part", str(tmp_path), f"file://{tmp_path}//"):
+        with pytest.raises(ValueError):
+            write_mart(spark.range(1), out, inputs=(other,))
+    write_mart(spark.range(1), out, inputs=(f"{out}-other",))
+
+
+def test_stage_counts_of_an_empty_stage(spark, tmp_path):
+    audit = StageAudit()
+    audit.track("none", spark.range(3).where("false")).write.parquet(str(tmp_path / "a"))
+    assert audit.counts() == {"none": 0}
+
+
+def test_job_arguments(monkeypatch):
+    seen = {}
+    for name, (_, depth) in jobs.JOBS.items():
+        monkeypatch.setitem(jobs.JOBS, name, (lambda *a, **k: seen.update(args=a, options=k) or {}, depth))
+    assert jobs.main(["jobs", "profile", "2022-06-21", "/e/date", "/c.csv", "/out", "--time-fields", "message_ts", "datetime"]) == 0
+    assert seen["args"][1:] == ("2022-06-21", 90, "/e/date", "/c.csv", "/out")
+    assert seen["options"] == {"missing": "error", "tz": "Australia/Sydney", "time_fields": ("message_ts", "datetime")}
+    jobs.main(["jobs", "zones", "2022-06-21", "/e/date", "/c.csv", "/out", "--depth", "3", "--per-row", "--missing", "skip"])
+    assert seen["args"][2] == 3 and seen["options"] == {"missing": "skip", "keyed": False}
 
 
 def test_jobs_end_to_end_match_catalog(spark, tmp_path):
@@ -82,22 +112,24 @@ def test_jobs_end_to_end_match_catalog(spark, tmp_path):
     lines = ["id;city;lat;lng"] + [f"{r.id};{r.city};{r.lat};{r.lng}"
                                   for r in fixture.city_text(spark, SF_SMALL).collect()]
     csv.write_text("\n".join(lines) + "\n")
-    base = f"{events_root}/date"
+    base = f"{events_root}/date/"
     end = dt.date(2024, 6, 1)
     depth = (end - dt.date(2023, 11, 1)).days + 1  # the whole fixture
-    counts = run_zone_job(spark, end.isoformat(), depth, base, str(csv), str(tmp_path / "zones"))
+    counts = run_zone_job(spark, end.isoformat(), depth, base, str(csv), str(tmp_path / "zones"), missing="skip")
     zones = spark.read.parquet(str(tmp_path / "zones"))
     want = catalog.zone_metrics(spark, SF_SMALL)
     assert zones.exceptAll(want).count() == 0 and want.exceptAll(zones).count() == 0
     assert counts["zones"] == want.count() and counts["events"] == 1000
 
-    counts = run_profile_job(spark, end.isoformat(), depth, base, str(csv), str(tmp_path / "profile"))
+    counts = run_profile_job(spark, end.isoformat(), depth, base, str(csv), str(tmp_path / "profile"), missing="skip")
     prof = spark.read.parquet(str(tmp_path / "profile"))
-    assert prof.count() == counts["profile"] == 15
-    assert counts["closest_cities"] == 415
+    assert prof.count() == counts["profile"] == catalog.user_geo_profile(spark, SF_SMALL).count()
+    assert counts["closest_cities"] == catalog.nearest_city_messages(spark, SF_SMALL).count()
+    with pytest.raises(ValueError):
+        run_zone_job(spark, end.isoformat(), depth, base, str(csv), f"{events_root}/date=2024-01-01", missing="skip")
 
     run_recommendation_job(spark, end.isoformat(), depth, base, str(csv), str(tmp_path / "rec"),
-                           as_of="2024-05-01 12:00:00")
+                           as_of="2024-05-01 12:00:00", missing="skip")
     rec = spark.read.parquet(str(tmp_path / "rec")).select(
         "user_left", "user_right", F.col("processed_dttm").cast("string"), "zone_id",
         F.col("local_time").cast("timestamp_ntz"))
@@ -132,7 +164,7 @@ def test_nested_fields_are_pruned_in_the_scan(spark, tmp_path):
 
     root = tmp_path / "events"
     fixture.geo_events(spark, SF_SMALL).drop("event_id").write.partitionBy("date").parquet(str(root))
-    events = flatten_events(read_events(spark, f"{root}/date", "2024-01-31", 31))
+    events = flatten_events(read_events(spark, f"{root}/date", "2024-01-31", 31, missing="skip"))
     df = user_channels(events)
     df.count()
     plan = df._jdf.queryExecution().executedPlan().toString()

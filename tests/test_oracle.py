@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_mod
+from cityweave.plans.oracle import ORACLE_SQL
 from tests.conftest import SF_SMALL
 
 
@@ -24,13 +25,13 @@ def _norm(v):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("nation", "events"):
+    for t in ("nation", "events", "orders"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     yield c
     c.close()
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, con, name):
     df = entry_mod.queries()[name](spark, SF_SMALL)
     res = con.execute(entry_mod.oracle_sql()[name])
