@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cityweave.llm.shared import written
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -104,8 +106,13 @@ def findings_by_blob(ledger: DataFrame, rules: tuple[Rule, ...] = BASE_RULES) ->
 
 
 def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
-    """``path, digest, findings`` for every version of ``versions(path, digest)``."""
-    return versions.select("path", "digest").join(findings_by_blob(ledger, rules), "digest", "left").select("path", "digest", "findings")
+    """``path, digest, findings`` for every version of ``versions(path, digest)``.
+
+    The blobs with findings are written first, so that the join can broadcast
+    them if they are few, and split a blob that very many paths share.
+    """
+    found = written(findings_by_blob(ledger, rules), "findings")
+    return versions.select("path", "digest").join(found, "digest", "left").select("path", "digest", "findings")
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
