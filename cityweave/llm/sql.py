@@ -32,4 +32,14 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
 FROM documents AS d LEFT JOIN by_blob AS b ON coalesce(d.text, '') = b.text"""
 
 
-ORACLE_SQL = {"op5_secret_scan": _secret_scan()}
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scores QUALIFY rank <= 10"""
+
+ORACLE_SQL = {"op5_secret_scan": _secret_scan(), "op8_exact_topk": TOP_K}
