@@ -110,17 +110,19 @@ def thresholds(counted: DataFrame, n_groups: int = 2, rules: tuple[Rule, ...] =
     )
     sketches = written(sketches, "sketches")
 
-    def merged(by: list[str], mark: str) -> DataFrame:
-        both = [F.kll_merge_agg_double(r.name, F.lit(SKETCH_K)).alias(f"{r.name}_{mark}") for r in rules]
-        return sketches.groupBy(*[F.col(c).alias(f"{c}_{mark}") for c in by]).agg(F.sum("n").alias(f"n_{mark}"), *both)
+    def merged(r: Rule) -> Column:
+        return F.kll_merge_agg_double(r.name, F.lit(SKETCH_K))
 
-    wide, all_docs = merged(groups[:1], "wide"), merged([], "all")
-    joined = sketches.join(wide, F.col("g0").eqNullSafe(F.col("g0_wide")), "left").join(F.broadcast(all_docs))  # one row
+    by_lang = [merged(r).alias(f"{r.name}_wide") for r in rules]
+    wide = sketches.groupBy(F.col("g0").alias("g0_wide")).agg(F.sum("n").alias("n_wide"), *by_lang)
+    joined = sketches.join(wide, F.col("g0").eqNullSafe(F.col("g0_wide")), "left")
 
     def limit(rule: Rule) -> Column:
+        every = sketches.select(merged(rule)).scalar()  # one row
+
         def q(part: float) -> Column:
-            own, lang, every = (F.kll_sketch_get_quantile_double(c, F.lit(part)) for c in (rule.name, f"{rule.name}_wide", f"{rule.name}_all"))
-            return F.when(F.col("n") >= min_group, own).when(F.col("n_wide") >= min_group, lang).otherwise(every)
+            own, lang, all_docs = (F.kll_sketch_get_quantile_double(c, F.lit(part)) for c in (F.col(rule.name), F.col(f"{rule.name}_wide"), every))
+            return F.when(F.col("n") >= min_group, own).when(F.col("n_wide") >= min_group, lang).otherwise(all_docs)
 
         return F.greatest(F.lit(rule.least), q(0.75) + F.lit(rule.reach) * (q(0.75) - q(0.25))).alias(f"limit_{rule.name}")
 
