@@ -73,7 +73,8 @@ def _anchor_rows(docs: DataFrame, width: int) -> DataFrame:
 def _candidates(docs: DataFrame, width: int) -> DataFrame:
     """By document: ``firsts`` (digests of which it is the first document) and ``at`` (anchors of repeated grams)."""
     rows = _anchor_rows(docs.where(F.octet_length("text") >= width), width)
-    repeated = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written first: a join with a plain table can be split at a gram that very many documents share
+    repeated = written(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "repeated-grams")
     kept = rows.join(repeated, "gram", "left_semi").groupBy("did").agg(F.sort_array(F.collect_set("at")).alias("at"))
     firsts = (
         docs.select("did", F.unhex(F.sha2("text", 256)).alias("digest"))
