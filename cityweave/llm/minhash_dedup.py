@@ -46,7 +46,7 @@ from cityweave.llm.shared import map_batches, texts_of, written
 NO_ID = -(1 << 63)  # stands for a null id
 BANDS, ROWS = 40, 6
 BROADCAST_IDS_BYTES = 32 << 20  # a counted id list up to this size is broadcast, a larger one is joined by shuffle
-BLOCK_SETS = 4096  # sets of one centre compared in one task, on either side
+BLOCK_SETS = 1024  # sets of one centre compared in one task, on either side
 _CHUNK = 1 << 15  # shingles permuted at once: stays in the processor's cache
 
 
