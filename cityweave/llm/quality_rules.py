@@ -46,7 +46,7 @@ class Rule:
 
 RULES = (
     Rule("symbols", "n_symbols", "word_chars", 0.05),
-    Rule("dup_lines", "n_dup_lines", "n_lines", 0.3),
+    Rule("dup_lines", "n_dup_lines", "n_lines", 0.5),
     Rule("repeats", "n_repeat_words", "n_words", 0.3),
 )
 
