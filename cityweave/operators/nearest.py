@@ -47,6 +47,7 @@ HOT_KEY_ROWS = 100_000
 MAX_HOT_KEYS = 10_000
 
 CITY_OUT = ("city_id", "city_name")
+NO_SQUARE = -(1 << 50)
 _SHIFT = 1 << 20  # packs a square's (row, column) into one long
 
 
@@ -60,21 +61,22 @@ def _turn(degrees: Column) -> Column:
 
 
 def _square(lat: Column, lon: Column, side: float) -> Column:
-    """Square of a position; NULL without finite coordinates."""
+    """Square of a position; ``NO_SQUARE`` without finite coordinates."""
     finite = (F.abs(lat) < float("inf")) & (F.abs(lon) < float("inf"))
     row, column = F.floor(_turn(lat) / side), F.floor(_turn(lon) / side)
-    return F.when(finite, row * F.lit(_SHIFT) + column)
+    return F.coalesce(F.when(finite, row * F.lit(_SHIFT) + column), F.lit(NO_SQUARE))
 
 
 def _row_column(square: Column) -> tuple[Column, Column]:
-    row = F.floor((square + F.lit(_SHIFT // 2)) / F.lit(_SHIFT))
+    row = F.floor((square + F.lit(_SHIFT // 2)) * F.lit(1.0 / _SHIFT))  # a power of two: exact
     return row, square - row * F.lit(_SHIFT)
 
 
 def _around(square: Column, ratio: float) -> Column:
     """The coarser square that holds ``square``."""
     row, column = _row_column(square)
-    return F.floor(row / ratio) * F.lit(_SHIFT) + F.floor(column / ratio)
+    inner = [F.floor((x + 0.5) * F.lit(1.0 / ratio)) for x in (row, column)]  # half a step from any border
+    return inner[0] * F.lit(_SHIFT) + inner[1]
 
 
 def _from_centre(square: Column, side: float) -> Column:
@@ -91,16 +93,20 @@ def square_candidates(
     points: DataFrame, cities: DataFrame, lat="lat", lon="lon", leaf_deg: float = LEAF_DEG
 ) -> DataFrame:
     """``_square, _cities``: the possible nearest cities of each square that holds points."""
-    leaves = points.select(_square(_c(lat), _c(lon), leaf_deg).alias("_square")).where("_square is not null").distinct()
+    # The squares come out of aggregates as max(key) = key: so Spark does not carry conditions that it infers
+    # on coarser squares down to the points, where their nested arithmetic would be repeated for every row.
+    placed = points.select(_square(_c(lat), _c(lon), leaf_deg).alias("_key")).where(F.col("_key") != NO_SQUARE)
+    leaves = placed.groupBy("_key").agg(F.max("_key").alias("_square")).select("_square")
     mids = leaves.select(_around(F.col("_square"), MID_DEG / leaf_deg).alias("_square")).distinct()
     roots = mids.select(_around(F.col("_square"), ROOT_DEG / MID_DEG).alias("_square")).distinct()
 
     city = ("city_id", "city_name", "city_lat", "city_lon")
-    span = int(180 / ROOT_DEG)
-    every_root = [r * _SHIFT + c for r in range(-span, span) for c in range(-span, span)]
-    found = cities.where("city_lat is not null and city_lon is not null").select(
-        F.explode(F.array(*[F.lit(s).cast("bigint") for s in every_root])).alias("_square"), *city
-    ).join(roots, "_square", "left_semi")
+    side = int(360 / ROOT_DEG)
+    # below an exchange of its own: the stages above then start from columns, not from this arithmetic
+    known = cities.where("city_lat is not null and city_lon is not null").select(*city).repartition("city_id")
+    found = known.select(F.explode(F.sequence(F.lit(0), F.lit(side * side - 1))).alias("_n"), *city)
+    square = F.floor(F.col("_n") / F.lit(side) - F.lit(side // 2)) * F.lit(_SHIFT) + (F.col("_n") % side - side // 2)
+    found = found.select(square.cast("bigint").alias("_square"), *city).join(roots, "_square", "left_semi")
     found = _possible(found, ROOT_DEG)
     mids = mids.withColumn("_coarse", _around(F.col("_square"), ROOT_DEG / MID_DEG))
     found = mids.join(found.withColumnRenamed("_square", "_coarse"), "_coarse").select("_square", *city)
@@ -108,11 +114,12 @@ def square_candidates(
     leaves = leaves.withColumn("_coarse", _around(F.col("_square"), MID_DEG / leaf_deg))
     found = leaves.join(found.withColumnRenamed("_square", "_coarse"), "_coarse")
     listed = found.groupBy("_square").agg(
-        F.collect_list(F.struct(*city, _from_centre(F.col("_square"), leaf_deg).alias("_d"))).alias("_all")
+        F.collect_list(F.struct(*city, _from_centre(F.col("_square"), leaf_deg).alias("_d"))).alias("_all"),
+        F.max("_square").alias("_own"),
     )
     least = F.array_min(F.transform("_all", lambda c: c["_d"]))
     listed = listed.withColumn("_upto", least + F.lit(_reach(leaf_deg)))
-    return listed.select("_square", F.filter("_all", lambda c: c["_d"] <= F.col("_upto")).alias("_cities"))
+    return listed.select(F.col("_own").alias("_square"), F.filter("_all", lambda c: c["_d"] <= F.col("_upto")).alias("_cities"))
 
 
 def _possible(found: DataFrame, side: float) -> DataFrame:

@@ -224,8 +224,8 @@ def nearby_pairs(
     width = cell_width(max_km, CELL_FACTOR * max_km if cell_km is None else cell_km)
     carry = list(left_carry)
     members = (
-        channels.join(positions.select("user_id", "lat", "lon", *carry), "user_id")
-        .withColumn("_pos", grid_position("lat", "lon", width))
+        # the cell is found once per user, below the join: above it every use would repeat its trigonometry
+        channels.join(positions.select("user_id", "lat", "lon", grid_position("lat", "lon", width).alias("_pos"), *carry), "user_id")
         .withColumn("_cell", F.struct(F.col("_pos.cx").alias("cx"), F.col("_pos.cy").alias("cy"),
                                       F.col("_pos.cz").alias("cz")))
     )
