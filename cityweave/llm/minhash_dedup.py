@@ -212,7 +212,8 @@ def _links_by_centre(edits: DataFrame, percent: int, block: int) -> DataFrame:
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     both = members.select(*names).unionByName(others.select(*names))
-    return both.groupBy("b", "mb", "fb").applyInArrow(solve, "a bigint, b bigint")
+    # dealt anew by block: rows that lie by centre would leave all its blocks to one task
+    return both.repartition("b", "mb", "fb").groupBy("b", "mb", "fb").applyInArrow(solve, "a bigint, b bigint")
 
 
 def near_duplicates(
