@@ -34,6 +34,8 @@ _WORD_PIECES = regex.compile(WORD_PATTERN).findall
 _ODD = re.compile(f"[^\t-\r -~\u00a1-\u00ac\u00ae-{chr(ord(PLAIN_BELOW) - 1)}]|<\\|").search
 _WHITE = re.compile("[\t-\r]").sub
 # Pieces other than runs of letters, below PLAIN_BELOW: contractions, runs of signs, single digits.
+_SIGNS = re.compile(r"[^\w\s]+").sub  # the same for a text without the characters that follow
+_SINGLES = re.compile(r"['_\d²³¹¼½¾]").search
 _PARTED = re.compile(r"'(?:s|t|re|ve|m|ll|d)|(?:[^\w\s]|_)+|[\d²³¹¼½¾]").sub
 _ENCODERS: dict[tuple[str, bytes], object] = {}
 
@@ -153,7 +155,8 @@ class WordBpe:
         chars = text.decode()
         if not self._plain or _ODD(chars):
             return array("I", [i for word in text.split() for i in self.encode_word(word)]).tobytes()
-        parted = _PARTED(r" \g<0> ", _WHITE(" ", chars.lower()) + " ")
+        blanks = _WHITE(" ", chars.lower()) + " "
+        parted = _PARTED(r" \g<0> ", blanks) if _SINGLES(blanks) else _SIGNS(r" \g<0> ", blanks)
         return array("I", self._fast._core_bpe.encode_ordinary(parted)).tobytes()
 
     def encode_word(self, word: bytes) -> list[int]:
