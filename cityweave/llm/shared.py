@@ -11,7 +11,8 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Rows per Arrow batch; texts of many kilobytes keep a batch at some megabytes.
 BATCH_ROWS = 500
@@ -72,3 +73,8 @@ def map_batches(
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
+
+
+def text_digest(text: str) -> Column:
+    """First 128 bits of a text's SHA-256; null counts as empty, so it is never null."""
+    return F.coalesce(F.substring(F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)), 1, 16), F.lit(b""))

@@ -1,15 +1,16 @@
 """Exact removal of repeated byte strings by a distributed, sampled suffix sort.
 
 A byte goes if it lies in a ``width``-byte string that also starts earlier
-(smaller id, or same document and earlier start); strings are judged on the
-input.
+(smaller document, or same document and earlier start); strings are judged on
+the input.  A document is an id with a text, told by the first 128 bits of the
+text's SHA-256 (``tag``); documents are ordered by id, then tag.
 
 1. Every window of ``width`` bytes has an anchor: its ``GRAM``-byte gram of
    least hash.  Equal windows have equal anchors at equal offsets, so only
    anchors whose gram occurs twice or more matter (counted with map-side
    partial sums, kept by a semi join; AQE splits hot grams there).
 2. The suffixes at these anchors are range-partitioned by their leading bytes,
-   with splitters sampled from them; ties are cut by (id, position), so that a
+   with splitters sampled from them; ties are cut by (document, position), so that a
    passage found in a third of all documents is spread over buckets.
 3. Each bucket sorts its suffixes (and the reversed texts left of the anchors)
    by multikey sort; common prefixes of neighbours give, for every window, its
@@ -18,14 +19,13 @@ input.
    right of the anchor is a prefix of a splitter.  Such classes send their first
    occurrence with its bytes to one more grouping, which finds the first of all.
 
-Documents equal as a whole are told by SHA-256: only the first of them goes
-through steps 2 to 4, the others are removed whole.
+Documents equal as a whole have one tag: only the first of them goes through
+steps 2 to 4, the others are removed whole.
 
 Defined results: null text counts as empty; texts shorter than ``width`` stay
 as they are; a null id counts as the smallest; repeated rows of one document
-count as that document and each gets its result; of different texts under one
-id, strings at the same start don't count as earlier than each other; extra
-columns are not read.
+count as that document and each gets its result; different texts under one id
+(or under no id) are documents of their own; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -37,11 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cityweave.llm.shared import map_batches, texts_of, written
+from cityweave.llm.shared import map_batches, text_digest, texts_of, written
 from cityweave.llm.suffix_sort import GRAM, Prefixes, anchors, common_prefix, rows_of
 
 WIDTH = 100
 NO_ID = -(1 << 63)  # stands for a null id
+DOC = ("did", "tag")  # what names a document
 SAMPLE_ONE_IN = 64  # documents read for splitters
 BUCKETS_PER_PARTITION = 4
 SPLITTERS_MAX = 200_000  # rows of the sample that the driver takes at most
@@ -49,93 +50,83 @@ _REACH = 1 << 8  # packs (position, left reach of first and last window)
 
 
 def _anchor_rows(docs: DataFrame, width: int) -> DataFrame:
-    """``gram, did, at``: one row an anchor."""
+    """``gram, did, tag, at``: one row an anchor."""
 
     def make():
         def find(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = texts_of(batch.column(1))
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            texts = texts_of(batch.column(2))
             ends = np.cumsum([len(t) for t in texts])
             data = np.frombuffer(b"".join(texts), np.uint8)
             gram, at, first, last = anchors(data, ends, width)
             text = np.searchsorted(ends, at, "right")
             local = at - np.concatenate([[0], ends])[text]
             packed = (local * _REACH + first) * _REACH + last
-            return pa.RecordBatch.from_arrays(
-                [pa.array(gram.view(np.int64)), pa.array(ids[text]), pa.array(packed)], ["gram", "did", "at"]
-            )
+            did, tag = (batch.column(i).take(pa.array(text)) for i in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), did, tag, pa.array(packed)], ["gram", "did", "tag", "at"])
 
         return find
 
-    return map_batches(docs.select("did", "text"), make, "gram bigint, did bigint, at bigint")
+    return map_batches(docs.select("did", "tag", "text"), make, "gram bigint, did bigint, tag binary, at bigint")
 
 
 def _candidates(docs: DataFrame, width: int) -> DataFrame:
-    """By document: ``firsts`` (digests of which it is the first document) and ``at`` (anchors of repeated grams)."""
+    """``did, tag, at`` of the first document of each text: its anchors of repeated grams, if any."""
     rows = _anchor_rows(docs.where(F.octet_length("text") >= width), width)
     # written first: a join with a plain table can be split at a gram that very many documents share
     repeated = written(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "repeated-grams")
-    kept = rows.join(repeated, "gram", "left_semi").groupBy("did").agg(F.sort_array(F.collect_set("at")).alias("at"))
-    firsts = (
-        docs.select("did", F.unhex(F.sha2("text", 256)).alias("digest"))
-        .groupBy("digest")
-        .agg(F.min("did").alias("did"))
-        .groupBy("did")
-        .agg(F.collect_set("digest").alias("firsts"))
-    )
-    return firsts.join(kept, "did", "left").select("did", "firsts", "at")
+    kept = rows.join(repeated, "gram", "left_semi").groupBy(*DOC).agg(F.sort_array(F.collect_set("at")).alias("at"))
+    firsts = docs.groupBy("tag").agg(F.min("did").alias("did"))
+    return firsts.join(kept, list(DOC), "left").select(*DOC, "at")
 
 
 def _suffix_rows(docs: DataFrame, side: DataFrame, width: int, splitters) -> DataFrame:
-    """``bucket, did, at, span``: the text around each anchor, from its first window's start to its last one's end."""
+    """``bucket, did, tag, at, span``: the text around each anchor, from its first window's start to its last one's end."""
     # all columns of docs are kept, so that both joins of the texts read one shuffle of them
-    joined = docs.join(side.where("at is not null"), "did").select(
-        "did", "text", F.when(F.array_contains("firsts", F.unhex(F.sha2("text", 256))), F.col("at")).alias("at"), *docs.columns[2:]
-    )
+    joined = docs.join(side.where("at is not null"), list(DOC)).select(*DOC, "text", "at", *docs.columns[3:])
 
     def make():
         cuts = splitters.value if splitters is not None else []
 
         def spans(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out_id, out_at, out_span, out_bucket = [], [], [], []
-            for did, text, packed in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), batch.column(2), strict=True):
-                for at in packed.values.to_numpy().tolist() if packed.is_valid else ():
+            out_row, out_at, out_span, out_bucket = [], [], [], []
+            names = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            for row, ((did, tag), text, packed) in enumerate(zip(names, texts_of(batch.column(2)), batch.column(3), strict=True)):
+                for at in packed.values.to_numpy().tolist():
                     rest, last = divmod(at, _REACH)
                     p, first = divmod(rest, _REACH)
-                    if p - last + width > len(text):
-                        continue  # of another text under this id
-                    out_id.append(did)
+                    out_row.append(row)
                     out_at.append(at)
                     out_span.append(text[p - first : p - last + width])
-                    out_bucket.append(bisect_right(cuts, (text[p : p - last + width], did, p)))
+                    out_bucket.append(bisect_right(cuts, (text[p : p - last + width], did, tag, p)))
+            did, tag = (batch.column(i).take(pa.array(out_row, pa.int64())) for i in (0, 1))
             return pa.RecordBatch.from_arrays(
-                [pa.array(out_bucket, pa.int32()), pa.array(out_id, pa.int64()), pa.array(out_at, pa.int64()), pa.array(out_span, pa.binary())],
-                ["bucket", "did", "at", "span"],
+                [pa.array(out_bucket, pa.int32()), did, tag, pa.array(out_at, pa.int64()), pa.array(out_span, pa.binary())],
+                ["bucket", "did", "tag", "at", "span"],
             )
 
         return spans
 
-    return map_batches(joined, make, "bucket int, did bigint, at bigint, span binary")
+    return map_batches(joined, make, "bucket int, did bigint, tag binary, at bigint, span binary")
 
 
-def _splitters(docs: DataFrame, side: DataFrame, width: int, buckets: int) -> list[tuple[bytes, int, int]]:
+def _splitters(docs: DataFrame, side: DataFrame, width: int, buckets: int) -> list[tuple[bytes, int, bytes, int]]:
     """Suffixes that part a sample into even buckets; at most ``buckets`` of them.
 
-    The sample takes whole documents by a hash of their id; its rate is set so
+    The sample takes whole documents by a hash of id and tag; its rate is set so
     that the driver gets at most about ``SPLITTERS_MAX`` short suffixes.
     """
     total = side.agg(F.sum(F.size("at"))).first()[0] or 0
     one_in = max(SAMPLE_ONE_IN if total > 100 * buckets * SAMPLE_ONE_IN else 4, 1 + total // SPLITTERS_MAX)
-    picked = F.pmod(F.xxhash64("did", F.lit("splitters")), F.lit(one_in)) == 0
+    picked = F.pmod(F.xxhash64(*DOC, F.lit("splitters")), F.lit(one_in)) == 0
     sample = _suffix_rows(docs.where(picked), side.where(picked), width, None)
     offset = (F.shiftright("at", 8) % F.lit(_REACH)).cast("int")
-    rows = sample.select(F.substring("span", 1, 2 * width).alias("span"), offset.alias("first"), "did", F.shiftright("at", 16).alias("p")).collect()
-    keys = sorted((bytes(r["span"])[r["first"] :], r["did"], r["p"]) for r in rows)
+    rows = sample.select(F.substring("span", 1, 2 * width).alias("span"), offset.alias("first"), *DOC, F.shiftright("at", 16).alias("p")).collect()
+    keys = sorted((bytes(r["span"])[r["first"] :], r["did"], bytes(r["tag"]), r["p"]) for r in rows)
     return [keys[len(keys) * i // buckets] for i in range(1, buckets)] if len(keys) >= buckets else keys
 
 
 def _bucket_repeats(suffixes: DataFrame, width: int, splitters, partitions: int) -> DataFrame:
-    """``key, did, start, end``: repeated ranges (short key), and first windows at boundaries (key: their bytes)."""
+    """``key, did, tag, start, end``: repeated ranges (short key), and first windows at boundaries (key: their bytes)."""
     left_width = width - GRAM
 
     def solve(batches):
@@ -145,8 +136,11 @@ def _bucket_repeats(suffixes: DataFrame, width: int, splitters, partitions: int)
         table = pa.Table.from_batches(parts)
         cuts = splitters.value
         did, packed = table["did"].to_numpy(), table["at"].to_numpy()
-        order = np.lexsort((packed, did))  # by document and position
-        did, packed, bucket = did[order], packed[order], table["bucket"].to_numpy()[order]
+        tag = np.frombuffer(b"".join(table["tag"].to_pylist()), ">u8").reshape(-1, 2)
+        order = np.lexsort((packed, tag[:, 1], tag[:, 0], did))  # by document and position
+        did, tag, packed, bucket = did[order], tag[order], packed[order], table["bucket"].to_numpy()[order]
+        new = (did[1:] != did[:-1]) | (tag[1:] != tag[:-1]).any(axis=1)
+        doc = np.concatenate([[0], np.cumsum(new)])  # numbers the documents in order
         spans = table["span"].take(pa.array(order)).to_pylist()
         del table, parts
         p, first, last = packed // _REACH**2, packed // _REACH % _REACH, packed % _REACH
@@ -163,12 +157,12 @@ def _bucket_repeats(suffixes: DataFrame, width: int, splitters, partitions: int)
                     shared = common_prefix(right[rows], np.broadcast_to(rows_of([cut], width), (len(rows), width)))
                     edge[rows] = np.maximum(edge[rows], np.minimum(shared, len(cut)))
         repeat = np.zeros((len(did), left_width + 2), bool)
-        keys, ids, starts, ends = [], [], [], []
+        keys, owners, starts, ends = [], [], [], []
         # a span equal to an earlier one as a whole: all its windows are repeats
         whole = (by_right.classes(width) * np.int64(len(did)) + by_left.classes(left_width)) * _REACH**2 + packed % _REACH**2
         _, at, which = np.unique(whole, return_index=True, return_inverse=True)
         head = at[which]
-        later = np.flatnonzero((did != did[head]) | (p != p[head]))
+        later = np.flatnonzero((doc != doc[head]) | (p != p[head]))
         offsets = np.arange(left_width + 2)
         repeat[later] = (offsets >= last[later, None]) & (offsets <= first[later, None])
         fresh = np.ones(len(did), bool)
@@ -180,26 +174,28 @@ def _bucket_repeats(suffixes: DataFrame, width: int, splitters, partitions: int)
             same = by_right.classes(width - j)[rows] * np.int64(len(did)) + by_left.classes(j)[rows]
             _, at, which = np.unique(same, return_index=True, return_inverse=True)
             head = rows[at[which]]
-            repeat[rows, j] = (did[rows] != did[head]) | (p[rows] != p[head])
+            repeat[rows, j] = (doc[rows] != doc[head]) | (p[rows] != p[head])
             for r in rows[(head == rows) & (edge[rows] >= width - j)].tolist():
                 keys.append(spans[r][heads[r] - j : heads[r] - j + width])
-                ids.append(did[r])
+                owners.append(r)
                 starts.append(p[r] - j)
                 ends.append(p[r] - j + width)
         change = np.diff(repeat.astype(np.int8), axis=1, prepend=0)
         row, opened = np.nonzero(change == 1)
         _, closed = np.nonzero(change == -1)
         start, end = p[row] - closed + 1, p[row] - opened + width
-        short = [b"%d:%d" % x for x in zip(did[row].tolist(), start.tolist(), strict=True)]
+        owner = np.concatenate([row, np.array(owners, np.int64)])
+        short = [b"%d:%d" % x for x in zip(tag[row, 0].tolist(), start.tolist(), strict=True)]
         columns = [
             pa.array(short + keys, pa.binary()),
-            pa.array(np.concatenate([did[row], np.array(ids, np.int64)])),
+            pa.array(did[owner]),
+            pa.array([t.tobytes() for t in tag[owner]], pa.binary()),
             pa.array(np.concatenate([start, np.array(starts, np.int64)])),
             pa.array(np.concatenate([end, np.array(ends, np.int64)])),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["key", "did", "start", "end"])
+        yield pa.RecordBatch.from_arrays(columns, ["key", "did", "tag", "start", "end"])
 
-    return suffixes.repartition(partitions, "bucket").mapInArrow(solve, "key binary, did bigint, start bigint, `end` bigint")
+    return suffixes.repartition(partitions, "bucket").mapInArrow(solve, "key binary, did bigint, tag binary, start bigint, `end` bigint")
 
 
 def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -237,25 +233,26 @@ def suffix_dedup(
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("did"),
+        text_digest(text_col).alias("tag"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         *([F.struct(*carry).alias("carried")] if carry else []),
     )
     side = written(_candidates(docs, width), "suffix-candidates")
     splitters = spark.sparkContext.broadcast(_splitters(docs, side, width, partitions * BUCKETS_PER_PARTITION))
     found = _bucket_repeats(_suffix_rows(docs, side, width, splitters), width, splitters, partitions)
-    here = F.struct("did", "start")
+    here = F.struct(*DOC, "start")
     repeats = (
         found.withColumn("first", F.min(here).over(Window.partitionBy("key")))
         .where((F.octet_length("key") < width) | (here > F.col("first")))
-        .groupBy("did")
+        .groupBy(*DOC)
         .agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     )
     joined = (
-        docs.join(side.select("did", "firsts"), "did", "left")
-        .join(repeats, "did", "left")
-        .select("did", "text", F.coalesce(F.array_contains("firsts", F.unhex(F.sha2("text", 256))), F.lit(False)).alias("first"), "ranges", *docs.columns[2:])
+        docs.join(side.select(*DOC, F.lit(True).alias("first")), list(DOC), "left")
+        .join(repeats, list(DOC), "left")
+        .select("did", "text", F.coalesce("first", F.lit(False)).alias("first"), "ranges", *docs.columns[3:])
     )
-    carried = docs.schema.fields[2:]
+    carried = docs.schema.fields[3:]
     names = ["did", "n_bytes", "n_removed", "n_spans", "kept", "spans", *(f.name for f in carried)]
 
     def make():
@@ -265,7 +262,7 @@ def suffix_dedup(
                 if not first and len(text) >= width:
                     ranges = [(0, len(text))]
                 else:
-                    ranges = _merged([(r["start"], r["end"]) for r in found or () if r["end"] <= len(text)])
+                    ranges = _merged([(r["start"], r["end"]) for r in found or ()])
                 if whole_chars:
                     ranges = [r for r in (_whole_chars(text, a, b) for a, b in ranges) if r[0] < r[1]]
                 edges = [0, *(x for r in ranges for x in r), len(text)]

@@ -1,5 +1,6 @@
 """Suffix dedup and MinHash near-dedup against brute force."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -66,6 +67,31 @@ def test_suffix_dedup_whole_characters(spark):
         bytes(r["kept"]).decode()
 
 
+def test_suffix_dedup_several_texts_under_one_id(spark):
+    """Texts under no id, or under one id, are documents of their own: what is cut of one stays in another."""
+    rng = random.Random(11)
+    fresh = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    passage = fresh(120)
+    ids = [None] * 25 + [7] * 10 + [8, 9]
+    rows = [(i, fresh(rng.randint(0, 300)) + passage + fresh(rng.randint(0, 300)), "en", "s", 1) for i in ids]
+    rows += [(None, fresh(300) + passage, "en", "s", 1), (None, fresh(100) + passage + fresh(400), "en", "s", 1)]
+    rows += [rows[3], rows[27], (7, rows[0][1], "en", "s", 1), (None, None, "en", "s", 1), (7, "", "en", "s", 1), (7, "x", "en", "s", 1)]
+    seen, want = set(), {}
+    key = lambda x: (x[0] is not None, x[0] or 0, hashlib.sha256(x[1].encode()).digest())
+    for i, t in sorted({(r[0], r[1] or "") for r in rows}, key=key):
+        gone = np.zeros(len(t) + 1, np.int8)
+        for s in range(len(t) - 99):
+            if t[s : s + 100] in seen:
+                gone[s : s + 100] = 1
+            seen.add(t[s : s + 100])
+        want[i, t] = "".join(x for x, g in zip(t, gone, strict=False) if not g), int((np.diff(gone, prepend=0) == 1).sum())
+    table = edge_table(spark, rows).withColumn("whole", F.coalesce("text", F.lit("")))
+    got = suffix_dedup.suffix_dedup(table, carry=("whole",)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (bytes(r["kept"]).decode(), r["n_spans"]) == want[r["did"], r["carried"]["whole"]]
+
+
 def test_suffix_dedup_empty_table(spark):
     assert suffix_dedup.suffix_dedup(edge_table(spark, [])).count() == 0
 
