@@ -43,9 +43,9 @@ from cityweave.llm.suffix_sort import GRAM, Prefixes, anchors, common_prefix, ro
 WIDTH = 100
 NO_ID = -(1 << 63)  # stands for a null id
 DOC = ("did", "tag")  # what names a document
-SAMPLE_ONE_IN = 64  # documents read for splitters
+SAMPLE_ONE_IN = 64  # anchors read for splitters
 BUCKETS_PER_PARTITION = 4
-SPLITTERS_MAX = 200_000  # rows of the sample that the driver takes at most
+SPLITTERS_MAX = 200_000  # rows of the sample that the driver takes, by expectation
 _REACH = 1 << 8  # packs (position, left reach of first and last window)
 
 
@@ -82,7 +82,7 @@ def _candidates(docs: DataFrame, width: int) -> DataFrame:
 def _suffix_rows(docs: DataFrame, side: DataFrame, width: int, splitters) -> DataFrame:
     """``bucket, did, tag, at, span``: the text around each anchor, from its first window's start to its last one's end."""
     # all columns of docs are kept, so that both joins of the texts read one shuffle of them
-    joined = docs.join(side.where("at is not null"), list(DOC)).select(*DOC, "text", "at", *docs.columns[3:])
+    joined = docs.join(side, list(DOC)).select(*DOC, "text", "at", *docs.columns[3:])
 
     def make():
         cuts = splitters.value if splitters is not None else []
@@ -112,13 +112,16 @@ def _suffix_rows(docs: DataFrame, side: DataFrame, width: int, splitters) -> Dat
 def _splitters(docs: DataFrame, side: DataFrame, width: int, buckets: int) -> list[tuple[bytes, int, bytes, int]]:
     """Suffixes that part a sample into even buckets; at most ``buckets`` of them.
 
-    The sample takes whole documents by a hash of id and tag; its rate is set so
-    that the driver gets at most about ``SPLITTERS_MAX`` short suffixes.
+    The sample takes single anchors by a hash of document and place, whatever
+    their documents' sizes; its rate is set so that the driver gets about
+    ``SPLITTERS_MAX`` short suffixes at most.
     """
     total = side.agg(F.sum(F.size("at"))).first()[0] or 0
     one_in = max(SAMPLE_ONE_IN if total > 100 * buckets * SAMPLE_ONE_IN else 4, 1 + total // SPLITTERS_MAX)
-    picked = F.pmod(F.xxhash64(*DOC, F.lit("splitters")), F.lit(one_in)) == 0
-    sample = _suffix_rows(docs.where(picked), side.where(picked), width, None)
+    picked = F.pmod(F.xxhash64(*DOC, "at", F.lit("splitters")), F.lit(one_in)) == 0
+    anchors_picked = side.select(*DOC, F.explode("at").alias("at")).where(picked).groupBy(*DOC).agg(F.collect_list("at").alias("at"))
+    # at most about SPLITTERS_MAX rows: broadcast, so that the texts stay in place; repeated rows of a document give the same suffixes
+    sample = _suffix_rows(docs, F.broadcast(anchors_picked), width, None).dropDuplicates([*DOC, "at"])
     offset = (F.shiftright("at", 8) % F.lit(_REACH)).cast("int")
     rows = sample.select(F.substring("span", 1, 2 * width).alias("span"), offset.alias("first"), *DOC, F.shiftright("at", 16).alias("p")).collect()
     keys = sorted((bytes(r["span"])[r["first"] :], r["did"], bytes(r["tag"]), r["p"]) for r in rows)
@@ -239,7 +242,7 @@ def suffix_dedup(
     )
     side = written(_candidates(docs, width), "suffix-candidates")
     splitters = spark.sparkContext.broadcast(_splitters(docs, side, width, partitions * BUCKETS_PER_PARTITION))
-    found = _bucket_repeats(_suffix_rows(docs, side, width, splitters), width, splitters, partitions)
+    found = _bucket_repeats(_suffix_rows(docs, side.where("at is not null"), width, splitters), width, splitters, partitions)
     here = F.struct(*DOC, "start")
     repeats = (
         found.withColumn("first", F.min(here).over(Window.partitionBy("key")))

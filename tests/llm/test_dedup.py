@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cityweave.llm import minhash_dedup, suffix_dedup
 from cityweave.llm.components import connected_components
+from cityweave.llm.shared import text_digest
 from cityweave.llm.suffix_sort import GRAM, anchors, common_prefix, multikey_order
 
 from .cases import edge_rows, edge_table, words
@@ -61,6 +62,18 @@ def test_suffix_classes_across_buckets(spark, monkeypatch):
     check_suffix(spark, rows)
 
 
+def test_splitters_of_one_giant_document(spark, monkeypatch):
+    """The sample is bounded although one document, repeated in many rows, has nearly all anchors."""
+    monkeypatch.setattr(suffix_dedup, "SPLITTERS_MAX", 100)
+    sizes = []
+    for i in range(12):  # whatever the hash of the giant document
+        rows = [(i, chr(97 + i) * 20_000, "en", "s", 1)] * 3 + [(50, "short", "en", "s", 1)]
+        docs = edge_table(spark, rows).select(F.col("doc_id").alias("did"), text_digest("text").alias("tag"), "text")
+        side = docs.distinct().select("did", "tag", F.when(F.col("did") < 50, F.transform(F.sequence(F.lit(0), F.lit(19_000)), lambda p: p.cast("bigint") * 65536)).alias("at"))
+        sizes.append(len(suffix_dedup._splitters(docs, side, 100, 10**6)))
+    assert all(50 <= n <= 160 for n in sizes), sizes
+
+
 def test_suffix_dedup_whole_characters(spark):
     got = suffix_dedup.suffix_dedup(edge_table(spark), whole_chars=True).collect()
     for r in got:
