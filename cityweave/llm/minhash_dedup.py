@@ -5,10 +5,14 @@ second, ``pi``, is shifted circularly by k for signature coordinate k:
 ``min over shingles of pi(sigma(s) + k mod 2^32)``.  Both are bijections, so
 two permutations give all ``BANDS * ROWS`` coordinates.
 
+A document is an id with a text; its key is the id and the first 128 bits of
+the text's SHA-256, in bytes that sort by id, then digest.  Keys name sets,
+candidates and links.
+
 1. Documents with equal shingle sets (128-bit digest) are one set; its least
-   id stands for it.
+   key stands for it.
 2. Sets that share a band are candidates.  The centre of a set is the least
-   id that shares a bucket with it.  Every set is compared with its centre, and
+   key that shares a bucket with it.  Every set is compared with its centre, and
    what it adds to the centre's shingles and lacks of them (its edits) is kept.
 3. Two sets of one centre differ by their edits that are not shared, so their
    exact similarity follows from the edits alone.  Sets near their centre are
@@ -26,8 +30,10 @@ probability 5e-6, one at 0.9 with less than 1e-13.
 
 Defined results: null or empty text (no words) has an empty set and is linked
 with nothing; a text of fewer words than a shingle has one shingle, its whole
-sequence; a null id counts as the smallest; repeated rows of one document
-share its set and its result; extra columns are not read.
+sequence; a null id counts as the smallest; different texts under one id (or
+under no id) are documents of their own, of which one component keeps the one
+of least key; repeated rows of one document share its set and its result;
+extra columns are not read.
 """
 
 from __future__ import annotations
@@ -37,19 +43,30 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cityweave.llm.components import connected_components
-from cityweave.llm.shared import map_batches, texts_of, written
+from cityweave.llm.shared import map_batches, text_digest, texts_of, written
 
 NO_ID = -(1 << 63)  # stands for a null id
 BANDS, ROWS = 40, 6
+KEY_BYTES = 24
 BROADCAST_IDS_BYTES = 32 << 20  # a counted id list up to this size is broadcast, a larger one is joined by shuffle
 BLOCK_SETS = 1024  # sets of one centre compared in one task, on either side
 _CHUNK = 1 << 15  # shingles permuted at once: stays in the processor's cache
 
 
+def _key(did: str, tag: str) -> Column:
+    """Id and digest as bytes that sort like the two; never null if they aren't."""
+    head = F.unhex(F.lpad(F.hex(F.col(did).bitwiseXOR(F.lit(NO_ID))), 16, "0"))
+    return F.coalesce(F.concat(head, tag), F.lit(b""))
+
+
+def _id_of(key: Column) -> Column:
+    return F.conv(F.hex(F.substring(key, 1, 8)), 16, -10).cast("bigint").bitwiseXOR(F.lit(NO_ID))
+
+
 def _mix64(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -101,7 +118,7 @@ def _band_hashes(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, shingle_words: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``did, n, digest, bands`` for every row of ``docs(did, text)``; no shuffle."""
+    """``sid, n, digest, bands`` for every row of ``docs(sid, text)``; no shuffle."""
 
     def make():
         def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -114,18 +131,18 @@ def signatures(docs: DataFrame, shingle_words: int, bands: int = BANDS, rows: in
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
-                ["did", "n", "digest", "bands"],
+                ["sid", "n", "digest", "bands"],
             )
 
         return sign
 
-    return map_batches(docs.select("did", "text"), make, "did bigint, n bigint, digest binary, bands array<bigint>")
+    return map_batches(docs.select("sid", "text"), make, "sid binary, n bigint, digest binary, bands array<bigint>")
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
     """``sid, shingles`` of the documents named in ``ids(sid)``."""
-    few = ids.count() * 16 <= BROADCAST_IDS_BYTES
-    named = docs.join(F.broadcast(ids) if few else ids, docs["did"] == ids["sid"], "left_semi")
+    few = ids.count() * KEY_BYTES <= BROADCAST_IDS_BYTES
+    named = docs.join(F.broadcast(ids) if few else ids, "sid", "left_semi")
 
     def make():
         def shingle(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -134,7 +151,7 @@ def _full_sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame
 
         return shingle
 
-    return map_batches(named.select("did", "text"), make, "sid bigint, shingles array<bigint>").dropDuplicates(["sid"])
+    return map_batches(named.select("sid", "text"), make, "sid binary, shingles array<bigint>").dropDuplicates(["sid"])
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -151,7 +168,7 @@ def _near(percent: int) -> str:
     return f"(n_a + n_b) * {100 - percent} >= (size(plus) + size(minus)) * {100 + percent}L"
 
 
-def links_of_block(members: dict[str, list], far: dict[str, list], percent: int) -> list[tuple[int, int]]:
+def links_of_block(members: dict[str, list], far: dict[str, list], percent: int) -> list[tuple[bytes, bytes]]:
     """Spanning forest of the links between ``far`` sets and ``members`` of one centre.
 
     Both hold ``sid``, ``n`` (set size) and ``edits`` (codes of added and
@@ -164,9 +181,9 @@ def links_of_block(members: dict[str, list], far: dict[str, list], percent: int)
     codes = np.concatenate([np.asarray(e, np.int64) for e in members["edits"]]) if counts.sum() else np.empty(0, np.int64)
     order = np.argsort(codes, kind="stable")
     codes, owner = codes[order], owner[order]
-    root: dict[int, int] = {}
+    root: dict[bytes, bytes] = {}
 
-    def find(x: int) -> int:
+    def find(x: bytes) -> bytes:
         root.setdefault(x, x)
         while root[x] != x:
             root[x] = root[root[x]]
@@ -209,11 +226,11 @@ def _links_by_centre(edits: DataFrame, percent: int, block: int) -> DataFrame:
         far = table["far"].to_numpy()
         parts = ({"sid": p["a"].to_pylist(), "n": p["n"].to_pylist(), "edits": p["edits"].to_pylist()} for p in (table.filter(pa.array(~far)), table.filter(pa.array(far))))
         links = links_of_block(*parts, percent)
-        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+        return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
 
     both = members.select(*names).unionByName(others.select(*names))
     # dealt anew by block: rows that lie by centre would leave all its blocks to one task
-    return both.repartition("b", "mb", "fb").groupBy("b", "mb", "fb").applyInArrow(solve, "a bigint, b bigint")
+    return both.repartition("b", "mb", "fb").groupBy("b", "mb", "fb").applyInArrow(solve, "a binary, b binary")
 
 
 def near_duplicates(
@@ -225,12 +242,13 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """``did, n_shingles, component_id, kept`` for every row of ``docs``."""
-    docs = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("did"), F.col(text_col).alias("text"))
-    signed = written(signatures(docs, shingle_words, bands, rows), "signatures")
-    firsts = signed.where("n > 0").groupBy("digest").agg(F.min("did").alias("sid"))
+    """``did, n_shingles, component_id, kept, tag`` for every row of ``docs``; ``tag`` is the text's digest."""
+    named = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("did"), text_digest(text_col).alias("tag"), F.col(text_col).alias("text"))
+    docs = named.select(_key("did", "tag").alias("sid"), "text")
+    signed = written(signatures(docs, shingle_words, bands, rows), "signatures").withColumnRenamed("sid", "own")
+    firsts = signed.where("n > 0").groupBy("digest").agg(F.min("own").alias("sid"))
     named = signed.join(firsts, "digest", "left")
-    members = named.where("did = sid").select("sid", "n", F.explode("bands").alias("band"))
+    members = named.where("own = sid").select("sid", "n", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.min("sid").alias("least"), F.max("sid").alias("most")).where("least <> most")
     buckets = written(members.join(shared.select("band", "least"), "band").distinct(), "buckets")
     sets = written(_full_sets(docs, buckets.select("sid").distinct(), shingle_words), "shingle-sets")
@@ -260,10 +278,11 @@ def near_duplicates(
     more = _compared(rest, sets).where(_near(percent)).select("a", "b")
     parts = connected_components(links.unionByName(more))
 
-    component = F.when(F.col("n") > 0, F.coalesce("component", "sid")).otherwise(F.col("did"))
+    component = F.when(F.col("n") > 0, F.coalesce("component", "sid")).otherwise(F.col("own"))
     return named.join(parts, named["sid"] == parts["node"], "left").select(
-        F.nullif("did", F.lit(NO_ID)).alias("did"),
+        F.nullif(_id_of(F.col("own")), F.lit(NO_ID)).alias("did"),
         F.col("n").alias("n_shingles"),
-        F.nullif(component, F.lit(NO_ID)).alias("component_id"),
-        (F.col("did") == component).alias("kept"),
+        F.nullif(_id_of(component), F.lit(NO_ID)).alias("component_id"),
+        (F.col("own") == component).alias("kept"),
+        F.substring("own", 9, 16).alias("tag"),
     )

@@ -5,7 +5,7 @@ before kept.  All but the last return the columns of ``documents``.
 
 1. ``quality_classifier``: documents scored below the threshold go.
 2. ``minhash_dedup``: of each group of near duplicates (five-word shingles,
-   similarity 0.8) the one of least id stays; repeated rows become one.
+   similarity 0.8) the one of least id (then text digest) stays; repeated rows become one.
 3. ``suffix_dedup``: byte strings of 100 that start earlier too are cut out, in
    whole characters; documents that lose all their text go.
 4. ``secret_scan``: findings are replaced by a mark.
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityweave.llm import best_fit_packing, minhash_dedup, quality_classifier, secret_scan, suffix_dedup
-from cityweave.llm.shared import written
+from cityweave.llm.shared import text_digest, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # SQL has no compressor, tokenizer or packing; tests compare with brute force.
@@ -36,9 +36,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = minhash_dedup.near_duplicates(docs, shingle_words=5, percent=80).where("kept").select("did").distinct()
+    kept = minhash_dedup.near_duplicates(docs, shingle_words=5, percent=80).where("kept").select("did", "tag").distinct()
     docs = docs.select(*COLUMNS)
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["did"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    same = docs["doc_id"].eqNullSafe(kept["did"]) & (text_digest("text") == kept["tag"])
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def repeated_text_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cityweave.llm import minhash_dedup, suffix_dedup
 from cityweave.llm.components import connected_components
 from cityweave.llm.shared import text_digest
@@ -165,6 +166,50 @@ def test_near_duplicates_chain(spark):
     check_near(spark, rows, 2)
 
 
+def several_texts_rows():
+    """Two texts and more under no id and under one id, with near copies under other ids."""
+    rng = random.Random(12)
+    texts = [words(rng, 100) for _ in range(9)]
+    rows = [(None, " ".join(t), "en", "s", 1) for t in texts[:6]] + [(7, " ".join(t), "en", "s", 1) for t in texts[6:]]
+    rows += [(50 + i, " ".join([*t, "tail"]), "en", "s", 1) for i, t in enumerate(texts)]
+    rows += [(None, " ".join([*texts[0], "end"]), "en", "s", 1), (None, "  ".join(texts[1]), "en", "s", 1), (7, " ".join(texts[2]), "en", "s", 1)]
+    return [*rows, rows[3], rows[7], (None, None, "en", "s", 1), (None, "", "en", "s", 1)], 9
+
+
+def least_documents(rows, k):
+    """{(id, text): least (id, text) of its component}, by id, then SHA-256 of the text."""
+    key = lambda x: (x[0] is not None, x[0] or 0, hashlib.sha256(x[1].encode()).digest())
+    sets = {(r[0], r[1] or ""): shingles(r[1], k) for r in rows}
+    least = {d: d for d in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                both = len(sets[a] & sets[b])
+                if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                    least[a] = min(least[a], least[b], key=key)
+    return least
+
+
+def test_near_duplicates_several_texts_under_one_id(spark):
+    rows, components = several_texts_rows()
+    least = least_documents(rows, 2)
+    assert len({d for d in least.values() if d[1]}) == components
+    got = minhash_dedup.near_duplicates(edge_table(spark, rows), shingle_words=2).collect()
+    assert len(got) == len(rows)
+    tag = lambda t: hashlib.sha256(t.encode()).digest()[:16]
+    want = {(i, tag(t)): (least[i, t][0], least[i, t] == (i, t)) for i, t in least}
+    for r in got:
+        assert (r["component_id"], r["kept"]) == want[r["did"], bytes(r["tag"])]
+
+
+def test_near_duplicate_stage_several_texts_under_one_id(spark):
+    rows, _ = several_texts_rows()
+    least = least_documents(rows, 5)
+    got = corpus_pipeline.near_duplicate_stage(spark, edge_table(spark, rows), "").select("doc_id", "text").collect()
+    want = sorted([d for d in least if least[d] == d] + [(None, None)], key=repr)  # null and empty text both stay
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=repr) == want
+
+
 def test_near_duplicates_empty_table(spark):
     assert minhash_dedup.near_duplicates(edge_table(spark, [])).count() == 0
 
