@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityweave.llm import best_fit_packing, bpe_codec, exact_topk, minhash_dedup, quality_classifier, quality_rules, secret_scan, suffix_dedup, token_counts, token_output
+from cityweave.llm import best_fit_packing, bpe_codec, decontamination, exact_topk, minhash_dedup, quality_classifier, quality_rules, secret_scan, suffix_dedup, token_counts, token_output
 from cityweave.llm.sql import ORACLE_SQL  # noqa: F401
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -78,6 +78,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("did").alias("doc_id"), "n_bytes", "n_removed", "n_spans", digest)
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decontamination.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return rows.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items", digest, (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe_codec": op2_bpe_codec,
@@ -89,4 +95,5 @@ QUERIES = {
     "op8_exact_topk": op8_exact_topk,
     "op9_token_files": op9_token_files,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op13_decontamination": op13_decontamination,
 }
