@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityweave.llm import best_fit_packing, bpe_codec, decontamination, exact_topk, minhash_dedup, quality_classifier, quality_rules, secret_scan, suffix_dedup, token_counts, token_output
+from cityweave.llm import best_fit_packing, bpe_codec, conversation_repair, decontamination, exact_topk, hard_negatives, minhash_dedup, quality_classifier, quality_rules, secret_scan, suffix_dedup, token_counts, token_output
 from cityweave.llm.sql import ORACLE_SQL  # noqa: F401
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -78,6 +78,16 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("did").alias("doc_id"), "n_bytes", "n_removed", "n_spans", digest)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), hard_negatives.floored(F.col("embedding")).alias("v"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired_conversations(_table(spark, sf_dir, "conversations"))
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontamination.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
@@ -95,5 +105,7 @@ QUERIES = {
     "op8_exact_topk": op8_exact_topk,
     "op9_token_files": op9_token_files,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_decontamination": op13_decontamination,
 }

@@ -80,5 +80,6 @@ QUALIFY rank <= 3"""
 ORACLE_SQL = {
     "op5_secret_scan": _secret_scan(),
     "op8_exact_topk": TOP_K,
+    "op11_hard_negatives": HARD_NEGATIVES,
     "op13_decontamination": DECONTAMINATION,
 }
