@@ -1,6 +1,7 @@
 """DataFrame-in, DataFrame-out operators of the three marts."""
 
-from cityweave.operators.nearest import nearest_by_square, nearest_city, square_candidates
+from cityweave.operators.nearest import nearest_by_place, nearest_city
+from cityweave.operators.leaves import PlaceIndex, place_index
 from cityweave.operators.profile import (
     closest_message_cities,
     current_city,
@@ -30,6 +31,7 @@ from cityweave.operators.zones import (
 )
 
 __all__ = [
+    "PlaceIndex",
     "channel_pair_counts",
     "closest_event_cities",
     "closest_message_cities",
@@ -40,13 +42,13 @@ __all__ = [
     "located_events",
     "message_points",
     "nearby_pairs",
-    "nearest_by_square",
+    "nearest_by_place",
     "nearest_city",
     "pair_distance",
     "pair_recommendations",
     "pairs_without_contact_counts",
+    "place_index",
     "per_city_counts",
-    "square_candidates",
     "travel_events",
     "travel_stats",
     "user_channels",

@@ -1,26 +1,21 @@
 """Nearest city of each point, ties kept: one exact plan for every dictionary size.
 
-The globe is cut into squares of ``leaf_deg`` degrees.  For the squares that
-hold points, the cities that can be nearest to *any* point in them are found
-once; every point then looks up its square's short list and takes the argmin.
-No facts x cities, and the lists need no pass over the facts but a distinct of
-their squares.
-
-A square's list follows from its centre m and a bound rho on the distance of
-its points from m: if the city nearest to m is at d, the cities nearest to a
-point of the square lie within d + 2 rho of m.  Lists are found from coarse to
-fine squares: a square's candidates are taken from those of the coarser square
-around it, so a fine square never meets the whole dictionary.
+``place_index`` cuts the globe into leaves with short lists of possible nearest
+places; every point takes the argmin over the list of its leaf.  No facts x
+cities, and the index needs no pass over the facts.  Its size is measured: up
+to a bound it is broadcast, and the search is map only.
 
 Two semantics:
 
 * ``key=None`` (per row): every point gets the cities at its least distance.
 * ``key=[...]`` (reference semantics): among all rows sharing ``key``, only the
   (row, city) combinations at the smallest distance survive.  A NULL or
-  repeated key competes as one group.  Keys with a large share of the rows are
-  found first (at most ``MAX_HOT_KEYS`` of them, whatever the input's size);
-  their least distance is aggregated map-side and broadcast, so their rows stay
-  where they are, ties included.  All other keys take a rank-1 window.
+  repeated key competes as one group.  The search runs once and its result is
+  written; keys are counted and their least distances found there, in one
+  partial aggregation.  Keys with a large share of the rows (at most
+  ``MAX_HOT_KEYS`` of them, whatever the input's size) are broadcast with their
+  least distance, so their rows stay where they are, ties included.  All other
+  keys take a rank-1 window, whose group limit drops most rows before they move.
 
 Rows without coordinates, or with non-finite ones, have no nearest city.
 """
@@ -34,119 +29,46 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cityweave.functions.geo import EARTH_RADIUS_KM, haversine_km
-
-# Squares, coarse to fine; each side divides the one before it.
-ROOT_DEG, MID_DEG, LEAF_DEG = 30.0, 3.0, 0.5
-# Guards the bounds against rounding.
-SLACK_KM = 1e-6
+from cityweave.functions.geo import haversine_km
+from cityweave.operators.leaves import PlaceIndex, place_index, with_places
+from cityweave.session import scratch_table
 
 # A key is hot above this many rows and above one in MAX_HOT_KEYS of all rows:
 # there can't be more hot keys than that, so their table may be broadcast.
 HOT_KEY_ROWS = 100_000
 MAX_HOT_KEYS = 10_000
 
-CITY_OUT = ("city_id", "city_name")
-NO_SQUARE = -(1 << 50)
-_SHIFT = 1 << 20  # packs a square's (row, column) into one long
+MARGIN = 1.000001  # of squared chords
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _turn(degrees: Column) -> Column:
-    """Angle in [-180, 180): distances have a period of a full turn."""
-    return F.pmod(degrees + 180.0, F.lit(360.0)) - 180.0
-
-
-def _square(lat: Column, lon: Column, side: float) -> Column:
-    """Square of a position; ``NO_SQUARE`` without finite coordinates."""
-    finite = (F.abs(lat) < float("inf")) & (F.abs(lon) < float("inf"))
-    row, column = F.floor(_turn(lat) / side), F.floor(_turn(lon) / side)
-    return F.coalesce(F.when(finite, row * F.lit(_SHIFT) + column), F.lit(NO_SQUARE))
-
-
-def _row_column(square: Column) -> tuple[Column, Column]:
-    row = F.floor((square + F.lit(_SHIFT // 2)) * F.lit(1.0 / _SHIFT))  # a power of two: exact
-    return row, square - row * F.lit(_SHIFT)
-
-
-def _around(square: Column, ratio: float) -> Column:
-    """The coarser square that holds ``square``."""
-    row, column = _row_column(square)
-    inner = [F.floor((x + 0.5) * F.lit(1.0 / ratio)) for x in (row, column)]  # half a step from any border
-    return inner[0] * F.lit(_SHIFT) + inner[1]
+def nearest_by_place(points: DataFrame, index: PlaceIndex, lat="lat", lon="lon", distance_col: str = "distance_km") -> DataFrame:
+    """Per-row argmin over the list of the row's leaf; one output row per tied city.
 
-
-def _from_centre(square: Column, side: float) -> Column:
-    row, column = _row_column(square)
-    return haversine_km((row + 0.5) * side, (column + 0.5) * side, F.col("city_lat"), F.col("city_lon"))
-
-
-def _reach(side: float) -> float:
-    """2 rho: half a side along the meridian and half a side along the parallel reach any point from the centre."""
-    return 2 * EARTH_RADIUS_KM * side * 3.141592653589793 / 180 + SLACK_KM
-
-
-def square_candidates(
-    points: DataFrame, cities: DataFrame, lat="lat", lon="lon", leaf_deg: float = LEAF_DEG
-) -> DataFrame:
-    """``_square, _cities``: the possible nearest cities of each square that holds points."""
-    # The squares come out of aggregates as max(key) = key: so Spark does not carry conditions that it infers
-    # on coarser squares down to the points, where their nested arithmetic would be repeated for every row.
-    placed = points.select(_square(_c(lat), _c(lon), leaf_deg).alias("_key")).where(F.col("_key") != NO_SQUARE)
-    leaves = placed.groupBy("_key").agg(F.max("_key").alias("_square")).select("_square")
-    mids = leaves.select(_around(F.col("_square"), MID_DEG / leaf_deg).alias("_square")).distinct()
-    roots = mids.select(_around(F.col("_square"), ROOT_DEG / MID_DEG).alias("_square")).distinct()
-
-    city = ("city_id", "city_name", "city_lat", "city_lon")
-    side = int(360 / ROOT_DEG)
-    # below an exchange of its own: the stages above then start from columns, not from this arithmetic
-    known = cities.where("city_lat is not null and city_lon is not null").select(*city).repartition("city_id")
-    found = known.select(F.explode(F.sequence(F.lit(0), F.lit(side * side - 1))).alias("_n"), *city)
-    square = F.floor(F.col("_n") / F.lit(side) - F.lit(side // 2)) * F.lit(_SHIFT) + (F.col("_n") % side - side // 2)
-    found = found.select(square.cast("bigint").alias("_square"), *city).join(roots, "_square", "left_semi")
-    found = _possible(found, ROOT_DEG)
-    mids = mids.withColumn("_coarse", _around(F.col("_square"), ROOT_DEG / MID_DEG))
-    found = mids.join(found.withColumnRenamed("_square", "_coarse"), "_coarse").select("_square", *city)
-    found = _possible(found, MID_DEG)
-    leaves = leaves.withColumn("_coarse", _around(F.col("_square"), MID_DEG / leaf_deg))
-    found = leaves.join(found.withColumnRenamed("_square", "_coarse"), "_coarse")
-    listed = found.groupBy("_square").agg(
-        F.collect_list(F.struct(*city, _from_centre(F.col("_square"), leaf_deg).alias("_d"))).alias("_all"),
-        F.max("_square").alias("_own"),
-    )
-    least = F.array_min(F.transform("_all", lambda c: c["_d"]))
-    listed = listed.withColumn("_upto", least + F.lit(_reach(leaf_deg)))
-    return listed.select(F.col("_own").alias("_square"), F.filter("_all", lambda c: c["_d"] <= F.col("_upto")).alias("_cities"))
-
-
-def _possible(found: DataFrame, side: float) -> DataFrame:
-    """Of each square's cities, those that can be nearest to a point in it."""
-    least = F.min("_d").over(Window.partitionBy("_square"))
-    measured = found.withColumn("_d", _from_centre(F.col("_square"), side)).withColumn("_least", least)
-    return measured.where(F.col("_d") <= F.col("_least") + F.lit(_reach(side))).drop("_d", "_least")
-
-
-def nearest_by_square(
-    points: DataFrame,
-    cities: DataFrame,
-    lat="lat",
-    lon="lon",
-    distance_col: str = "distance_km",
-    leaf_deg: float = LEAF_DEG,
-) -> DataFrame:
-    """Per-row argmin over the list of the row's square; one output row per tied city."""
+    Squared chords (no trigonometry per place) pick the places that may be
+    nearest, with a margin far above their rounding; the distance of those few
+    is the haversine's, and so are ties.
+    """
     lat_c, lon_c = _c(lat), _c(lon)
-    lists = square_candidates(points, cities, lat, lon, leaf_deg)
-    placed = points.withColumn("_square", _square(lat_c, lon_c, leaf_deg)).join(lists, "_square")
-    distances = F.transform("_cities", lambda c: haversine_km(lat_c, lon_c, c["city_lat"], c["city_lon"]))
-    winners = F.filter("_cities", lambda c, i: F.get(F.col("_ds"), i) == F.col("_best"))
+    phi, lam = F.radians(lat_c), F.radians(lon_c)
+    own = {"_x": F.cos(phi) * F.cos(lam), "_y": F.cos(phi) * F.sin(lam), "_z": F.sin(phi)}
+    square = lambda p, axis: (p[axis] - F.col(f"_{axis}")) * (p[axis] - F.col(f"_{axis}"))
+    chords = F.transform("_places", lambda p: square(p, "x") + square(p, "y") + square(p, "z"))
+    # named twice, so that Spark does not put the minimum itself into the lambda, once a place
+    close = F.filter("_places", lambda p, i: (F.get(F.col("_chords"), i) <= F.col("_upto")) | F.col("_upto").isNull())
+    distances = F.transform("_places", lambda p: haversine_km(lat_c, lon_c, p["lat"], p["lon"]))
+    winners = F.filter("_places", lambda p, i: F.get(F.col("_ds"), i) == F.col("_best"))
     return (
-        placed.withColumn("_ds", distances)
+        with_places(points.withColumns(own), index, lat_c, lon_c)
+        .withColumn("_chords", chords)
+        .withColumn("_upto", F.array_min("_chords") * MARGIN + F.lit(1e-17))
+        .withColumn("_places", close)
+        .withColumn("_ds", distances)
         .withColumn("_best", F.array_min("_ds"))
-        .withColumn("_hit", F.explode(winners))
+        .withColumn("_hit", F.explode(F.flatten(F.transform(winners, lambda p: p["cities"]))))
         .select(
             *[F.col(c) for c in points.columns],
             F.col("_hit.city_id").alias("city_id"),
@@ -160,20 +82,14 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
     return functools.reduce(operator.and_, (F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)))
 
 
-def closest_per_key(
-    points: DataFrame, scored: DataFrame, key: Sequence[str], distance_col: str, hot_rows: int = HOT_KEY_ROWS
-) -> DataFrame:
-    """Rows of ``scored`` at the smallest distance of their key; NULLs are one key.
-
-    ``points`` are the rows before the search: hot keys are counted there.
-    """
+def closest_per_key(scored: DataFrame, key: Sequence[str], distance_col: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Rows of ``scored`` (a table) at the smallest distance of their key; NULLs are one key."""
     key, own = list(key), [f"_hot{i}" for i in range(len(key))]
-    counted = points.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    share = (points.select(F.count(F.lit(1)).alias("_n")).scalar() / F.lit(MAX_HOT_KEYS)).alias("_share")
-    hot = counted.where(F.col("_n") > F.lit(hot_rows)).withColumn("_share", share).where("_n > _share")
-    hot = F.broadcast(hot.select(*[F.col(k).alias(o) for k, o in zip(key, own, strict=True)]))  # at most MAX_HOT_KEYS rows
-    least = scored.join(hot, _same(key, own)).groupBy(*own).agg(F.min(distance_col).alias("_least"))
-    at_rest = scored.join(F.broadcast(least), _same(key, own) & (F.col(distance_col) == F.col("_least"))).select(*scored.columns)
+    per_key = scored.groupBy(*[F.col(k).alias(o) for k, o in zip(key, own, strict=True)]).agg(F.count(F.lit(1)).alias("_n"), F.min(distance_col).alias("_least"))
+    share = (scored.select(F.count(F.lit(1)).alias("_n")).scalar() / F.lit(MAX_HOT_KEYS)).alias("_share")
+    hot = per_key.where(F.col("_n") > F.lit(hot_rows)).withColumn("_share", share).where("_n > _share")
+    hot = F.broadcast(hot.select(*own, "_least"))  # at most MAX_HOT_KEYS rows
+    at_rest = scored.join(hot, _same(key, own) & (F.col(distance_col) == F.col("_least"))).select(*scored.columns)
     w = Window.partitionBy(*key).orderBy(F.col(distance_col).asc())
     others = scored.join(hot, _same(key, own), "left_anti")
     ranked = others.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") == 1).drop("_rank")
@@ -182,21 +98,23 @@ def closest_per_key(
 
 def nearest_city(
     points: DataFrame,
-    cities: DataFrame,
+    cities: DataFrame | PlaceIndex,
     lat="lat",
     lon="lon",
     key: Sequence[str] | None = None,
     distance_col: str = "distance_km",
-    leaf_deg: float = LEAF_DEG,
+    leaf_places: int | None = None,
     hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Attach ``city_id, city_name, distance_km`` of the nearest city(ies).
 
-    ``leaf_deg`` sizes the finest squares (a divisor of 3 degrees) and
-    ``hot_rows`` the keys whose rows are not moved; the result depends on
-    neither.
+    ``cities`` is the dictionary, which is read at once, or its index.
+    ``leaf_places`` bounds the lists of the index and ``hot_rows`` tells the
+    keys whose rows are not moved; the result depends on neither.  With ``key``
+    the search itself runs at once, into a table of the shared folder.
     """
-    scored = nearest_by_square(points, cities, lat, lon, distance_col, leaf_deg)
+    index = cities if isinstance(cities, PlaceIndex) else place_index(cities, leaf_places)
+    scored = nearest_by_place(points, index, lat, lon, distance_col)
     if key is None:
         return scored
-    return closest_per_key(points, scored, key, distance_col, hot_rows)
+    return closest_per_key(scratch_table(points.sparkSession, "scored", scored), key, distance_col, hot_rows)

@@ -341,9 +341,8 @@ def _split_hot_cells(probe: DataFrame, build: DataFrame, hot_rows: int) -> tuple
 def zoned_positions(positions: DataFrame, cities: DataFrame) -> DataFrame:
     """Latest positions with ``zone_ids``: the nearest city ids (ties kept).
 
-    Per user, not per pair: ``positions`` is already partitioned by
-    ``user_id`` (it is an aggregate on it), so grouping the per-row search
-    back to one row per user adds no shuffle.
+    ``positions`` is already partitioned by ``user_id`` (it is an aggregate on
+    it), so grouping the per-row search back to one row per user adds no shuffle.
     """
     located = nearest_city(positions.select("user_id", "lat", "lon"), cities, key=None)
     return located.groupBy("user_id", "lat", "lon").agg(F.collect_list("city_id").alias("zone_ids"))
@@ -357,12 +356,8 @@ def zoned_nearby_pairs(
     distinct_pairs: bool = False,
     hot_rows: int = HOT_CELL_ROWS,
 ) -> DataFrame:
-    """Nearby pairs with the left user's zone: one row per tied zone city.
-
-    The zone is looked up once per user and carried through the pair join,
-    instead of once per pair row.
-    """
-    positions = zoned_positions(latest_action(events), cities)
+    """Nearby pairs with the left user's zone: one row per tied zone city."""
+    positions = latest_action(events)
     near = nearby_pairs(
         user_channels(events),
         positions,
@@ -370,15 +365,19 @@ def zoned_nearby_pairs(
         max_km=max_km,
         cell_km=cell_km,
         distinct_pairs=distinct_pairs,
-        left_carry=("zone_ids",),
         hot_rows=hot_rows,
     )
-    return with_zones(near)
+    return with_zones(near, cities)
 
 
-def with_zones(near: DataFrame) -> DataFrame:
-    """One row per zone city of the left user (``zone_ids`` of ``zoned_positions``)."""
-    return near.withColumn("zone_id", F.explode("zone_ids")).drop("zone_ids")
+def with_zones(near: DataFrame, cities: DataFrame) -> DataFrame:
+    """One row per zone city of the left user.
+
+    A pair already has the left user's position, and the search is map only,
+    so the zone is looked up in place; no zone goes through the pair join.
+    """
+    found = nearest_city(near, cities, lat="user_left_lat", lon="user_left_lon", distance_col="_zone_km")
+    return found.select(*near.columns, F.col("city_id").alias("zone_id"))
 
 
 def _run_stamp(as_of) -> tuple[Column, Column]:

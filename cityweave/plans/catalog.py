@@ -29,7 +29,7 @@ WINDOW_PROCESS_DATE = "2024-02-15"
 WINDOW_DEPTH = 30
 AS_OF = "2024-05-01 12:00:00"
 COARSE_CELL_KM = 2.5
-FINE_SQUARE_DEG = 0.1
+SHORT_LISTS = 6
 HOT_ROWS = 10
 MANY_PIECES = 64
 BURST_TIME = "2024-03-01 12:00:00"
@@ -126,9 +126,9 @@ def nearest_city_events_per_row(spark, sf_dir):
 
 
 def nearest_city_grid(spark, sf_dir):
-    """Per-row nearest city through finer squares: the result must not depend on their size."""
+    """Per-row nearest city through smaller leaves: the result must not depend on their lists."""
     events, cities = _inputs(spark, sf_dir)
-    located = nearest_ops.nearest_city(zones.located_events(events), cities, leaf_deg=FINE_SQUARE_DEG)
+    located = nearest_ops.nearest_city(zones.located_events(events), cities, leaf_places=SHORT_LISTS)
     return _event_city_rows(located)
 
 

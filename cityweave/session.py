@@ -73,6 +73,22 @@ class ScratchTables:
         path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def scratch_table(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    The files go when the driver ends; a job that ends earlier uses ``ScratchTables``.
+    """
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    delete_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 # Target bytes per shuffle partition after AQE coalescing, and per input split.
 PARTITION_BYTES = 256 * 1024 * 1024
 

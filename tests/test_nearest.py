@@ -5,7 +5,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from cityweave.operators import nearest
+from cityweave.operators import leaves, nearest
 from cityweave.operators.nearest import nearest_city
 from cityweave.sources.cities import read_cities
 from tests.conftest import rows
@@ -62,17 +62,19 @@ def _frames(spark, pts, cities):
     )
 
 
-@pytest.mark.parametrize("leaf", [0.1, 0.5, 3.0])
-def test_squares_equal_full_search(spark, leaf):
+@pytest.mark.parametrize("leaf, on_driver", [(4, 2000), (100, 2000), (16, 0)])
+def test_leaves_equal_full_search(spark, monkeypatch, leaf, on_driver):
+    monkeypatch.setattr(leaves, "DRIVER_PLACES", on_driver)
+    monkeypatch.setattr(leaves, "TASK_PLACES", 20)
     rnd = random.Random(7)
     cities = [(str(i), f"c{i}", rnd.uniform(-85, 85), rnd.uniform(-180, 180)) for i in range(60)]
     cities.append(("dup", "c0-again", cities[0][2], cities[0][3]))
     pts = [(i, None, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(300)]
     pts += [(1000 + i, None, c[2] + rnd.uniform(-0.01, 0.01), c[3]) for i, c in enumerate(cities[:10])]
     pts += [(2000, None, 90.0, 0.0), (2001, None, -90.0, 45.0), (2002, None, 0.0, 180.0), (2003, None, cities[0][2], cities[0][3])]
-    pts += [(2004, None, 10.0, 190.0), (2005, None, 10.0, -180.0), (2006, None, -0.0, 540.0)]
+    pts += [(2004, None, 10.0, 190.0), (2005, None, 10.0, -180.0), (2006, None, -0.0, 540.0), (2007, None, 100.0, 20.0), (2008, None, -271.0, 400.0)]
     pdf, cdf = _frames(spark, pts, cities)
-    got = rows(nearest_city(pdf, cdf, leaf_deg=leaf), "pid", "city_id")
+    got = rows(nearest_city(pdf, cdf, leaf_places=leaf), "pid", "city_id")
     assert got == sorted(_brute(pts, cities), key=lambda t: tuple((x is None, str(x)) for x in t))
     assert [r for r in got if r[0] == 2003] == [(2003, "0"), (2003, "dup")]
 
@@ -123,8 +125,8 @@ def test_rows_of_a_hot_null_key_are_not_moved(spark):
         F.lit(0.05).alias("lon"),
     )
     found = nearest_city(pts, _cities(spark), key=["k"], hot_rows=1000)
-    # as with large facts: the points are too many to broadcast, and partitions are not merged
-    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "100k"}
+    # as with large facts: the points are too many to broadcast, and neither partitions nor files are merged
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "100k", "spark.sql.files.openCostInBytes": "128m"}
     before = {k: spark.conf.get(k) for k in held}
     try:
         for k, v in held.items():
