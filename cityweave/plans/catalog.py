@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cityweave.functions.calendar import iso_week_of, local_time, month_of
 from cityweave.functions.parsing import event_time
 from cityweave.operators import nearest as nearest_ops
-from cityweave.operators import profile, social, zones
+from cityweave.operators import pair_classes, profile, social, zones
 from cityweave.session import checkpoint_dir, prepare_session
 from cityweave.sources import fixture
 from cityweave.sources.cities import read_cities
@@ -286,6 +286,33 @@ def pairs_without_contact_counts(spark, sf_dir):
     return social.pairs_without_contact_counts(social.user_channels(events), social.contact_pairs(events))
 
 
+def channel_classes(spark, sf_dir):
+    """Membership of the classes: users of one channel set."""
+    events, _ = _inputs(spark, sf_dir)
+    return pair_classes.channel_classes(social.user_channels(events))
+
+
+def channel_pairs(spark, sf_dir):
+    """Pairs of users of each channel as class rows with the number of pairs they stand for."""
+    events, _ = _inputs(spark, sf_dir)
+    channels = social.user_channels(events)
+    return pair_classes.channel_pair_classes(channels, pair_classes.channel_classes(channels))
+
+
+def contact_exceptions(spark, sf_dir):
+    """Contact pairs inside each channel: what the pairs without contact leave out."""
+    events, _ = _inputs(spark, sf_dir)
+    return pair_classes.contact_exceptions(social.user_channels(events), social.contact_pairs(events))
+
+
+def pairs_without_contact(spark, sf_dir):
+    """Class rows with the pairs that are not in contact."""
+    events, _ = _inputs(spark, sf_dir)
+    channels = social.user_channels(events)
+    classes = pair_classes.channel_classes(channels)
+    return pair_classes.pairs_without_contact_classes(channels, social.contact_pairs(events), classes)
+
+
 def latest_action(spark, sf_dir):
     events, _ = _inputs(spark, sf_dir)
     la = social.latest_action(events)
@@ -381,6 +408,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_channels": user_channels,
     "channel_pair_counts": channel_pair_counts,
     "contact_pairs": contact_pairs,
+    "channel_classes": channel_classes,
+    "channel_pairs": channel_pairs,
+    "contact_exceptions": contact_exceptions,
+    "pairs_without_contact": pairs_without_contact,
     "pairs_without_contact_counts": pairs_without_contact_counts,
     "latest_action": latest_action,
     "latest_action_zone": latest_action_zone,
