@@ -12,7 +12,7 @@ text's SHA-256 (``tag``); documents are ordered by id, then tag.
 2. The suffixes at these anchors are range-partitioned by their leading bytes,
    with splitters sampled from them; ties are cut by (document, position), so that a
    passage found in a third of all documents is spread over buckets.
-3. Each bucket sorts its suffixes (and the reversed texts left of the anchors)
+3. Each bucket, sized by the number of anchors and solved by itself, sorts its suffixes (and the reversed texts left of the anchors)
    by multikey sort; common prefixes of neighbours give, for every window, its
    class of equal windows.  All but a class's first occurrence are repeats.
 4. Across boundaries: a class can reach into another bucket only if its part
@@ -45,6 +45,7 @@ NO_ID = -(1 << 63)  # stands for a null id
 DOC = ("did", "tag")  # what names a document
 SAMPLE_ONE_IN = 64  # anchors read for splitters
 BUCKETS_PER_PARTITION = 4
+BUCKET_SUFFIXES = 10_000  # suffixes that a bucket should hold
 SPLITTERS_MAX = 200_000  # rows of the sample that the driver takes, by expectation
 _REACH = 1 << 8  # packs (position, left reach of first and last window)
 
@@ -109,14 +110,15 @@ def _suffix_rows(docs: DataFrame, side: DataFrame, width: int, splitters) -> Dat
     return map_batches(joined, make, "bucket int, did bigint, tag binary, at bigint, span binary")
 
 
-def _splitters(docs: DataFrame, side: DataFrame, width: int, buckets: int) -> list[tuple[bytes, int, bytes, int]]:
-    """Suffixes that part a sample into even buckets; at most ``buckets`` of them.
+def _splitters(docs: DataFrame, side: DataFrame, width: int, least: int) -> list[tuple[bytes, int, bytes, int]]:
+    """Suffixes that part a sample into even buckets of about ``BUCKET_SUFFIXES``, ``least`` buckets or more.
 
     The sample takes single anchors by a hash of document and place, whatever
     their documents' sizes; its rate is set so that the driver gets about
     ``SPLITTERS_MAX`` short suffixes at most.
     """
     total = side.agg(F.sum(F.size("at"))).first()[0] or 0
+    buckets = max(least, -(-total // BUCKET_SUFFIXES))
     one_in = max(SAMPLE_ONE_IN if total > 100 * buckets * SAMPLE_ONE_IN else 4, 1 + total // SPLITTERS_MAX)
     picked = F.pmod(F.xxhash64(*DOC, "at", F.lit("splitters")), F.lit(one_in)) == 0
     anchors_picked = side.select(*DOC, F.explode("at").alias("at")).where(picked).groupBy(*DOC).agg(F.collect_list("at").alias("at"))
@@ -133,9 +135,20 @@ def _bucket_repeats(suffixes: DataFrame, width: int, splitters, partitions: int)
     left_width = width - GRAM
 
     def solve(batches):
-        parts = [b for b in batches if b.num_rows]
-        if not parts:
-            return
+        """One bucket at a time: rows come in the order of buckets."""
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            own = batch.column(0).to_numpy()
+            for a, b in zip(ends := [0, *(np.flatnonzero(np.diff(own)) + 1).tolist()], [*ends[1:], len(own)], strict=True):
+                if held and a < b and held[-1].column(0)[0].as_py() != own[a]:
+                    yield bucket_ranges(held)
+                    held = []
+                if a < b:
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield bucket_ranges(held)
+
+    def bucket_ranges(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(parts)
         cuts = splitters.value
         did, packed = table["did"].to_numpy(), table["at"].to_numpy()
@@ -196,9 +209,9 @@ def _bucket_repeats(suffixes: DataFrame, width: int, splitters, partitions: int)
             pa.array(np.concatenate([start, np.array(starts, np.int64)])),
             pa.array(np.concatenate([end, np.array(ends, np.int64)])),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["key", "did", "tag", "start", "end"])
+        return pa.RecordBatch.from_arrays(columns, ["key", "did", "tag", "start", "end"])
 
-    return suffixes.repartition(partitions, "bucket").mapInArrow(solve, "key binary, did bigint, tag binary, start bigint, `end` bigint")
+    return suffixes.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(solve, "key binary, did bigint, tag binary, start bigint, `end` bigint")
 
 
 def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -243,13 +256,12 @@ def suffix_dedup(
     side = written(_candidates(docs, width), "suffix-candidates")
     splitters = spark.sparkContext.broadcast(_splitters(docs, side, width, partitions * BUCKETS_PER_PARTITION))
     found = _bucket_repeats(_suffix_rows(docs, side.where("at is not null"), width, splitters), width, splitters, partitions)
-    here = F.struct(*DOC, "start")
-    repeats = (
-        found.withColumn("first", F.min(here).over(Window.partitionBy("key")))
-        .where((F.octet_length("key") < width) | (here > F.col("first")))
-        .groupBy(*DOC)
-        .agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
-    )
+    found = written(found, "ranges")
+    here, settled = F.struct(*DOC, "start"), F.octet_length("key") < width
+    # only classes at boundaries meet once more
+    edges = found.where(~settled).withColumn("first", F.min(here).over(Window.partitionBy("key"))).where(here > F.col("first"))
+    ranges = found.where(settled).select(*DOC, "start", "end").unionByName(edges.select(*DOC, "start", "end"))
+    repeats = ranges.groupBy(*DOC).agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     joined = (
         docs.join(side.select(*DOC, F.lit(True).alias("first")), list(DOC), "left")
         .join(repeats, list(DOC), "left")

@@ -54,6 +54,20 @@ def test_suffix_dedup_random(spark, seed):
     check_suffix(spark, rows)
 
 
+def test_many_buckets_in_a_partition(spark, monkeypatch):
+    """Buckets are solved one by one, also where a batch holds many or a bucket spans batches."""
+    monkeypatch.setattr(suffix_dedup, "BUCKET_SUFFIXES", 3)
+    rng = random.Random(21)
+    pool = ["".join(rng.choice("abcd") for _ in range(rng.randint(100, 300))) for _ in range(15)]
+    rows = [(i, " ".join(rng.choice(pool) for _ in range(4)) + f" {i}", "en", "s", 1) for i in range(80)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        check_suffix(spark, rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_suffix_classes_across_buckets(spark, monkeypatch):
     """A passage shared by all documents is cut by splitters many times over."""
     rng = random.Random(5)
