@@ -45,7 +45,7 @@ NO_ID = -(1 << 63)  # stands for a null id
 DOC = ("did", "tag")  # what names a document
 SAMPLE_ONE_IN = 64  # anchors read for splitters
 BUCKETS_PER_PARTITION = 4
-BUCKET_SUFFIXES = 10_000  # suffixes that a bucket should hold
+BUCKET_SUFFIXES = 20_000  # suffixes that a bucket should hold
 SPLITTERS_MAX = 200_000  # rows of the sample that the driver takes, by expectation
 _REACH = 1 << 8  # packs (position, left reach of first and last window)
 
@@ -131,7 +131,7 @@ def _splitters(docs: DataFrame, side: DataFrame, width: int, least: int) -> list
 
 
 def _bucket_repeats(suffixes: DataFrame, width: int, splitters, partitions: int) -> DataFrame:
-    """``key, did, tag, start, end``: repeated ranges (short key), and first windows at boundaries (key: their bytes)."""
+    """``key, did, tag, start, end``: repeated ranges (empty key), and first windows at boundaries (key: their bytes)."""
     left_width = width - GRAM
 
     def solve(batches):
@@ -201,9 +201,8 @@ def _bucket_repeats(suffixes: DataFrame, width: int, splitters, partitions: int)
         _, closed = np.nonzero(change == -1)
         start, end = p[row] - closed + 1, p[row] - opened + width
         owner = np.concatenate([row, np.array(owners, np.int64)])
-        short = [b"%d:%d" % x for x in zip(tag[row, 0].tolist(), start.tolist(), strict=True)]
         columns = [
-            pa.array(short + keys, pa.binary()),
+            pa.array([b""] * len(row) + keys, pa.binary()),
             pa.array(did[owner]),
             pa.array([t.tobytes() for t in tag[owner]], pa.binary()),
             pa.array(np.concatenate([start, np.array(starts, np.int64)])),
@@ -257,7 +256,7 @@ def suffix_dedup(
     splitters = spark.sparkContext.broadcast(_splitters(docs, side, width, partitions * BUCKETS_PER_PARTITION))
     found = _bucket_repeats(_suffix_rows(docs, side.where("at is not null"), width, splitters), width, splitters, partitions)
     found = written(found, "ranges")
-    here, settled = F.struct(*DOC, "start"), F.octet_length("key") < width
+    here, settled = F.struct(*DOC, "start"), F.octet_length("key") == 0
     # only classes at boundaries meet once more
     edges = found.where(~settled).withColumn("first", F.min(here).over(Window.partitionBy("key"))).where(here > F.col("first"))
     ranges = found.where(settled).select(*DOC, "start", "end").unionByName(edges.select(*DOC, "start", "end"))
