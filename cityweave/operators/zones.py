@@ -92,7 +92,11 @@ def zone_metrics(closest: DataFrame, calendar: str = "month") -> DataFrame:
     least one week group, and a NULL month (no usable time) matches no week,
     so its week columns are NULL.
     """
-    weeks = zone_week_metrics(closest, calendar)
+    return with_months(zone_week_metrics(closest, calendar), calendar)
+
+
+def with_months(weeks: DataFrame, calendar: str = "month") -> DataFrame:
+    """Week rows with their month totals: the mart from ``zone_week_metrics``."""
     years = list(CALENDARS[calendar])
     per_month = Window.partitionBy(*years, "month", "zone_id")
     no_month = F.col("month").isNull()
@@ -111,3 +115,43 @@ def zone_metrics(closest: DataFrame, calendar: str = "month") -> DataFrame:
         *week_cols,
         *month_cols,
     )
+
+
+# --- the mart from day partials ---------------------------------------------------
+
+KEY = ("message_id", "event_type")
+
+
+def day_partials(located: DataFrame, cities, day: str = "date", keyed: bool = True) -> DataFrame:
+    """What a day adds to any window: ``day, year, month, week, zone_id, event_type, n``, with ``keyed`` also ``message_id, least``.
+
+    A key competes within the whole window, so its state is mergeable: the
+    least distance of the day with the counts of the rows that tie there.  Rows
+    farther away in the same day can't be nearest in any window with that day.
+    """
+    scored = nearest_city(located, cities)
+    ts = event_time("message_ts", "datetime")
+    when = (F.year(ts).alias("year"), month_of(ts).alias("month"), iso_week_of(ts).alias("week"))
+    rows = scored.select(F.col(day).cast("date").alias("day"), *when, F.col("city_id").alias("zone_id"), *KEY, F.col("distance_km").alias("least"))
+    place = ("year", "month", "week", "zone_id")
+    if not keyed:
+        return rows.groupBy("day", *place, "event_type").agg(F.count(F.lit(1)).alias("n"))
+    counted = rows.groupBy("day", *KEY, "least", *place).agg(F.count(F.lit(1)).alias("n"))
+    nearest = Window.partitionBy("day", *KEY).orderBy("least")
+    return counted.withColumn("_rank", F.rank().over(nearest)).where(F.col("_rank") == 1).drop("_rank")
+
+
+def merged_weeks(partials: DataFrame, calendar: str = "month", keyed: bool = True) -> DataFrame:
+    """``zone_week_metrics`` of all days in ``partials``."""
+    if keyed:  # a key has a row for each day and place of its ties, however many events it had
+        nearest = Window.partitionBy(*KEY).orderBy("least")
+        partials = partials.withColumn("_rank", F.rank().over(nearest)).where(F.col("_rank") == 1)
+    counts = [
+        F.coalesce(F.sum(F.when(F.col("event_type") == F.lit(kind), F.col("n"))), F.lit(0)).alias(f"week_{suffix}") for kind, suffix in ZONE_COUNTS
+    ]
+    return partials.groupBy(*CALENDARS[calendar], "month", "week", "zone_id").agg(*counts)
+
+
+def zone_metrics_of_days(partials: DataFrame, calendar: str = "month", keyed: bool = True) -> DataFrame:
+    """The zone mart of the days in ``partials``; equal to ``zone_metrics`` over all their events."""
+    return with_months(merged_weeks(partials, calendar, keyed), calendar)

@@ -263,6 +263,22 @@ def zone_metrics_per_row(spark, sf_dir):
     return zones.zone_metrics(_closest_events(spark, sf_dir, key=None))
 
 
+def _of_days(spark, sf_dir, keyed: bool) -> DataFrame:
+    events, cities = _inputs(spark, sf_dir)
+    located = events.where("lat is not null and lon is not null")
+    return zones.zone_metrics_of_days(zones.day_partials(located, cities, keyed=keyed), keyed=keyed)
+
+
+def zone_metrics_days(spark, sf_dir):
+    """Zone mart merged from day partials, keys competing over all days."""
+    return _of_days(spark, sf_dir, True)
+
+
+def zone_metrics_days_per_row(spark, sf_dir):
+    """Zone mart merged from day partials, every located event counted."""
+    return _of_days(spark, sf_dir, False)
+
+
 # --- recommendation mart ------------------------------------------------------
 
 
@@ -405,6 +421,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zone_metrics": zone_metrics,
     "zone_metrics_per_row": zone_metrics_per_row,
     "zone_metrics_year_month": zone_metrics_year_month,
+    "zone_metrics_days": zone_metrics_days,
+    "zone_metrics_days_per_row": zone_metrics_days_per_row,
     "user_channels": user_channels,
     "channel_pair_counts": channel_pair_counts,
     "contact_pairs": contact_pairs,

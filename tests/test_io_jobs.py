@@ -76,6 +76,33 @@ def test_preview_limits_rows(spark):
     assert preview(spark.range(100), 7).count() == 7
 
 
+def test_a_killed_write_leaves_the_previous_mart(spark, tmp_path, monkeypatch):
+    from cityweave.sources import sinks
+
+    out = str(tmp_path / "mart")
+    assert write_mart(spark.range(7), out, rows=7) == 7
+    broken = spark.range(0, 1000, 1, 4).select(F.when(F.col("id") == 900, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        write_mart(broken, out)
+    with pytest.raises(RuntimeError, match="expected"):
+        write_mart(spark.range(5), out, rows=lambda: 6)
+    moved, calls = sinks.Folders.move, []
+
+    def fail(self, source, target):
+        calls.append(target)
+        if len(calls) == 2:  # the staged mart can't take its place
+            raise OSError("no rename")
+        moved(self, source, target)
+
+    monkeypatch.setattr(sinks.Folders, "move", fail)
+    with pytest.raises(OSError):
+        write_mart(spark.range(5), out)
+    monkeypatch.undo()
+    assert spark.read.parquet(out).count() == 7
+    assert [p.name for p in tmp_path.iterdir()] == ["mart"]
+    assert write_mart(spark.range(3), out) == 3 and spark.read.parquet(out).count() == 3
+
+
 def test_write_mart_overwrites_and_refuses_own_input(spark, tmp_path):
     out = str(tmp_path / "mart")
     write_mart(spark.range(3), out)
