@@ -213,4 +213,9 @@ def user_geo_profile(closest: DataFrame, tz: str = DEFAULT_TIME_ZONE, pieces: in
     number of ranges (the session's shuffle partitions); the result does not
     depend on it.
     """
-    return _itineraries(closest, pieces).select("user_id", *_places(tz), *_travels()).select(*PROFILE_COLUMNS)
+    return user_profiles(closest, tz, pieces).select(*PROFILE_COLUMNS)
+
+
+def user_profiles(closest: DataFrame, tz: str = DEFAULT_TIME_ZONE, pieces: int | None = None) -> DataFrame:
+    """The profile mart's columns and ``has_home``: whether the user has a home city (which may be unnamed)."""
+    return _itineraries(closest, pieces).select("user_id", *_places(tz), *_travels()).select(*PROFILE_COLUMNS, F.col("_has_home").alias("has_home"))

@@ -1,9 +1,11 @@
 import datetime as dt
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from cityweave.plans import catalog, jobs
+from cityweave.operators import zones as zone_ops
+from cityweave.plans import catalog, jobs, oracle
 from cityweave.plans.audit import StageAudit
 from cityweave.plans.jobs import run_profile_job, run_recommendation_job, run_zone_job
 from cityweave.sources import fixture
@@ -148,15 +150,29 @@ def test_jobs_end_to_end_match_catalog(spark, tmp_path):
     assert zones.exceptAll(want).count() == 0 and want.exceptAll(zones).count() == 0
     assert counts["zones"] == want.count() and counts["events"] == 1000
 
+    closest = zone_ops.closest_event_cities(catalog._inputs(spark, SF_SMALL)[0], fixture.cities(spark, SF_SMALL))
+    assert counts["dict_cities"] == 25 and counts["located_events"] == 980 and counts["closest_cities"] == closest.count()
+    assert counts["week_metrics"] == zone_ops.zone_week_metrics(closest).count() and counts["month_metrics"] == zone_ops.zone_month_metrics(closest).count()
     counts = run_profile_job(spark, end.isoformat(), depth, base, str(csv), str(tmp_path / "profile"), missing="skip")
     prof = spark.read.parquet(str(tmp_path / "profile"))
     assert prof.count() == counts["profile"] == catalog.user_geo_profile(spark, SF_SMALL).count()
     assert counts["closest_cities"] == catalog.nearest_city_messages(spark, SF_SMALL).count()
+    assert counts["messages"] == catalog.event_projection(spark, SF_SMALL).count() and counts["dict_cities"] == 25
+    assert counts["home_cities"] == catalog.home_city(spark, SF_SMALL).count()
+    assert counts["act_cities"] == counts["user_cities"] == counts["travel_stats"] == counts["profile"]
     with pytest.raises(ValueError):
         run_zone_job(spark, end.isoformat(), depth, base, str(csv), f"{events_root}/date=2024-01-01", missing="skip")
 
-    run_recommendation_job(spark, end.isoformat(), depth, base, str(csv), str(tmp_path / "rec"),
-                           as_of="2024-05-01 12:00:00", missing="skip")
+    counts = run_recommendation_job(spark, end.isoformat(), depth, base, str(csv), str(tmp_path / "rec"),
+                                    as_of="2024-05-01 12:00:00", missing="skip")
+    con = duckdb.connect()
+    for t in ("events", "nation"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    stages = {"events": "ge", "dict_cities": "cities", "user_channels": "uc", "channel_pairs": "chpairs", "contact_pairs": "cp",
+              "pairs_without_contact": "nocontact", "latest_actions": "la", "located_pairs": "pdist", "nearby_pairs": "nb",
+              "zoned_pairs": "nbz", "recommendations": "nbz"}
+    found = con.execute(f"{oracle.BASE} SELECT {', '.join(f'(SELECT count(*) FROM {v}) AS {k}' for k, v in stages.items())}").fetchone()
+    assert counts == dict(zip(stages, found, strict=True))
     rec = spark.read.parquet(str(tmp_path / "rec")).select(
         "user_left", "user_right", F.col("processed_dttm").cast("string"), "zone_id",
         F.col("local_time").cast("timestamp_ntz"))
