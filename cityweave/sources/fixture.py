@@ -74,9 +74,15 @@ def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_city_dictionary(city_text(spark, sf_dir))
 
 
+def _spread(events: DataFrame) -> DataFrame:
+    """A table of fewer splits than cores, such as one small file, is dealt to all cores; others stay as they are."""
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
+
+
 def geo_events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One geo event per driver event, in the flat form the operators use."""
-    ge0 = _table(spark, sf_dir, "events").select(
+    ge0 = _spread(_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")).select(
         "event_id",
         "user_id",
         F.expr(TS_TEXT_EXPR).alias("ts_s"),
