@@ -2,8 +2,10 @@
 
 One permutation ``sigma`` scatters the shingles over 32-bit positions; a
 second, ``pi``, is shifted circularly by k for signature coordinate k:
-``min over shingles of pi(sigma(s) + k mod 2^32)``.  Both are bijections, so
-two permutations give all ``BANDS * ROWS`` coordinates.
+``min over shingles of pi(sigma(s) + k mod 2^32)``.  ``pi`` is a bijection of
+the positions; ``sigma`` mixes 64 bits by a bijection and keeps 32 of them, so
+a few shingles may share a position, which only affects who is a candidate.
+The two give all ``BANDS * ROWS`` coordinates.
 
 A document is an id with a text; its key is the id and the first 128 bits of
 the text's SHA-256, in bytes that sort by id, then digest.  Keys name sets,
@@ -20,8 +22,9 @@ candidates and links.
    centre, in blocks, through an index of the edits.  No pairs leave the block
    but a spanning forest of its links.
 4. Candidates with different centres that still lie in different components
-   are compared pair by pair.  A pair inside one component changes no
-   component, so nothing is lost.
+   are compared in blocks as well, by their whole sets: in each band the sets
+   outside its largest component with all.  A pair inside one component
+   changes no component, so nothing is lost.
 
 Links are confirmed on the whole sets of 64-bit shingle hashes.
 
@@ -54,6 +57,7 @@ BANDS, ROWS = 40, 6
 KEY_BYTES = 24
 BROADCAST_IDS_BYTES = 32 << 20  # a counted id list up to this size is broadcast, a larger one is joined by shuffle
 BLOCK_SETS = 1024  # sets of one centre compared in one task, on either side
+BLOCK_SHINGLES = 1 << 20  # and their shingles, where whole sets are compared
 _CHUNK = 1 << 15  # shingles permuted at once: stays in the processor's cache
 
 
@@ -204,6 +208,19 @@ def links_of_block(members: dict[str, list], far: dict[str, list], percent: int)
     return [(x, find(x)) for x in list(root) if find(x) != x]
 
 
+def _solved(table: pa.Table, sid: str, percent: int) -> pa.Table:
+    """Links of one block: rows marked ``far`` against the others."""
+    far = table["far"].to_numpy()
+
+    def side(rows: pa.Table) -> dict[str, list]:
+        edits = rows["edits"].combine_chunks()
+        values, ends = edits.values.to_numpy(zero_copy_only=False), edits.offsets.to_numpy()
+        return {"sid": rows[sid].to_pylist(), "n": rows["n"].to_pylist(), "edits": [values[i:j] for i, j in zip(ends[:-1], ends[1:], strict=True)]}
+
+    links = links_of_block(side(table.filter(pa.array(~far))), side(table.filter(pa.array(far))), percent)
+    return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
+
+
 def _links_by_centre(edits: DataFrame, percent: int, block: int) -> DataFrame:
     """Links ``(a, b)`` between sets of one centre of which at least one is not near it.
 
@@ -223,16 +240,48 @@ def _links_by_centre(edits: DataFrame, percent: int, block: int) -> DataFrame:
     names = ("b", "mb", "fb", "a", "n", "far", "edits")
 
     def solve(table: pa.Table) -> pa.Table:
-        far = table["far"].to_numpy()
-        parts = ({"sid": p["a"].to_pylist(), "n": p["n"].to_pylist(), "edits": p["edits"].to_pylist()} for p in (table.filter(pa.array(~far)), table.filter(pa.array(far))))
-        links = links_of_block(*parts, percent)
-        return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
+        return _solved(table, "a", percent)
 
     both = members.select(*names).unionByName(others.select(*names))
     # dealt anew by block: rows that lie by centre would leave all its blocks to one task
     return both.repartition("b", "mb", "fb").groupBy("b", "mb", "fb").applyInArrow(solve, "a binary, b binary")
 
 
+def _links_between(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between sets that share a band but neither centre nor component.
+
+    ``placed(band, sid, n, centre, part)``.  In a band, the sets outside its
+    largest component are compared with all, in blocks bounded in sets and in
+    shingles; no pairs leave a block but a spanning forest of its links.
+    """
+    split = placed.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.min("centre").alias("c"), F.max("centre").alias("d"))
+    rows = placed.join(split.where("p <> q and c <> d").select("band"), "band")
+    sizes = rows.groupBy("band", "part").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
+    total, largest = F.struct(F.sum("sets").alias("sets"), F.sum("shingles").alias("shingles")), F.max(F.struct("sets", "shingles", "part"))
+    bands = sizes.groupBy("band").agg(total.alias("all"), largest.alias("main"))
+
+    def blocks(of_sets: str, of_shingles: str) -> Column:
+        return F.ceil(F.greatest(F.expr(of_sets) / BLOCK_SETS, F.expr(of_shingles) / BLOCK_SHINGLES, F.lit(1))).cast("int")
+
+    bands = bands.select(
+        "band",
+        F.col("main.part").alias("main"),
+        blocks("all.sets", "all.shingles").alias("m_blocks"),
+        blocks("all.sets - main.sets", "all.shingles - main.shingles").alias("f_blocks"),
+    )
+    rows = rows.join(bands, "band").select("band", "sid", "n", (F.col("part") != F.col("main")).alias("far"), "m_blocks", "f_blocks")
+    deal, every = F.xxhash64("sid"), lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    members = rows.withColumn("mb", F.pmod(deal, F.col("m_blocks")).cast("int")).withColumn("fb", every("f_blocks")).withColumn("far", F.lit(False))
+    others = rows.where("far").withColumn("fb", F.pmod(deal, F.col("f_blocks")).cast("int")).withColumn("mb", every("m_blocks"))
+    names = ("band", "mb", "fb", "sid", "n", "far")
+    both = members.select(*names).unionByName(others.select(*names)).join(sets.withColumnRenamed("shingles", "edits"), "sid")
+
+    def solve(table: pa.Table) -> pa.Table:
+        return _solved(table, "sid", percent)
+
+    return both.select(*names, "edits").repartition("band", "mb", "fb").groupBy("band", "mb", "fb").applyInArrow(solve, "a binary, b binary").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -246,8 +295,10 @@ def near_duplicates(
     named = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("did"), text_digest(text_col).alias("tag"), F.col(text_col).alias("text"))
     docs = named.select(_key("did", "tag").alias("sid"), "text")
     signed = written(signatures(docs, shingle_words, bands, rows), "signatures").withColumnRenamed("sid", "own")
-    firsts = signed.where("n > 0").groupBy("digest").agg(F.min("own").alias("sid"))
-    named = signed.join(firsts, "digest", "left")
+    # only digests of several rows are joined, from a written table: few are broadcast, a hot one can be split
+    same = signed.where("n > 0").groupBy("digest").agg(F.min("own").alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
+    firsts = written(same.select("digest", "first"), "repeated-sets")
+    named = signed.where("n > 0").join(firsts, "digest", "left").withColumn("sid", F.coalesce("first", "own"))
     members = named.where("own = sid").select("sid", "n", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.min("sid").alias("least"), F.max("sid").alias("most")).where("least <> most")
     buckets = written(members.join(shared.select("band", "least"), "band").distinct(), "buckets")
@@ -262,24 +313,15 @@ def near_duplicates(
 
     # candidates of different centres that still lie in different components
     placed = centres.join(parts, centres["sid"] == parts["node"], "left").select("sid", "centre", F.coalesce("component", "sid").alias("part"))
-    placed = buckets.select("band", "sid", "n").join(placed, "sid")
-    apart = placed.groupBy("band").agg(
-        F.min("part").alias("p"), F.max("part").alias("q"), F.min("centre").alias("c"), F.max("centre").alias("d")
-    )
-    placed = placed.join(apart.where("p <> q and c <> d").select("band"), "band", "left_semi")
-    one, two = (placed.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "centre", "part")]) for s in ("a", "b"))
-    rest = one.join(
-        two,
-        (one["band"] == two["band"])
-        & F.expr("sid_a > sid_b and part_a <> part_b and centre_a <> centre_b and sid_a <> centre_b and sid_b <> centre_a")
-        & F.expr(f"least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {percent}"),
-    )
-    rest = rest.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
-    more = _compared(rest, sets).where(_near(percent)).select("a", "b")
-    parts = connected_components(links.unionByName(more))
-
-    component = F.when(F.col("n") > 0, F.coalesce("component", "sid")).otherwise(F.col("own"))
-    return named.join(parts, named["sid"] == parts["node"], "left").select(
+    more = written(_links_between(buckets.select("band", "sid", "n").join(placed, "sid"), sets, percent), "more-links")
+    if not more.isEmpty():
+        parts = connected_components(links.unionByName(more))
+
+    joined = named.join(parts, named["sid"] == parts["node"], "left").select("own", "n", F.coalesce("component", "sid").alias("component"))
+    # documents without words meet no key of a join
+    every = joined.unionByName(signed.where("n = 0").select("own", "n", F.col("own").alias("component")))
+    component = F.col("component")
+    return every.select(
         F.nullif(_id_of(F.col("own")), F.lit(NO_ID)).alias("did"),
         F.col("n").alias("n_shingles"),
         F.nullif(_id_of(component), F.lit(NO_ID)).alias("component_id"),

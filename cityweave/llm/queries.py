@@ -54,7 +54,8 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2)
-    return rows.select(F.col("did").alias("doc_id"), "n_shingles", "component_id", "kept")
+    kept = F.col("did").eqNullSafe(F.col("component_id"))
+    return rows.select(F.col("did").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cityweave.llm import minhash_dedup, suffix_dedup
+from cityweave.llm import minhash_dedup, queries, suffix_dedup
 from cityweave.llm.components import connected_components
 from cityweave.llm.shared import text_digest
 from cityweave.llm.suffix_sort import GRAM, anchors, common_prefix, multikey_order
@@ -180,6 +180,81 @@ def test_near_duplicates_chain(spark):
     check_near(spark, rows, 2)
 
 
+def linked_components(sets, percent=80):
+    """{id: least id reachable} by comparing all pairs once."""
+    least = {i: i for i in sets}
+
+    def find(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    ids = sorted(sets)
+    for at, a in enumerate(ids):
+        for b in ids[at + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                least[max(x, y)] = min(x, y)
+    return {i: find(i) for i in ids}
+
+
+def test_many_sets_of_one_centre_and_many_empty_texts(spark):
+    """More far sets of one centre than a block holds; a third of the texts without words."""
+    rng = random.Random(31)
+    base, places = words(rng, 200), list(range(5, 195, 3))
+    rows = [(0, " ".join(base), "en", "s", 1)]
+    for i in range(1, 1101):
+        w, family = list(base), random.Random(i % 90)
+        for at in family.sample(places, 12):
+            w[at] = f"w{i % 90}x{at}"
+        w[1] = f"own{i}"
+        rows.append((i, " ".join(w), "en", "s", 1))
+    rows += [(2000 + i, (None, "", " \n ")[i % 3], "en", "s", 1) for i in range(550)]
+    want = linked_components({r[0]: shingles(r[1], 2) for r in rows})
+    got = minhash_dedup.near_duplicates(edge_table(spark, rows), shingle_words=2).collect()
+    assert {r["did"]: r["component_id"] for r in got} == want and len(got) == len(rows)
+    assert 3 < len({c for i, c in want.items() if i < 2000}) < 200
+
+
+@pytest.mark.parametrize("block_sets, block_shingles", [(4, 1 << 20), (1024, 300)])
+def test_near_duplicates_in_small_blocks(spark, monkeypatch, block_sets, block_shingles):
+    monkeypatch.setattr(minhash_dedup, "BLOCK_SETS", block_sets)
+    monkeypatch.setattr(minhash_dedup, "BLOCK_SHINGLES", block_shingles)
+    rng = random.Random(9)
+    w = words(rng, 400)
+    check_near(spark, [(1000 - i, " ".join(w[i * 8 : i * 8 + 100]), "en", "s", 1) for i in range(30)], 2)
+
+
+@pytest.mark.parametrize("block_sets, block_shingles", [(1024, 1 << 20), (3, 1 << 20), (1024, 100)])
+def test_links_between_centres(spark, monkeypatch, block_sets, block_shingles):
+    """One band of sets with centres of their own: its links join what all pairs would."""
+    monkeypatch.setattr(minhash_dedup, "BLOCK_SETS", block_sets)
+    monkeypatch.setattr(minhash_dedup, "BLOCK_SHINGLES", block_shingles)
+    rng = random.Random(4)
+    sets = {}
+    for i in range(40):
+        low = 1000 * (i % 9)
+        sets[i] = frozenset(low + k for k in range(40) if rng.random() < 0.93)
+    key = lambda i: bytes([i])
+    part = {i: 0 if i % 9 == 0 else i for i in sets}  # sets of one component in a band with others
+    placed = spark.createDataFrame([(7, bytearray(key(i)), len(sets[i]), bytearray(key(i)), bytearray(key(part[i]))) for i in sets], "band bigint, sid binary, n bigint, centre binary, part binary")
+    table = spark.createDataFrame([(bytearray(key(i)), sorted(sets[i])) for i in sets], "sid binary, shingles array<bigint>")
+    links = minhash_dedup._links_between(placed, table, 80).collect()
+    joined = dict(part)
+    for _ in sets:
+        for r in links:
+            a, b = r["a"][0], r["b"][0]
+            assert a % 9 == b % 9
+            low = min(joined[a], joined[b])
+            joined = {i: low if c in (joined[a], joined[b]) else c for i, c in joined.items()}
+    want = linked_components(sets)
+    for i in sets:  # sets that were one component before stay one
+        if i % 9 == 0:
+            want[i] = 0
+    assert joined == want
+
+
 def several_texts_rows():
     """Two texts and more under no id and under one id, with near copies under other ids."""
     rng = random.Random(12)
@@ -216,6 +291,13 @@ def test_near_duplicates_several_texts_under_one_id(spark):
         assert (r["component_id"], r["kept"]) == want[r["did"], bytes(r["tag"])]
 
 
+def test_kept_of_the_query_is_by_id(spark, tmp_path):
+    """The query's ``kept`` says that the id is its component's, whichever of its texts the row holds."""
+    edge_table(spark, several_texts_rows()[0]).write.parquet(f"{tmp_path}/documents.parquet")
+    for r in queries.op6_minhash_dedup(spark, str(tmp_path)).collect():
+        assert r["kept"] == (r["doc_id"] == r["component_id"])
+
+
 def test_near_duplicate_stage_several_texts_under_one_id(spark):
     rows, _ = several_texts_rows()
     least = least_documents(rows, 5)
