@@ -59,7 +59,8 @@ class Features:
     def __call__(self, text: bytes) -> np.ndarray:
         rows = []
         for at in range(0, max(1, len(text)), BLOCK):
-            block = text[max(0, min(at, len(text) - BLOCK)) :][:BLOCK]  # the last block is a full one too
+            begin = max(0, min(at, len(text) - BLOCK))  # the last block is a full one too
+            block = text[begin : begin + BLOCK]
             bad, good, none = (len(c.compress(block)) for c in self._parts)
             size = max(32, len(block))
             rows.append(((bad - good) / max(bad, good), good / size, none / size, bad / size))
