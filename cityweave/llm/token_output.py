@@ -1,6 +1,6 @@
 """Token ids as Parquet list columns.
 
-Texts are range-partitioned by id and sorted, encoded in place and written
+Texts are range-partitioned by id and text hash and sorted, encoded in place and written
 with Spark's Parquet writer: one ``ids`` list column (dictionary or delta
 encoding), row groups and pages of a chosen size, column and page indexes as
 the writer makes them.  Reads of metadata touch no ids; reads of an id range
@@ -47,7 +47,7 @@ def encode_sorted(docs: DataFrame, vocabulary: str, end_id: int | None, id_col:
     tail = b"" if end_id is None else array("I", [end_id]).tobytes()
     ordered = (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
+        .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "id", F.xxhash64("text"))  # one id may hold many rows
         .withColumn("part", F.spark_partition_id())
         .sortWithinPartitions("id", F.xxhash64("text"))
         .select("id", "part", "text")

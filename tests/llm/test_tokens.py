@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cityweave.llm import best_fit_packing, bpe_codec, token_counts, token_output
@@ -100,6 +101,17 @@ def test_token_files(spark, word_tok, encoding):
     assert order == sorted(order, key=lambda i: (i is not None, i or 0))
 
 
+def test_token_files_spread_a_hot_id(spark, tmp_path):
+    """A third of the rows under no id, and a third under one, lie in many partitions."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text number {i} of them", "en", "s", 1) for i in range(600)]
+    token_output.write_token_files(edge_table(spark, rows), str(tmp_path / "t"), WORD)
+    files = spark.read.parquet(str(tmp_path / "t"))
+    assert files.groupBy("part").count().agg(F.max("count")).first()[0] < 200
+    got = token_output.read_token_files(spark, str(tmp_path / "t"), ("id", "start", "n_tokens")).orderBy("start").collect()
+    assert [r["id"] for r in got] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i or 0))
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(got, got[1:], strict=False))
+
+
 def test_token_file_layout(spark, tmp_path):
     import pyarrow.parquet as pq
 
