@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cityweave.session import delete_at_exit
+
 # Rows per Arrow batch; texts of many kilobytes keep a batch at some megabytes.
 BATCH_ROWS = 500
 
@@ -32,8 +34,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
-    """A fresh table path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh table path in the shared folder; its files go when the driver ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    delete_at_exit(spark, path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
