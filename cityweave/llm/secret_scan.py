@@ -5,6 +5,12 @@ text).  The ledger holds one row for each (blob, rule, rule version) ever
 scanned, findings or none; a run scans only the pairs that it lacks, each
 distinct blob once, and joins the findings back to all paths with that blob.
 
+The ledger is stored in batches, ``<ledger>/batch-<id>``.  A run writes its
+batch beside them and renames it when it is whole, so a killed run leaves none
+and the next one scans its pairs again; two runs at once may both add a pair,
+which counts once.  Entries name content and rule version only, so they hold
+for any table; a changed pattern needs a new version.
+
 Spans come from two views of one regular expression: the matches, and the
 texts between them.  A match starts where the texts and matches before it
 end, a running sum over the blob's matches; no row-at-a-time code.
@@ -16,12 +22,13 @@ extra columns are not read.  An empty table gives none.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cityweave.llm.shared import written
+from cityweave.llm.shared import shared_folder, written
 
 
 @dataclass(frozen=True)
@@ -96,13 +103,53 @@ def new_entries(versions: DataFrame, ledger: DataFrame | None = None, rules: tup
     )
 
 
+def default_ledger(spark: SparkSession) -> str:
+    """Path of the ledger that runs share unless they name their own."""
+    return f"{shared_folder(spark).rstrip('/')}/secret-ledger"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
+    """Rows of the ledger's whole batches; None if there is none yet."""
+    folder, files = _hadoop(spark, path)
+    if not files.exists(folder):
+        return None
+    batches = [b.getPath().toString() for b in files.listStatus(folder) if b.getPath().getName().startswith("batch-")]
+    return spark.read.schema(LEDGER).parquet(*batches) if batches else None
+
+
+def append_entries(entries: DataFrame, path: str) -> None:
+    """Add ``entries`` to the ledger as one batch, in one rename; no batch without entries."""
+    spark = entries.sparkSession
+    name = uuid.uuid4().hex
+    entries.write.parquet(f"{path}/_new-{name}")
+    staged, files = _hadoop(spark, f"{path}/_new-{name}")
+    if spark.read.schema(LEDGER).parquet(staged.toString()).isEmpty():
+        files.delete(staged, True)
+    elif not files.rename(staged, _hadoop(spark, f"{path}/batch-{name}")[0]):
+        raise OSError(f"batch of the ledger not added: {staged}")
+
+
+def scan(versions: DataFrame, path: str, rules: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
+    """Scan the pairs of ``versions(digest, text)`` that the ledger at ``path`` lacks, add them, and return the ledger."""
+    spark = versions.sparkSession
+    append_entries(new_entries(versions, read_ledger(spark, path), rules), path)
+    ledger = read_ledger(spark, path)
+    return spark.createDataFrame([], LEDGER) if ledger is None else ledger
+
+
 def findings_by_blob(ledger: DataFrame, rules: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
     """``digest, findings`` of the blobs with any: spans by start, then rule order."""
     order = {r.name: i for i, r in enumerate(rules)}
     current = ledger.where(F.concat_ws("@", "rule", "version").isin([f"{r.name}@{r.version}" for r in rules]))
     rank = F.create_map(*[F.lit(x) for r in rules for x in (r.name, order[r.name])])[F.col("rule")]
     one = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), rank.alias("rank"), s["end"].alias("end"), F.col("rule").alias("rule")))
-    return current.where(F.size("spans") > 0).groupBy("digest").agg(F.sort_array(F.flatten(F.collect_list(one))).alias("findings"))
+    current = current.where(F.size("spans") > 0).dropDuplicates(["digest", "rule", "version"])
+    return current.groupBy("digest").agg(F.sort_array(F.flatten(F.collect_list(one))).alias("findings"))
 
 
 def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
