@@ -1,12 +1,17 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches.
 
 Per document a few counts are taken (base rules), then ratios of them.  For
-every (language, source) a KLL sketch of each ratio is aggregated (partial
-sketches merge map-side, so a hot source costs no more than another); the
-sketches of small groups are replaced by their language's, or by all
-documents', merged from the group sketches, not from the rows.  A document
-fails if a ratio exceeds its group's upper fence, ``q75 + reach * (q75 - q25)``,
-and the rule's least limit, below which a value never counts as unusual.
+every (language, source) a KLL sketch of each ratio is aggregated over the
+documents that pass the base rules (partial sketches merge map-side, so a hot
+source costs no more than another).  A group's limit is the quantile ``level``
+of its own sketch, drawn towards its language's and that towards all
+documents' in proportion to ``PRIOR`` documents, so that small groups lean on
+larger ones and nothing switches at a size.  The wider sketches are merged
+from the group sketches, not from the rows.  No limit exceeds ``CAP`` times
+the median group's, so a source that is dirty as a whole doesn't set its own
+measure, however many rows it has.  A document fails if a ratio exceeds its
+group's limit; ``LEAST`` only stands in where a limit is next to nothing, as
+where nearly all ratios are 0.
 
 Defined results: null or empty text has no words and fails the base rule;
 null language or source is a group of its own; repeated rows count repeatedly;
@@ -29,25 +34,27 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SKETCH_K = 2048
-MIN_GROUP = 200  # documents below which a group takes its language's sketch
+LEVEL = 0.98  # a group's documents above this quantile of its ratio fail
+PRIOR = 200  # documents that a wider sketch counts for in a narrower one's limit
+CAP = 3.0  # limits in terms of the median group's
+LEAST = 0.02  # one in fifty is never unusual
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``over / under`` of the counts; ``least``: values up to it never fail."""
+    """``over / under`` of the counts; values above the quantile ``level`` of a group fail."""
 
     name: str
     over: str
     under: str
-    least: float
-    reach: float = 6.0
+    level: float = LEVEL
 
 
 RULES = (
-    Rule("symbols", "n_symbols", "word_chars", 0.05),
-    Rule("dup_lines", "n_dup_lines", "n_lines", 0.5),
-    Rule("repeats", "n_repeat_words", "n_words", 0.3),
+    Rule("symbols", "n_symbols", "word_chars"),
+    Rule("dup_lines", "n_dup_lines", "n_lines"),
+    Rule("repeats", "n_repeat_words", "n_words"),
 )
 
 
@@ -102,10 +109,14 @@ def _ratio(rule: Rule) -> Column:
     return F.col(rule.over) / F.greatest(F.col(rule.under), F.lit(1))
 
 
-def thresholds(counted: DataFrame, n_groups: int = 2, rules: tuple[Rule, ...] = RULES, min_group: int = MIN_GROUP) -> DataFrame:
-    """``g0.., limit_<rule>`` for each group of ``counted``."""
+def base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
+
+
+def thresholds(counted: DataFrame, n_groups: int = 2, rules: tuple[Rule, ...] = RULES, prior: float = PRIOR) -> DataFrame:
+    """``g0.., limit_<rule>`` for each group of ``counted`` with a document that passes the base rules."""
     groups = [f"g{i}" for i in range(n_groups)]
-    sketches = counted.where("n_words > 0").groupBy(*groups).agg(
+    sketches = counted.where(~base_failed()).groupBy(*groups).agg(
         F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(_ratio(r), F.lit(SKETCH_K)).alias(r.name) for r in rules]
     )
     sketches = written(sketches, "sketches")
@@ -118,13 +129,17 @@ def thresholds(counted: DataFrame, n_groups: int = 2, rules: tuple[Rule, ...] =
     joined = sketches.join(wide, F.col("g0").eqNullSafe(F.col("g0_wide")), "left")
 
     def limit(rule: Rule) -> Column:
-        every = sketches.select(merged(rule)).scalar()  # one row
+        def q(sketch: Column) -> Column:
+            return F.kll_sketch_get_quantile_double(sketch, F.lit(rule.level))
 
-        def q(part: float) -> Column:
-            own, lang, all_docs = (F.kll_sketch_get_quantile_double(c, F.lit(part)) for c in (F.col(rule.name), F.col(f"{rule.name}_wide"), every))
-            return F.when(F.col("n") >= min_group, own).when(F.col("n_wide") >= min_group, lang).otherwise(all_docs)
+        def drawn(own: Column, n: str, wider: Column) -> Column:
+            return (F.col(n) * own + F.lit(prior) * wider) / (F.col(n) + F.lit(prior))
 
-        return F.greatest(F.lit(rule.least), q(0.75) + F.lit(rule.reach) * (q(0.75) - q(0.25))).alias(f"limit_{rule.name}")
+        every = q(sketches.select(merged(rule)).scalar())  # one row, as the median
+        median = sketches.select(F.percentile_approx(q(F.col(rule.name)), 0.5)).scalar()
+        lang = drawn(q(F.col(f"{rule.name}_wide")), "n_wide", every)
+        own = drawn(q(F.col(rule.name)), "n", lang)
+        return F.greatest(F.lit(LEAST), F.least(own, F.lit(CAP) * median)).alias(f"limit_{rule.name}")
 
     return joined.select(*groups, *[limit(r) for r in rules])
 
@@ -142,9 +157,8 @@ def quality_rules(
     for i in range(len(group_cols)):
         limits = limits.withColumnRenamed(f"g{i}", f"h{i}")
     same = [F.col(f"g{i}").eqNullSafe(F.col(f"h{i}")) for i in range(len(group_cols))]
-    base = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     failed = F.filter(
         F.array(*[F.when(_ratio(r) > F.coalesce(f"limit_{r.name}", F.lit(float("inf"))), F.lit(r.name)) for r in rules]), F.isnotnull
     )
-    rows = counted.join(limits, same, "left").select("id", *COUNTS, base.alias("base_failed"), failed.alias("failed_rules"))
+    rows = counted.join(limits, same, "left").select("id", *COUNTS, base_failed().alias("base_failed"), failed.alias("failed_rules"))
     return rows.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -43,31 +44,69 @@ def test_rule_counts(spark, source):
         assert not (r["base_failed"] and r["kept"])
 
 
-def test_thresholds_follow_the_group(spark):
-    """A ratio that is common in one source fails in another."""
+def brute_limits(rows, rule):
+    """{(lang, source): limit} of ``rows`` ((lang, source), ratios by rule) that pass the base rules."""
+    def high(x):
+        return float(np.quantile(x, quality_rules.LEVEL, method="inverted_cdf"))
+
+    groups, langs, every = {}, {}, []
+    for group, x in rows:
+        groups.setdefault(group, []).append(x[rule])
+        langs.setdefault(group[0], []).append(x[rule])
+        every.append(x[rule])
+    middle = sorted(high(x) for x in groups.values())[(len(groups) - 1) // 2]
+    prior, out = quality_rules.PRIOR, {}
+    for group, x in groups.items():
+        lang = langs[group[0]]
+        wide = (len(lang) * high(lang) + prior * high(every)) / (len(lang) + prior)
+        own = (len(x) * high(x) + prior * wide) / (len(x) + prior)
+        out[group] = max(quality_rules.LEAST, min(own, quality_rules.CAP * middle))
+    return out
+
+
+def test_verdicts_against_brute_force(spark):
+    """Large and small groups, a small language, null groups: limits and verdicts of every row."""
+    rng = random.Random(3)
+    rows = edge_rows()
+    for i in range(900):
+        lang, source = rng.choice([("en", "a"), ("en", "a"), ("en", "b"), ("de", "a"), (None, "a"), ("en", None)])
+        w = [x + "&" * (rng.random() < rng.choice([0, 0.02, 0.2])) for x in words(rng, 80)]
+        w += w[:3] * rng.choice([0, 0, 0, 1, 4])
+        lines = [" ".join(w[j : j + 8]) for j in range(0, len(w), 8)]
+        rows.append((9000 + i, "\n".join(lines + lines[:1] * rng.choice([0, 0, 0, 1, 3])), lang, source, 1))
+    rows += [(8000, rows[-1][1], "fi", "tiny", 1), (8001, " ".join(words(rng, 60)), "fi", "tiny", 1)]
+    counted = {}
+    for i, text, lang, source, _ in rows:
+        n, chars, symbols, dups, repeats = brute_counts(text)
+        lines = len([x for x in (text or "").split("\n") if WORD.search(x)])
+        x = {"symbols": symbols / max(1, chars), "dup_lines": dups / max(1, lines), "repeats": repeats / max(1, n)}
+        counted[i] = ((lang, source), x, n < 50 or 100 * repeats > 50 * n)
+    passing = [(g, x) for g, x, failed in (counted[r[0]] for r in rows) if not failed]
+    limits = {rule.name: brute_limits(passing, rule.name) for rule in quality_rules.RULES}
+    got = quality_rules.quality_rules(edge_table(spark, rows)).collect()
+    assert len(got) == len(rows)
+    fails = set()
+    for r in got:
+        group, x, failed = counted[r["id"]]
+        if not failed:
+            want = [name for name, at in limits.items() if x[name] > at[group]]
+            assert r["failed_rules"] == want, r["id"]
+            fails.update(want)
+            assert r["kept"] == (not want)
+    assert fails == {"symbols", "dup_lines", "repeats"}
+
+
+def test_a_dirty_source_does_not_set_its_measure(spark):
+    """A ratio that every document of the largest source has fails there too; clean sources stay whole."""
     rng = random.Random(1)
     rows = []
     for i in range(900):
         w = words(rng, 80)
-        if i % 3 == 0:  # a source full of markup
+        if i % 2 == 0:  # half of all rows: one source full of markup
             w = [x + "&" if rng.random() < 0.5 else x for x in w]
-        rows.append((i, " ".join(w), "en", f"s{i % 3}", 1))
-    rows.append((5000, " ".join(x + "&" for x in words(rng, 80)), "en", "s1", 1))
-    got = {r["id"]: (r["kept"], r["failed_rules"]) for r in quality_rules.quality_rules(edge_table(spark, rows)).collect()}
-    assert got[5000] == (False, ["symbols"])
-    assert all(got[i][0] for i in range(900))
-
-
-def test_thresholds_equal_quantiles(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("source", F.lit("s"))
-    counted = quality_rules.counts(docs, "doc_id", "text", ("lang", "source"))
-    limits = {r["g0"]: r["limit_repeats"] for r in quality_rules.thresholds(counted, min_group=1).collect()}
-    by_lang = {}
-    for r in counted.where("n_words > 0").collect():
-        by_lang.setdefault(r["g0"], []).append(r["n_repeat_words"] / max(1, r["n_words"]))
-    for lang, x in by_lang.items():
-        lo, hi = np.quantile(x, [0.25, 0.75], method="inverted_cdf")
-        assert limits[lang] == pytest.approx(max(0.3, hi + 6 * (hi - lo)), abs=0.02)
+        rows.append((i, " ".join(w), "en", f"s{0 if i % 2 == 0 else 1 + i % 5}", 1))
+    got = {r["id"]: r["failed_rules"] for r in quality_rules.quality_rules(edge_table(spark, rows)).collect()}
+    assert all(got[i] == (["symbols"] if i % 2 == 0 else []) for i in range(900))
 
 
 def test_quality_rules_empty_table(spark):
@@ -101,6 +140,15 @@ def test_classifier_edges(spark):
     assert quality_classifier.classify(edge_table(spark, []), labels).count() == 0
 
 
+def test_features_of_very_long_texts_are_linear():
+    features = quality_classifier.Features(b"", b"")
+    text = bytes(64 << 20)
+    started = time.process_time()
+    long = features(text)
+    assert time.process_time() - started < 60  # copies of the rest of the text alone would take minutes
+    assert long[0] == features(text[: 1 << 20])[0]
+
+
 SECRETS = [
     (501, 'say password = "abcdefgh" and token:short, API_KEY=aaaa.bbbb/cc', "en", "s", 1),
     (502, "secret=token: abcdefghij secret=token=abcdefghij", "en", "s", 1),
@@ -146,6 +194,40 @@ def test_ledger_scans_only_what_is_new(spark):
     assert found[0]["findings"] == found[1]["findings"]
 
 
+def test_stored_ledger(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "ledger")
+    scanned = []
+    plain = secret_scan.append_entries
+    monkeypatch.setattr(secret_scan, "append_entries", lambda entries, at: (scanned.append(entries.count()), plain(entries, at)))
+
+    def spans(rows, rules=secret_scan.BASE_RULES):
+        versions = secret_scan.with_digest(edge_table(spark, rows).drop("path", "digest"))
+        found = secret_scan.findings(versions, secret_scan.scan(versions, path, rules), rules).collect()
+        return sorted((r["path"], [(f["rule"], f["start"], f["end"]) for f in r["findings"] or ()]) for r in found)
+
+    want = sorted((r[0], brute_spans(r[1])) for r in SECRETS[:5])
+    assert spans(SECRETS[:5]) == want and spans(SECRETS[:5]) == want
+    assert spans([(99, SECRETS[0][1], "en", "s", 1)]) == [(99, brute_spans(SECRETS[0][1]))]  # a known blob on a new path
+    assert scanned == [15, 0, 0]
+    newer = (*secret_scan.BASE_RULES[:2], secret_scan.Rule("hex", r"[0-9a-f]{40,}", version="2"))
+    changed = spans(SECRETS[:5], newer)
+    assert scanned[-1] == 5 and [x for x, _ in changed] == [x for x, _ in want]
+
+    def killed(entries, at):
+        entries.write.parquet(f"{at}/_new-killed")
+        raise RuntimeError("killed")
+
+    whole = secret_scan.append_entries
+    monkeypatch.setattr(secret_scan, "append_entries", killed)
+    with pytest.raises(RuntimeError):
+        spans(SECRETS)
+    monkeypatch.setattr(secret_scan, "append_entries", whole)
+    assert spans(SECRETS) == sorted((r[0], brute_spans(r[1])) for r in SECRETS) and scanned[-1] == 9
+    entries = secret_scan.read_ledger(spark, path)
+    plain(entries, path)  # another run added the same pairs
+    assert spans(SECRETS) == sorted((r[0], brute_spans(r[1])) for r in SECRETS) and scanned[-1] == 0
+
+
 def test_redacted(spark):
     versions = secret_scan.with_digest(edge_table(spark, SECRETS + edge_rows()[:9]).drop("path", "digest"))
     found = secret_scan.findings(versions, secret_scan.new_entries(versions)).select("digest", "findings").distinct()
