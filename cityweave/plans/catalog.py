@@ -19,9 +19,10 @@ from cityweave.functions.calendar import iso_week_of, local_time, month_of
 from cityweave.functions.parsing import event_time
 from cityweave.operators import nearest as nearest_ops
 from cityweave.operators import pair_classes, profile, social, zones
-from cityweave.session import checkpoint_dir, prepare_session
+from cityweave.session import checkpoint_dir, delete_at_exit, prepare_session
 from cityweave.sources import fixture
 from cityweave.sources.cities import read_cities
+from cityweave.sources.contract import EVENT_CONTRACT
 from cityweave.sources.events import date_window, flatten_events, read_events
 
 # Parameters of the fixed-parameter queries (shared with the oracle).
@@ -158,6 +159,7 @@ def window_events(spark, sf_dir):
     CSV dictionary to the shared folder, a window read back, cities attached."""
     events, _ = _inputs(spark, sf_dir)
     root = f"{checkpoint_dir(spark).rstrip('/')}/log-{uuid.uuid4().hex}"
+    delete_at_exit(spark, root)
     fixture.geo_events(spark, sf_dir).write.partitionBy("date").parquet(f"{root}/events")
     fixture.city_text(spark, sf_dir).write.option("header", True).option("sep", ";").csv(f"{root}/cities")
     window = flatten_events(read_events(spark, f"{root}/events/date", WINDOW_PROCESS_DATE, WINDOW_DEPTH, missing="skip"))
@@ -165,6 +167,27 @@ def window_events(spark, sf_dir):
     return _event_city_rows(found)
 
 
+def window_events_contract(spark, sf_dir):
+    """A window of three layouts read by the event contract: ids narrower on some days, fields missing on others."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/log-{uuid.uuid4().hex}"
+    delete_at_exit(spark, root)
+    log, event = fixture.geo_events(spark, sf_dir), F.col("event")
+    narrow = event.withField("message_to", event["message_to"].cast("int")).withField("subscription_channel", event["subscription_channel"].cast("smallint"))
+    fewer = event.dropFields("message_to", "reaction_from")
+    for at, of_day in enumerate((event, narrow, fewer)):
+        days = log.where(F.dayofmonth(F.col("date").cast("date")) % 3 == at)
+        days.withColumn("event", of_day).write.mode("append").partitionBy("date").parquet(f"{root}/events")
+    window = read_events(spark, f"{root}/events/date", WINDOW_PROCESS_DATE, WINDOW_DEPTH, missing="skip", contract=EVENT_CONTRACT)
+    flat = flatten_events(window)
+    return flat.groupBy(F.col("date").cast("string").alias("day"), "event_type").agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.sum("message_id").alias("sum_message_id"),
+        F.sum("message_to").alias("sum_message_to"),
+        F.sum("subscription_channel").alias("sum_channel"),
+        F.count("reaction_from").alias("n_reaction_from"),
+    )
+
+
 # --- profile mart -------------------------------------------------------------
 
 
@@ -406,6 +429,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nearest_city_many": nearest_city_many,
     "nearest_city_one_place": nearest_city_one_place,
     "window_events": window_events,
+    "window_events_contract": window_events_contract,
     "per_city_counts": per_city_counts,
     "current_city": current_city,
     "home_city": home_city,

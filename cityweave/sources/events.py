@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cityweave.sources.contract import reconciled
+
 # Fields of the nested ``event`` struct the marts read, with the flat name
 # each one gets.  ``event.user`` becomes ``usr`` (``user`` is an SQL keyword).
 EVENT_FIELDS = (
@@ -79,13 +81,16 @@ def read_events(
     depth: int,
     missing: str = "error",
     schema: StructType | str | None = None,
+    contract: StructType | str | None = None,
 ) -> DataFrame:
     """Events of the ``depth`` days ending at ``process_date``.
 
     Only the window's day folders are listed, never the whole log; ``basePath``
     keeps the ``date`` column.  A missing day is an error; ``missing="skip"``
     warns and reads the others, but a window without any day is an error
-    either way.  With ``schema`` no file is opened to infer one.
+    either way.  With ``schema`` no file is opened to infer one.  With
+    ``contract`` the footers of every day are reconciled with it first
+    (``sources.contract``), and the window is read by it in one scan.
     """
     if missing not in ("skip", "error"):
         raise ValueError(f"missing must be 'skip' or 'error', got {missing!r}")
@@ -95,10 +100,13 @@ def read_events(
         raise FileNotFoundError(f"no events for {len(absent)} of {len(paths)} days: {', '.join(absent)}")
     if absent:
         warnings.warn(f"events of {len(absent)} days are missing: {', '.join(absent)}", stacklevel=2)
+    present = [p for p in paths if p not in absent]
+    if contract is not None:
+        schema = reconciled(spark, present, contract)
     root = base_path.rstrip("/").rsplit("/", 1)[0]
     reader = spark.read.option("basePath", root)
     reader = reader.schema(schema) if schema is not None else reader
-    return reader.parquet(*[p for p in paths if p not in absent])
+    return reader.parquet(*present)
 
 
 def flatten_events(events: DataFrame) -> DataFrame:
