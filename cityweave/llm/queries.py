@@ -40,7 +40,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = secret_scan.with_digest(_table(spark, sf_dir, "documents"))
-    rows = secret_scan.findings(versions, secret_scan.scan(versions, secret_scan.default_ledger(spark)))
+    rows = secret_scan.findings(versions, secret_scan.scan(versions, secret_scan.ledger_path(spark)))
 
     def count(kind: str):
         return F.coalesce(F.size(F.filter("findings", lambda f: f["rule"] == kind)), F.lit(0)).cast("bigint").alias(f"n_{kind}")

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cityweave.llm.shared import shared_folder, written
+from cityweave.llm.shared import new_table_path, written
 
 
 @dataclass(frozen=True)
@@ -103,9 +103,12 @@ def new_entries(versions: DataFrame, ledger: DataFrame | None = None, rules: tup
     )
 
 
-def default_ledger(spark: SparkSession) -> str:
-    """Path of the ledger that runs share unless they name their own."""
-    return f"{shared_folder(spark).rstrip('/')}/secret-ledger"
+LEDGER_CONF = "spark.cityweave.secretLedger"
+
+
+def ledger_path(spark: SparkSession) -> str:
+    """The ledger that the session names in ``LEDGER_CONF``; without one, a ledger of this call alone, which scans every blob."""
+    return spark.conf.get(LEDGER_CONF, None) or new_table_path(spark, "secret-ledger")
 
 
 def _hadoop(spark: SparkSession, path: str):

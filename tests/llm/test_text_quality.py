@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cityweave.llm import exact_topk, quality_classifier, quality_rules, secret_scan
+from cityweave.llm import exact_topk, quality_classifier, quality_rules, queries, secret_scan
 
 from .cases import edge_rows, edge_table, words
 
@@ -228,6 +228,22 @@ def test_stored_ledger(spark, tmp_path, monkeypatch):
     assert spans(SECRETS) == sorted((r[0], brute_spans(r[1])) for r in SECRETS) and scanned[-1] == 0
 
 
+def test_the_query_keeps_the_ledger_that_the_session_names(spark, tmp_path):
+    edge_table(spark, SECRETS).drop("path", "digest").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def rows():
+        return sorted(map(tuple, queries.op5_secret_scan(spark, str(tmp_path)).collect()))
+
+    want = rows()  # no ledger named: every blob is scanned, nothing stays
+    spark.conf.set(secret_scan.LEDGER_CONF, f"{tmp_path}/ledger")
+    try:
+        assert rows() == want and rows() == want
+        ledger = secret_scan.read_ledger(spark, f"{tmp_path}/ledger")
+        assert ledger.count() == 3 * len(SECRETS) and len({f.rsplit("/", 2)[-2] for f in ledger.inputFiles()}) == 1
+    finally:
+        spark.conf.unset(secret_scan.LEDGER_CONF)
+
+
 def test_redacted(spark):
     versions = secret_scan.with_digest(edge_table(spark, SECRETS + edge_rows()[:9]).drop("path", "digest"))
     found = secret_scan.findings(versions, secret_scan.new_entries(versions)).select("digest", "findings").distinct()
