@@ -53,7 +53,7 @@ def repeated_text_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     versions = secret_scan.with_digest(docs)
-    ledger = secret_scan.scan(versions, secret_scan.default_ledger(spark))
+    ledger = secret_scan.scan(versions, secret_scan.ledger_path(spark))
     found = written(secret_scan.findings_by_blob(ledger), "findings")
     joined = docs.select(*COLUMNS, digest.alias("digest")).join(found, "digest", "left")
     text = secret_scan.redacted(F.col("text"), F.col("findings"))
