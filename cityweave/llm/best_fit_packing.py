@@ -75,47 +75,51 @@ def vector_best_fit(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Sequence number and offset of each piece.
 
-    Open sequences are kept by residual tokens; within one such class the
-    candidate is the one with the most residual attention cost and documents.
-    The classes' candidates are scored together as arrays.  A piece that alone
-    exceeds a capacity gets a sequence of its own.
+    Open sequences of equal residuals are one kind (of its members the least
+    number is taken); every piece is scored against all kinds at once, so the
+    choice is that of an exhaustive search.  A piece that alone exceeds a
+    capacity gets a sequence of its own.
     """
     order = np.argsort(-lengths, kind="stable")
     sequence, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
-    classes: list[list[tuple[int, int, int]]] = [[] for _ in range(size + 1)]  # heaps of (-cost, -docs, number)
-    docs_left, cost_left = np.full(size + 1, -1.0), np.full(size + 1, -1.0)  # of each class's candidate; -1: none
-    tokens_left = np.arange(size + 1, dtype=float)
-    w = np.array(weights) / np.array([size, max_docs, max_cost], float)
-    scaled = [w[0] * tokens_left, w[1], w[2]]
+    w = np.array(weights)[:, None] / np.array([[size], [max_docs], [max_cost]], float)
+    room = np.full((3, 64), -1.0)  # residual tokens, documents, cost of each kind; negative: slot not used
+    members: list[list[int]] = []  # heap of sequence numbers of each slot
+    slots: dict[tuple[int, int, int], int] = {}
+    free: list[int] = []
     opened = 0
-
-    def refresh(r: int) -> None:
-        docs_left[r], cost_left[r] = (-classes[r][0][1], -classes[r][0][0]) if classes[r] else (-1.0, -1.0)
-
     for i in order.tolist():
         n = int(lengths[i])
-        cost = n * n
-        best = -1
-        if n < size:
-            fits = (docs_left[n:] >= 1) & (cost_left[n:] >= cost)
-            if fits.any():
-                if score == "norm":
-                    left = ((scaled[0][n:] - w[0] * n) ** 2 + (scaled[1] * (docs_left[n:] - 1)) ** 2 + (scaled[2] * (cost_left[n:] - cost)) ** 2)
-                    best = n + int(np.argmin(np.where(fits, left, np.inf)))
-                else:
-                    dot = w[0] ** 2 * n * tokens_left[n:] + w[1] ** 2 * docs_left[n:] + w[2] ** 2 * cost * cost_left[n:]
-                    best = n + int(np.argmax(np.where(fits, dot, -np.inf)))
-        if best < 0:
-            number, r, d, c = opened, size, max_docs, max_cost
-            opened += 1
+        need = np.array([[n], [1], [n * n]], float)
+        now = room[:, : len(members)]
+        left = now - need
+        fits = (left >= 0).all(axis=0)
+        if fits.any():
+            points = ((w * left) ** 2).sum(axis=0) if score == "norm" else -(w * w * need * now).sum(axis=0)
+            slot = int(np.argmin(np.where(fits, points, np.inf)))
+            kind = tuple(int(x) for x in room[:, slot])
+            number = heapq.heappop(members[slot])
+            if not members[slot]:
+                room[:, slot] = -1.0
+                del slots[kind]
+                heapq.heappush(free, slot)
         else:
-            neg_cost, neg_docs, number = heapq.heappop(classes[best])
-            refresh(best)
-            r, d, c = best, -neg_docs, -neg_cost
-        sequence[i], offset[i] = number, size - r
-        if r - n > 0 and d > 1 and c - cost > 0:
-            heapq.heappush(classes[r - n], (cost - c, 1 - d, number))
-            refresh(r - n)
+            number, kind = opened, (size, max_docs, max_cost)
+            opened += 1
+        sequence[i], offset[i] = number, size - kind[0]
+        rest = (kind[0] - n, kind[1] - 1, kind[2] - n * n)
+        if min(rest) <= 0:
+            continue
+        if rest not in slots:
+            if free:
+                slots[rest] = heapq.heappop(free)
+            else:
+                slots[rest] = len(members)
+                members.append([])
+                if len(members) > room.shape[1]:
+                    room = np.hstack([room, np.full_like(room, -1.0)])
+            room[:, slots[rest]] = rest
+        heapq.heappush(members[slots[rest]], number)
     return sequence, offset
 
 

@@ -172,6 +172,30 @@ def test_vector_capacities_hold(score):
         assert sorted(offset[sequence == s]) == np.concatenate([[0], np.cumsum(own[np.argsort(offset[sequence == s])])[:-1]]).tolist()
 
 
+@pytest.mark.parametrize("score", ["norm", "dot"])
+@pytest.mark.parametrize(("docs", "cost"), [(64, 64 * 64), (3, 1500)])
+def test_choice_is_that_of_an_exhaustive_search(score, docs, cost):
+    size, weights = 64, np.array([1.0, 0.25, 0.25])
+    scale = weights / np.array([size, docs, cost])
+    for seed in range(10):
+        lengths = np.random.default_rng(seed).integers(1, size + 1, 150)
+        sequence, _ = best_fit_packing.vector_best_fit(lengths, size, docs, cost, score, tuple(weights))
+        room: dict[int, np.ndarray] = {}
+        for i in np.argsort(-lengths, kind="stable"):
+            n = lengths[i]
+            need = np.array([n, 1, n * n])
+            points = {
+                s: ((scale * (r - need)) ** 2).sum() if score == "norm" else -(scale**2 * need * r).sum()
+                for s, r in room.items()
+                if (r >= need).all() and (r > 0).all()
+            }
+            if points:
+                assert points[sequence[i]] == pytest.approx(min(points.values()), abs=1e-12)
+            else:
+                assert sequence[i] not in room
+            room[sequence[i]] = room.get(sequence[i], np.array([size, docs, cost])) - need
+
+
 def test_best_fit_is_close_to_the_bound():
     lengths = np.random.default_rng(1).integers(1, 1025, 20_000)
     sequence, _ = best_fit_packing.vector_best_fit(lengths, 1024, 1024, 1024**2)
