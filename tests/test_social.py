@@ -205,3 +205,37 @@ def test_run_stamp(spark):
     now = stamped(zoned, None, "UTC").first()
     assert before - dt.timedelta(minutes=1) <= now.local_time <= before + dt.timedelta(minutes=5)
     assert now.processed_dttm in (before.date(), now.local_time.date())
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pairs_are_not_moved_to_meet_contacts(spark):
+    """A hub in contact with everybody, and contacts far apart: taken off where the pairs are formed."""
+    positions = spark.createDataFrame([(u, 0.0, 0.0001 * u if u < 40 else 5.0) for u in range(60)], "user_id bigint, lat double, lon double")
+    channels = spark.createDataFrame([(u, c) for u in range(60) for c in (1, 2)], "user_id bigint, subscription_channel bigint")
+    met = [(0, u) for u in range(1, 60)] + [(3, 7), (3, 7), (5, 5), (9, 8), (39, 40), (41, 45), (None, 4)]
+    contacts = spark.createDataFrame(met, "user_left bigint, user_right bigint")
+    want = _brute_nearby(channels, positions, contacts, 1.0)
+    for hot_rows in (2000, 5):
+        got = nearby_pairs(channels, positions, contacts, hot_rows=hot_rows)
+        assert "LeftAnti" not in _plan(got)
+        got = got.select("user_left", "user_right")
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_contacts_are_listed_by_the_end_with_fewer(spark):
+    positions = spark.createDataFrame([(u, 0.0, 0.0) for u in range(50)], "user_id bigint, lat double, lon double")
+    contacts = spark.createDataFrame([(0, u) for u in range(1, 50)], "user_left bigint, user_right bigint")
+    from cityweave.operators.social import _near_contacts
+
+    assert sorted((r.user_id, r._known) for r in _near_contacts(contacts, positions, 1.0).collect()) == [(u, [0]) for u in range(1, 50)]
+
+
+def test_copies_of_a_hot_cell_are_bounded(spark):
+    from cityweave.operators import social
+
+    members = spark.range(300).select(F.lit(1).alias("subscription_channel"), F.lit(0).alias("_cell"), F.col("id").alias("_u1"))
+    probe, build, _ = social._split_hot_cells(members, members.withColumnRenamed("_u1", "_u2"), 1)
+    assert probe.count() == build.count() == 300 * social.MAX_SALTS
