@@ -239,3 +239,10 @@ def test_copies_of_a_hot_cell_are_bounded(spark):
     members = spark.range(300).select(F.lit(1).alias("subscription_channel"), F.lit(0).alias("_cell"), F.col("id").alias("_u1"))
     probe, build, _ = social._split_hot_cells(members, members.withColumnRenamed("_u1", "_u2"), 1)
     assert probe.count() == build.count() == 300 * social.MAX_SALTS
+
+
+def test_zones_are_searched_by_user_not_by_pair(spark):
+    from cityweave.operators.social import zoned_nearby_pairs
+
+    events, cities = _inputs(spark, SF_SMALL)
+    assert "_places" not in _plan(zoned_nearby_pairs(events, cities))
