@@ -137,3 +137,12 @@ def test_rows_of_a_hot_null_key_are_not_moved(spark):
             spark.conf.set(k, v)
     assert sum(r["count"] for r in per_task) == 40_000  # two cities tied at each
     assert max(r["count"] for r in per_task) <= 40_000 // 8 + 2
+
+
+def test_pairs_of_squares_and_places_stay_where_they_are(spark):
+    """The least distances of the few squares are broadcast: the pairs, many times the dictionary, aren't joined by shuffle."""
+    places = spark.createDataFrame([(0.0, 1.0, []), (5.0, 2.0, [])], "lat double, lon double, cities array<string>")
+    first = leaves._opened(places, 2, None)
+    for opened in (first, leaves._opened(places, 3, first)):
+        assert "strategy=broadcast" in opened._jdf.queryExecution().optimizedPlan().toString()
+    assert first.groupBy("_row", "_column").count().count() == 32
