@@ -300,11 +300,14 @@ def near_duplicates(
     firsts = written(same.select("digest", "first"), "repeated-sets")
     named = signed.where("n > 0").join(firsts, "digest", "left").withColumn("sid", F.coalesce("first", "own"))
     members = named.where("own = sid").select("sid", "n", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").agg(F.min("sid").alias("least"), F.max("sid").alias("most")).where("least <> most")
-    buckets = written(members.join(shared.select("band", "least"), "band").distinct(), "buckets")
+    # bands of several sets are told by 64-bit hashes, since every set's bands move here; keys only move with those
+    tag = F.xxhash64("sid")
+    shared = members.groupBy("band").agg(F.min(tag).alias("least"), F.max(tag).alias("most")).where("least <> most")
+    buckets = written(members.join(shared.select("band"), "band").distinct(), "buckets")
     sets = written(_full_sets(docs, buckets.select("sid").distinct(), shingle_words), "shingle-sets")
 
-    centres = buckets.groupBy("sid").agg(F.min("least").alias("centre"), F.first("n").alias("n"))
+    firsts_of_bands = buckets.groupBy("band").agg(F.min("sid").alias("least"))
+    centres = buckets.join(firsts_of_bands, "band").groupBy("sid").agg(F.min("least").alias("centre"), F.first("n").alias("n"))
     pairs = centres.where("sid <> centre").select(F.col("sid").alias("a"), F.col("centre").alias("b"))
     edits = written(_compared(pairs, sets), "edits")
     found = edits.where(_near(percent)).select("a", "b").unionByName(_links_by_centre(edits, percent, BLOCK_SETS))

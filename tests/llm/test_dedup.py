@@ -339,3 +339,20 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in connected_components(df).collect()}
     assert got == {x: find(x) for x in parent if find(x) != x}
     assert connected_components(df.where(F.lit(False))).count() == 0
+
+
+def test_bands_of_several_sets_are_told_without_moving_keys(spark, monkeypatch):
+    from cityweave.llm import minhash_dedup
+
+    plans, keep = {}, minhash_dedup.written
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return keep(df, name)
+
+    monkeypatch.setattr(minhash_dedup, "written", seen)
+    a, b = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    docs = spark.createDataFrame([(4, a), (2, a + " end"), (9, a), (9, a), (7, b), (None, None)], "doc_id bigint, text string")
+    got = sorted((r.did or 0, r.component_id or 0, r.kept) for r in minhash_dedup.near_duplicates(docs, shingle_words=2).collect())
+    assert got == [(0, 0, True), (2, 2, True), (4, 2, False), (7, 7, True), (9, 2, False), (9, 2, False)]
+    assert "min(sid" not in plans["buckets"] and "max(sid" not in plans["buckets"]
