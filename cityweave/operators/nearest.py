@@ -3,7 +3,9 @@
 ``place_index`` cuts the globe into leaves with short lists of possible nearest
 places; every point takes the argmin over the list of its leaf.  No facts x
 cities, and the index needs no pass over the facts.  Its size is measured: up
-to a bound it is broadcast, and the search is map only.
+to a bound it is broadcast, and the search is map only.  Large dictionaries are
+cut into tiles instead, where a task's points meet the tile's places (``tiles``);
+points near a border visit several tiles and take the least of what these find.
 
 Two semantics:
 
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 
 from cityweave.functions.geo import haversine_km
 from cityweave.operators.leaves import PlaceIndex, place_index, with_places
+from cityweave.operators.tiles import MARGIN, SLACK, TileIndex, with_close_places
 from cityweave.session import scratch_table
 
 # A key is hot above this many rows and above one in MAX_HOT_KEYS of all rows:
@@ -38,43 +41,49 @@ from cityweave.session import scratch_table
 HOT_KEY_ROWS = 100_000
 MAX_HOT_KEYS = 10_000
 
-MARGIN = 1.000001  # of squared chords
-
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def nearest_by_place(points: DataFrame, index: PlaceIndex, lat="lat", lon="lon", distance_col: str = "distance_km") -> DataFrame:
-    """Per-row argmin over the list of the row's leaf; one output row per tied city.
+def nearest_by_place(points: DataFrame, index: PlaceIndex | TileIndex, lat="lat", lon="lon", distance_col: str = "distance_km") -> DataFrame:
+    """Per-row argmin over the list of the row's leaf or tiles; one output row per tied city.
 
     Squared chords (no trigonometry per place) pick the places that may be
     nearest, with a margin far above their rounding; the distance of those few
-    is the haversine's, and so are ties.
+    is the haversine's, and so are ties.  A search in tiles runs at once.
     """
     lat_c, lon_c = _c(lat), _c(lon)
-    phi, lam = F.radians(lat_c), F.radians(lon_c)
+    tiled = isinstance(index, TileIndex)
+    listed = with_close_places(points, index, lat_c, lon_c) if tiled else _close_of_leaf(points, index, lat_c, lon_c)
+    distances = F.transform("_places", lambda p: haversine_km(lat_c, lon_c, p["lat"], p["lon"]))
+    winners = F.filter("_places", lambda p, i: F.get(F.col("_ds"), i) == F.col("_best"))
+    best = listed.withColumn("_ds", distances).withColumn("_best", F.array_min("_ds"))
+    if tiled:
+        of_row = Window.partitionBy("_row").orderBy("_best")
+        several = best.where("_copies > 1").withColumn("_rank", F.rank().over(of_row)).where("_rank = 1").drop("_rank")
+        best = best.where("_copies = 1").unionByName(several)
+    return best.withColumn("_hit", F.explode(F.flatten(F.transform(winners, lambda p: p["cities"])))).select(
+        *[F.col(c) for c in points.columns],
+        F.col("_hit.city_id").alias("city_id"),
+        F.col("_hit.city_name").alias("city_name"),
+        F.col("_best").alias(distance_col),
+    )
+
+
+def _close_of_leaf(points: DataFrame, index: PlaceIndex, lat: Column, lon: Column) -> DataFrame:
+    """``points`` with ``_places``: those of the leaf within the margin of its nearest."""
+    phi, lam = F.radians(lat), F.radians(lon)
     own = {"_x": F.cos(phi) * F.cos(lam), "_y": F.cos(phi) * F.sin(lam), "_z": F.sin(phi)}
     square = lambda p, axis: (p[axis] - F.col(f"_{axis}")) * (p[axis] - F.col(f"_{axis}"))
     chords = F.transform("_places", lambda p: square(p, "x") + square(p, "y") + square(p, "z"))
     # named twice, so that Spark does not put the minimum itself into the lambda, once a place
     close = F.filter("_places", lambda p, i: (F.get(F.col("_chords"), i) <= F.col("_upto")) | F.col("_upto").isNull())
-    distances = F.transform("_places", lambda p: haversine_km(lat_c, lon_c, p["lat"], p["lon"]))
-    winners = F.filter("_places", lambda p, i: F.get(F.col("_ds"), i) == F.col("_best"))
     return (
-        with_places(points.withColumns(own), index, lat_c, lon_c)
+        with_places(points.withColumns(own), index, lat, lon)
         .withColumn("_chords", chords)
-        .withColumn("_upto", F.array_min("_chords") * MARGIN + F.lit(1e-17))
+        .withColumn("_upto", F.array_min("_chords") * MARGIN + F.lit(SLACK))
         .withColumn("_places", close)
-        .withColumn("_ds", distances)
-        .withColumn("_best", F.array_min("_ds"))
-        .withColumn("_hit", F.explode(F.flatten(F.transform(winners, lambda p: p["cities"]))))
-        .select(
-            *[F.col(c) for c in points.columns],
-            F.col("_hit.city_id").alias("city_id"),
-            F.col("_hit.city_name").alias("city_name"),
-            F.col("_best").alias(distance_col),
-        )
     )
 
 
@@ -98,7 +107,7 @@ def closest_per_key(scored: DataFrame, key: Sequence[str], distance_col: str, ho
 
 def nearest_city(
     points: DataFrame,
-    cities: DataFrame | PlaceIndex,
+    cities: DataFrame | PlaceIndex | TileIndex,
     lat="lat",
     lon="lon",
     key: Sequence[str] | None = None,
@@ -113,7 +122,7 @@ def nearest_city(
     keys whose rows are not moved; the result depends on neither.  With ``key``
     the search itself runs at once, into a table of the shared folder.
     """
-    index = cities if isinstance(cities, PlaceIndex) else place_index(cities, leaf_places)
+    index = cities if isinstance(cities, (PlaceIndex, TileIndex)) else place_index(cities, leaf_places)
     scored = nearest_by_place(points, index, lat, lon, distance_col)
     if key is None:
         return scored
